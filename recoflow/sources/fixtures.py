@@ -278,3 +278,21 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_exprs(read(spark, sf_dir, "region"), SETTINGS_FLAT)
+
+
+# -- metrics: monitoring samples derived from the events -------------------------
+METRIC_NAME = ("CASE event_type WHEN 'view' THEN 'GetRecommendations' "
+               "WHEN 'click' THEN 'MissingRecommendations' WHEN 'error' THEN 'PutEventsErrors' "
+               "WHEN 'purchase' THEN 'PutContentErrors' ELSE 'GetRecommendationsErrors' END")
+METRIC_VALUE = "CASE WHEN event_type = 'view' THEN 1.0 ELSE value END"
+
+
+def metrics_from_events(events: DataFrame) -> DataFrame:
+    """(ts epoch seconds, metric, value): one sample per event, plus a
+    RecommendationsUsed sample for every event carrying a recommendation id."""
+    ts = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    main = events.select(ts.alias("ts"), F.expr(METRIC_NAME).alias("metric"),
+                         F.expr(METRIC_VALUE).cast("double").alias("value"))
+    used = events.filter(F.col("event_id") % 10 == 0).select(
+        ts.alias("ts"), F.lit("RecommendationsUsed").alias("metric"), F.lit(1.0).alias("value"))
+    return main.unionByName(used)
