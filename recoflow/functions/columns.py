@@ -159,10 +159,10 @@ def join_byline(c) -> Column:
 
 
 def first_url220(arr) -> Column:
-    """``url220`` of the first element; '' when the array is empty or the
-    field is missing (NULL only when the array itself is NULL)."""
+    """``url220`` of the first element, '' when that element has none;
+    NULL when the array is NULL or empty (nothing to copy)."""
     arr = col(arr)
-    return F.when(arr.isNotNull(), F.coalesce(F.get(arr, 0).getField("url220"), F.lit("")))
+    return F.when(F.size(arr) > 0, F.coalesce(F.get(arr, 0).getField("url220"), F.lit("")))
 
 
 # -- 30: dated filter name ----------------------------------------------------------

@@ -217,7 +217,7 @@ def reply_assembly(rows: DataFrame, req: DataFrame) -> DataFrame:
     reply = F.struct(F.col("request_id"), F.lit(0).alias("container_position"),
                      F.col("widget_id"), F.transform(recs, lambda r: r.dropFields("position"))
                      .alias("recommendations"))
-    return j.select("request_id", F.to_json(reply).alias("reply"))
+    return j.select("request_id", F.to_json(reply, {"ignoreNullFields": "false"}).alias("reply"))
 
 
 def coverage_metrics(rows: DataFrame, req: DataFrame, ranked: DataFrame,

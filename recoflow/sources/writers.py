@@ -28,8 +28,16 @@ def write_csv(df: DataFrame, path: str, partitions: int | None = None) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read a dataset written by ``write_csv``.
+
+    The writer emits NULL as an empty field and '' as a quoted empty
+    string.  With the reader's default ``nullValue`` ('') both would come
+    back NULL, so the reader's null marker is set to a character that
+    never occurs in the data: unquoted empty fields still read as NULL and
+    quoted empty strings stay ''.
+    """
     return (spark.read.options(**CSV_OPTIONS).option("multiLine", "true")
-            .schema(schema).csv(path))
+            .option("nullValue", "\u0000").schema(schema).csv(path))
 
 
 def write_interactions(df: DataFrame, path: str, partitions: int | None = None,
