@@ -26,6 +26,7 @@ from recoflow.operators import scoring
 from recoflow.operators import settings as st
 from recoflow.operators.filters import drop_last_content
 from recoflow.operators.projections import rename_fields
+from recoflow.session import materialize
 from recoflow.sources.readers import scan_active_settings
 
 
@@ -143,11 +144,22 @@ def _nullsafe(a: str, b: str, cols) -> list:
     return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols]
 
 
+INTERACTION_COLUMNS = ("USER_ID", "ITEM_ID", "TIMESTAMP", "EVENT_TYPE", "visitor_type",
+                       "device_detector_visitorplatform")
+ITEM_COLUMNS = ("ITEM_ID", "CREATION_TIMESTAMP", "Category", "Exclude")
+
+
 def recommend_candidates(inp: Inputs, as_of) -> tuple[DataFrame, DataFrame]:
-    """(resolved requests, ranked top num_results rows per request)."""
+    """(resolved requests, ranked top num_results rows per request).
+
+    The interactions and items feed six and four branches of the plan;
+    both are pruned to the columns used and materialised once.
+    """
+    inter = materialize(inp.interactions.select(*INTERACTION_COLUMNS))
+    items = materialize(inp.items.select(*ITEM_COLUMNS))
     req = resolve_request(inp.requests, inp.settings, inp.filters, as_of)
-    cands = (warm_candidates(req, inp.interactions, inp.items, as_of)
-             .unionByName(cold_candidates(req, inp.interactions, inp.items, as_of)))
+    cands = (warm_candidates(req, inter, items, as_of)
+             .unionByName(cold_candidates(req, inter, items, as_of)))
     kept = cd.fallback_filter(cands)
     ranked = (kept.join(req.select("request_id", "num_results"), "request_id")
               .transform(lambda d: cd.topk_per_request(d, "num_results")))

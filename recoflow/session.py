@@ -56,3 +56,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = tempfile.mkdtemp(prefix="recoflow-ckpt-")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` once to the shared checkpoint folder.
+
+    Used where a job reads the same derived input several times (the
+    recommendation job reads the interactions six ways).  Re-reading a
+    materialised copy is cheaper than recomputing the chain each time, and
+    a lost executor re-reads files instead of re-running upstream stages.
+    Never a machine-local cache: the folder is ``spark.checkpoint.dir``.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

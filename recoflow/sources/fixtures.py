@@ -176,7 +176,8 @@ def select_exprs(df: DataFrame, exprs: list[tuple[str, str]]) -> DataFrame:
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    from recoflow.sources.readers import spread_small_scan
+    return spread_small_scan(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,12 +34,26 @@ def read_raw_events(spark: SparkSession, path: str, as_of) -> DataFrame:
 
 
 def scan_content(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """2: content metadata as stored (a table name or a path)."""
-    if spark.catalog.tableExists(path) if "/" not in path else False:
+    """2: content metadata as stored: a catalog table name or a path."""
+    if "/" not in path and spark.catalog.tableExists(path):
         return spark.table(path)
     return spark.read.format(fmt).load(path)
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer input splits than task slots a round-robin
+    spread (one Parquet row group is one split, however large the file).
+
+    Only the partition count of the planned scan is inspected (no job).  A
+    large, many-file input already has more splits than slots and is
+    returned unchanged, so this never adds a shuffle of big data.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def scan_active_settings(settings: DataFrame) -> DataFrame:
     """9: settings rows whose status is ``active``."""
     return settings.filter(F.col("status") == "active")
