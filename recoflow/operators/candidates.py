@@ -135,3 +135,50 @@ def topk_per_request(cands: DataFrame, n: str | int, key: str = "request_id",
     w = Window.partitionBy(key).orderBy(F.col(score).desc(), F.col(item).asc())
     limit = F.lit(n) if isinstance(n, int) else F.col(n)
     return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
+
+
+def ranked_lists(cands: DataFrame, cap: int = C.MAX_RESULTS, key: str = "lkey") -> DataFrame:
+    """68 + 69 for shared lists: rank each list key's candidates twice.
+
+    ``variant`` False ranks all rows (undated filter), True only the rows
+    that pass the age clause (dated filter); both are cut at ``cap``, the
+    service maximum, so no request can need more and the cut is exact.
+    Both rankings and the per-key count of age-passing rows (which decides
+    the fallback) are window functions over the same partitioning, so the
+    candidates are shuffled once and read once.
+    """
+    by_key = Window.partitionBy(key)
+    order = [F.col("score").desc(), F.col("item_id").asc()]
+    ranked = (cands
+              .withColumn("r_all", F.row_number().over(by_key.orderBy(*order)))
+              .withColumn("r_age", F.row_number().over(Window.partitionBy(key, "age_ok")
+                                                       .orderBy(*order)))
+              .withColumn("n_dated", F.count_if(F.col("age_ok")).over(by_key))
+              .filter((F.col("r_all") <= cap) | (F.col("age_ok") & (F.col("r_age") <= cap))))
+    variants = F.array(
+        F.struct(F.lit(False).alias("variant"), F.col("r_all").alias("rank")),
+        F.struct(F.lit(True).alias("variant"),
+                 F.when(F.col("age_ok"), F.col("r_age")).alias("rank")))
+    return (ranked.select(key, "item_id", "score", "n_dated", F.explode(variants).alias("v"))
+            .select(key, "item_id", "score", "n_dated", "v.variant", "v.rank")
+            .filter(F.col("rank").isNotNull() & (F.col("rank") <= cap)))
+
+
+def serve_lists(keyed: DataFrame, lists: DataFrame, key: str = "lkey") -> DataFrame:
+    """69 + 68 per request: pick the variant, take the first ``num_results``.
+
+    ``keyed``: request_id, list key, dated, num_results.  A request that
+    asked for the dated filter and whose list has no age-passing item falls
+    back to the undated list (``backup``).  The join is on the list key;
+    variant choice and prefix length are post-join conditions.  A key
+    shared by many requests is a skewed join key, which AQE's skew-join
+    handling splits across tasks.
+    """
+    r, l_ = keyed.alias("r"), lists.alias("l")
+    j = r.join(l_, F.col(f"r.{key}") == F.col(f"l.{key}"))
+    use_dated = F.col("r.dated") & (F.col("l.n_dated") > 0)
+    return (j.filter((F.col("l.variant") == use_dated) & (F.col("l.rank") <= F.col("r.num_results")))
+            .select("r.request_id", "l.item_id", "l.score", "l.rank", "r.dated",
+                    use_dated.alias("filter_dated"),
+                    (F.col("r.dated") & (F.col("l.n_dated") == 0)).alias("backup"),
+                    "r.num_results"))

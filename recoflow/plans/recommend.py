@@ -78,42 +78,57 @@ class Inputs:
     filters: DataFrame
 
 
+# A ranked list is shared by every request with the same list key: the
+# visitor (warm) or the popularity segment (cold), plus the filter kind and
+# category.  Requests only differ in how long a prefix they take and in
+# whether the dated variant applies.
+KEY_FIELDS = (("user_id", "string"), ("platform", "string"), ("visitor_type", "string"),
+              ("seg_level", "int"), ("kind", "string"), ("category", "string"))
+
+
+def list_key(**cols) -> F.Column:
+    return F.struct(*[(cols[n] if n in cols else F.lit(None)).cast(t).alias(n)
+                      for n, t in KEY_FIELDS])
+
+
 def warm_candidates(req: DataFrame, interactions: DataFrame, items: DataFrame, as_of,
-                    k: int = C.SIMILAR_TOP_K) -> DataFrame:
-    """Scored candidates of visitors with history (op 79), filtered (43-46, 51)."""
+                    k: int = C.SIMILAR_TOP_K) -> tuple[DataFrame, DataFrame]:
+    """Visitors with history: (candidate rows per list key, request -> key).
+
+    Scores (op 79) are joined once per distinct (visitor, kind, category),
+    not once per request, then filtered (43-46, 51).
+    """
     scores = scoring.user_personalization(interactions, items, as_of, k=k)
-    cands = req.select("request_id", F.col("visitor_id").alias("user_id"), "kind", "category",
-                       "dated").join(scores.select("user_id", "item_id", "score"), "user_id")
-    c = cd.with_item_attributes(cands, items).filter(cd.kind_predicate())
+    keyed = req.select("request_id", F.col("visitor_id").alias("user_id"), "kind", "category")
+    keys = keyed.select("user_id", "kind", "category").distinct()
+    c = keys.join(scores.select("user_id", "item_id", "score"), "user_id")
+    c = cd.with_item_attributes(c, items).filter(cd.kind_predicate())
     c = cd.exclude_viewed(c, interactions)
-    return c.withColumn("age_ok", cd.passes_age(as_of)).select(
-        "request_id", "item_id", "score", "dated", "age_ok")
+    key = list_key(user_id=F.col("user_id"), kind=F.col("kind"), category=F.col("category"))
+    return (c.select(key.alias("lkey"), "item_id", "score", cd.passes_age(as_of).alias("age_ok")),
+            keyed.select("request_id", key.alias("lkey")))
 
 
-def cold_candidates(req: DataFrame, interactions: DataFrame, items: DataFrame, as_of) -> DataFrame:
-    """Popularity candidates of visitors without history.
+def cold_candidates(req: DataFrame, interactions: DataFrame, items: DataFrame,
+                    as_of) -> tuple[DataFrame, DataFrame]:
+    """Visitors without history: popularity lists per (segment, kind, category).
 
-    The list depends only on (segment, filter kind, category), so it is
-    built once per distinct combination and capped at the service maximum
-    of 500 rows per variant (no request can ask for more, so the cut is
-    exact), then joined to the requests.  Cold visitors have no views, so
-    the viewed-item exclusion is empty for them.
+    A request's segment is (platform, visitor_type) as far as the request
+    gives them; a segment never seen in the interactions falls back to the
+    overall popularity.  Cold visitors have no views to exclude.
     """
-    users = interactions.select(F.col("USER_ID").alias("visitor_id")).distinct()
-    cold = req.join(users, "visitor_id", "left_anti")
     pop = scoring.segment_popularity(interactions)
     p, v = F.col("ctx_platform"), F.col("ctx_visitor_type")
     level = (F.when(p.isNotNull() & v.isNotNull(), 0).when(p.isNotNull(), 1)
              .when(v.isNotNull(), 2).otherwise(3))
-    seg = cold.select("request_id", "kind", "category", "dated",
-                      F.when(level.isin(0, 1), p).alias("platform"),
-                      F.when(level.isin(0, 2), v).alias("visitor_type"),
-                      level.alias("seg_level"))
+    seg = req.select("request_id", "kind", "category",
+                     F.when(level.isin(0, 1), p).alias("platform"),
+                     F.when(level.isin(0, 2), v).alias("visitor_type"),
+                     level.alias("seg_level"))
     segkey = ["platform", "visitor_type", "seg_level"]
     known = pop.select(*segkey).distinct().withColumn("__known", F.lit(True)).alias("k")
     has = seg.alias("s").join(known, _nullsafe("s", "k", segkey), "left").select(
         "s.*", "__known")
-    # unseen segment -> overall popularity
     seg = (has.withColumn("platform", F.when(F.col("__known"), F.col("platform")))
               .withColumn("visitor_type", F.when(F.col("__known"), F.col("visitor_type")))
               .withColumn("seg_level", F.when(F.col("__known"), F.col("seg_level")).otherwise(3))
@@ -127,17 +142,9 @@ def cold_candidates(req: DataFrame, interactions: DataFrame, items: DataFrame, a
            .withColumn("score", F.lit(C.AFFINITY_WEIGHT) * F.col("popularity")
                        + F.lit(C.FRESHNESS_WEIGHT) * F.coalesce("fresh", F.lit(0))))
     per = cd.with_item_attributes(per, items).filter(cd.kind_predicate())
-    per = per.withColumn("age_ok", cd.passes_age(as_of)).withColumn(
-        "combo", F.xxhash64(*[F.col(c) for c in combo_cols]))
-    w_all = Window.partitionBy("combo").orderBy(F.col("score").desc(), F.col("item_id"))
-    w_age = Window.partitionBy("combo", "age_ok").orderBy(F.col("score").desc(), F.col("item_id"))
-    per = (per.withColumn("r_all", F.row_number().over(w_all))
-              .withColumn("r_age", F.row_number().over(w_age))
-              .filter((F.col("r_all") <= C.MAX_RESULTS)
-                      | (F.col("age_ok") & (F.col("r_age") <= C.MAX_RESULTS))))
-    out = seg.alias("s").join(per.select(*combo_cols, "item_id", "score", "age_ok").alias("p"),
-                              _nullsafe("s", "p", combo_cols))
-    return out.select("s.request_id", "p.item_id", "p.score", "s.dated", "p.age_ok")
+    key = list_key(**{c: F.col(c) for c in combo_cols})
+    return (per.select(key.alias("lkey"), "item_id", "score", cd.passes_age(as_of).alias("age_ok")),
+            seg.select("request_id", key.alias("lkey")))
 
 
 def _nullsafe(a: str, b: str, cols) -> list:
@@ -153,17 +160,22 @@ def recommend_candidates(inp: Inputs, as_of) -> tuple[DataFrame, DataFrame]:
     """(resolved requests, ranked top num_results rows per request).
 
     The interactions and items feed six and four branches of the plan;
-    both are pruned to the columns used and materialised once.
+    both are pruned to the columns used and materialised once, as are the
+    resolved requests (read by five branches).  Candidate
+    lists are built per list key and shared by the requests that use them.
     """
     inter = materialize(inp.interactions.select(*INTERACTION_COLUMNS))
     items = materialize(inp.items.select(*ITEM_COLUMNS))
-    req = resolve_request(inp.requests, inp.settings, inp.filters, as_of)
-    cands = (warm_candidates(req, inter, items, as_of)
-             .unionByName(cold_candidates(req, inter, items, as_of)))
-    kept = cd.fallback_filter(cands)
-    ranked = (kept.join(req.select("request_id", "num_results"), "request_id")
-              .transform(lambda d: cd.topk_per_request(d, "num_results")))
-    return req, ranked
+    req = materialize(resolve_request(inp.requests, inp.settings, inp.filters, as_of))
+    users = inter.select(F.col("USER_ID").alias("visitor_id")).distinct()
+    warm_c, warm_k = warm_candidates(req.join(users, "visitor_id", "left_semi"), inter, items,
+                                     as_of)
+    cold_c, cold_k = cold_candidates(req.join(users, "visitor_id", "left_anti"), inter, items,
+                                     as_of)
+    lists = cd.ranked_lists(warm_c.unionByName(cold_c))
+    keyed = warm_k.unionByName(cold_k).join(
+        req.select("request_id", "dated", "num_results"), "request_id")
+    return req, cd.serve_lists(keyed, lists)
 
 
 def metadata_fields(meta: DataFrame) -> DataFrame:
