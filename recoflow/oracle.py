@@ -608,7 +608,8 @@ def queries() -> dict[str, str]:
         "g AS (SELECT unnest(generate_series(min(period), max(period), 300)) AS period FROM l),\n"
         "d AS (SELECT g.period, l.max_lag_ms, COALESCE(l.max_lag_ms >= "
         f"{C.LAG_ALARM_MS}, false) AS breaching FROM g LEFT JOIN l USING (period))\n"
-        "SELECT period, max_lag_ms, breaching, sum(CAST(breaching AS INTEGER)) OVER (ORDER BY period "
+        "SELECT 'events' AS stream, period, max_lag_ms, breaching, sum(CAST(breaching AS INTEGER)) "
+        "OVER (ORDER BY period "
         "ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) >= 10 AS in_alarm FROM d")
 
     # 2.9

@@ -95,19 +95,23 @@ def recommendation_use_rate(metrics: DataFrame, used: DataFrame, seconds: int =
 
 def stream_lag(arrivals: DataFrame, seconds: int = PERIOD, threshold_ms: int = C.LAG_ALARM_MS,
                periods: int = 10) -> DataFrame:
-    """77: consumer lag per period (max of arrival - event time, ms) and the
-    lag alarm over ``periods`` consecutive periods (10 for events, 1 for content).
+    """77: consumer lag per stream and period (max of arrival - event time,
+    ms) and the lag alarm over ``periods`` consecutive periods (10 for
+    events, 1 for content).
 
-    ``arrivals``: ``event_ms``, ``arrival_ms`` per record.
+    ``arrivals``: ``stream``, ``event_ms``, ``arrival_ms`` per record.  The
+    dense grid and the window are per stream, over aggregated rows only.
     """
-    lag = (arrivals.groupBy(period_start(F.col("arrival_ms") / 1000, seconds).alias("period"))
+    lag = (arrivals.groupBy("stream", period_start(F.col("arrival_ms") / 1000, seconds)
+                            .alias("period"))
            .agg(F.max(F.col("arrival_ms") - F.col("event_ms")).alias("max_lag_ms")))
-    span = lag.agg(F.min("period").alias("lo"), F.max("period").alias("hi"))
-    grid = span.select(F.explode(F.sequence("lo", "hi", F.lit(seconds).cast("long"))).alias("period"))
-    dense = grid.join(lag, "period", "left")
+    span = lag.groupBy("stream").agg(F.min("period").alias("lo"), F.max("period").alias("hi"))
+    grid = span.select("stream", F.explode(F.sequence("lo", "hi", F.lit(seconds).cast("long")))
+                       .alias("period"))
+    dense = grid.join(lag, ["stream", "period"], "left")
     breach = F.coalesce(F.col("max_lag_ms") >= threshold_ms, F.lit(False)).cast("int")
-    w = Window.orderBy("period").rowsBetween(-(periods - 1), 0)
+    w = Window.partitionBy("stream").orderBy("period").rowsBetween(-(periods - 1), 0)
     return (dense.withColumn("breaching", breach.cast("boolean"))
             .withColumn("run", F.sum(breach).over(w))
-            .select("period", "max_lag_ms", "breaching",
+            .select("stream", "period", "max_lag_ms", "breaching",
                     (F.col("run") >= periods).alias("in_alarm")))

@@ -635,6 +635,7 @@ def q_stream_lag(spark, sf):
     """77: per-period consumer lag and the 10-period lag alarm."""
     ev = fx.read(spark, sf, "events")
     arrivals = ev.select(
+        F.lit("events").alias("stream"),
         (F.unix_timestamp(F.col("ts").cast("timestamp")) * 1000).alias("event_ms"),
         (F.unix_timestamp(F.col("ts").cast("timestamp")) * 1000
          + (F.col("event_id") % 7) * 2000).alias("arrival_ms"))

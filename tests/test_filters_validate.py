@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from recoflow import constants as C
 from recoflow import schemas
 from recoflow.operators import filters as flt
 from recoflow.operators.validate import split, validate_content, validate_dataset, validate_events
@@ -53,7 +54,7 @@ def test_drop_last_content(spark):
 EVENT_COLS = ["sp_event_id", "sp_derived_tstamp", "sp_app_id", "content_contentId", "page_type",
               "device_detector_visitorPlatform", "sp_page_urlhost", "sp_event_name",
               "sp_domain_sessionid", "sp_user_id", "sp_domain_userid"]
-GOOD = ["e", "2024-01-05T12:34:56.000Z", "theglobeandmail-website", "doc1", "article", "Mobile",
+GOOD = ["e", "2024-01-05T12:34:56.000Z", C.APP_ID, "doc1", "article", "Mobile",
         "www.x.com", "page_view", "s", "u", "d"]
 
 

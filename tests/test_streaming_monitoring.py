@@ -71,8 +71,8 @@ def test_alarm_needs_consecutive_breaches(spark):
 
 
 def test_stream_lag_alarm(spark):
-    arr = spark.createDataFrame([(0, 12000), (300000, 300500), (600000, 611000)],
-                                "event_ms long, arrival_ms long")
+    arr = spark.createDataFrame([("e", 0, 12000), ("e", 300000, 300500), ("e", 600000, 611000)],
+                                "stream string, event_ms long, arrival_ms long")
     out = monitoring.stream_lag(arr, periods=1).orderBy("period").collect()
     assert [(x.max_lag_ms, x.in_alarm) for x in out] == [(12000, True), (500, False), (11000, True)]
 
