@@ -1,0 +1,30 @@
+"""Size guards for data that is replicated to every task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Configuration tables (backends, filter specs, alarm rules, deny lists)
+# are tiny; anything past this is data, not configuration, and must be
+# joined with a shuffle instead of being replicated.
+MAX_REPLICATED_ROWS = 10_000
+
+
+def check_small(df: DataFrame, what: str, limit: int = MAX_REPLICATED_ROWS) -> None:
+    """Fail fast when a side assumed to be small is not (one tiny job)."""
+    n = df.limit(limit + 1).count()
+    if n > limit:
+        raise ValueError(f"{what} has more than {limit} rows; it is not a configuration table")
+
+
+def broadcast_checked(df: DataFrame, what: str, limit: int = MAX_REPLICATED_ROWS) -> DataFrame:
+    """``broadcast(df)`` after proving it has at most ``limit`` rows."""
+    check_small(df, what, limit)
+    return F.broadcast(df)
+
+
+def small_or_shuffled(df: DataFrame, limit: int = MAX_REPLICATED_ROWS) -> DataFrame:
+    """Broadcast when provably small, else leave the join to a shuffle."""
+    n = df.limit(limit + 1).count()
+    return F.broadcast(df) if n <= limit else df

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recoflow import constants as C
+from recoflow.operators.guards import check_small
 
 # Active backends that may be replicated to every task (broadcast / scalar
 # subquery).  The deployment runs two (blue/green); the check guards the
@@ -74,9 +75,7 @@ def context_entries(settings_with_ctx: DataFrame) -> DataFrame:
 
 
 def _check_small(df: DataFrame, what: str, limit: int = MAX_BACKENDS) -> None:
-    n = df.limit(limit + 1).count()
-    if n > limit:
-        raise ValueError(f"{what} has more than {limit} rows; not a configuration table")
+    check_small(df, what, limit)
 
 
 def assign_backend(requests: DataFrame, active: DataFrame, key: str = "request_id",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recoflow import constants as C
+from recoflow.operators.guards import broadcast_checked
 
 PERIOD = C.METRIC_PERIOD_SECONDS
 
@@ -46,7 +47,7 @@ def alarm_rule(rollup: DataFrame, rules: DataFrame, seconds: int = PERIOD) -> Da
     grid = span.select("metric", F.explode(F.sequence("lo", "hi", F.lit(seconds).cast("long")))
                        .alias("period"))
     dense = grid.join(rollup, ["metric", "period"], "left")
-    r = dense.join(F.broadcast(rules), "metric")
+    r = dense.join(broadcast_checked(rules, "alarm rules"), "metric")
     stat = (F.when(F.col("stat") == "sum", F.col("sum"))
             .when(F.col("stat") == "max", F.col("maximum"))
             .otherwise(F.col("average")))

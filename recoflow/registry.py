@@ -26,7 +26,7 @@ from recoflow.operators import scoring
 from recoflow.operators import settings as st
 from recoflow.operators.validate import split, validate_content, validate_dataset, validate_events
 from recoflow.plans import etl, monitoring, recommend
-from recoflow.session import ensure_checkpoint_dir, prepare
+from recoflow.session import ensure_checkpoint_dir, materialize, prepare
 from recoflow.sources import fixtures as fx
 from recoflow.sources import readers, stream, writers
 from recoflow.streaming import ingest
@@ -73,8 +73,10 @@ def events_with_ts(spark, sf):
 
 
 def interactions(spark, sf):
-    return etl.build_interactions(fx.raw_events(spark, sf), AS_OF, keys=fx.BATCH_ATTRIBUTE_KEYS,
-                                  sort=False)
+    """The interactions dataset.  Downstream jobs read it as a stored table
+    (the ETL output); here it is derived and materialised once per query."""
+    return materialize(etl.build_interactions(fx.raw_events(spark, sf), AS_OF,
+                                              keys=fx.BATCH_ATTRIBUTE_KEYS, sort=False))
 
 
 def mapped_items(spark, sf):

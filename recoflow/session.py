@@ -50,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is.  Only when it is unset (local tests) do we pick a fresh
     scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver context; the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="recoflow-ckpt-")
@@ -67,5 +70,6 @@ def materialize(df):
     a lost executor re-reads files instead of re-running upstream stages.
     Never a machine-local cache: the folder is ``spark.checkpoint.dir``.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    if not ensure_checkpoint_dir(df.sparkSession):
+        return df  # no shared folder configured: keep the lineage
     return df.checkpoint(eager=True)

@@ -48,10 +48,12 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     large, many-file input already has more splits than slots and is
     returned unchanged, so this never adds a shuffle of big data.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect exposes neither; leave the scan as planned
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def scan_active_settings(settings: DataFrame) -> DataFrame:
