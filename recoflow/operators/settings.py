@@ -79,7 +79,7 @@ def _check_small(df: DataFrame, what: str, limit: int = MAX_BACKENDS) -> None:
 
 
 def assign_backend(requests: DataFrame, active: DataFrame, key: str = "request_id",
-                   mode: str = "modulo") -> DataFrame:
+                   mode: str = "modulo", checked: bool = False) -> DataFrame:
     """55: weighted backend choice per request, repeatable.
 
     Weights: ``trafficRatio % 100 + 1`` (``mode='modulo'``, as deployed, where
@@ -88,9 +88,11 @@ def assign_backend(requests: DataFrame, active: DataFrame, key: str = "request_i
     at ``pmod(key, total)`` (numeric key) or ``pmod(hash(key), total)``.
     The span table has one row per backend (size-checked) and is broadcast;
     the range condition is evaluated next to each request, so the requests
-    are never shuffled.
+    are never shuffled.  ``checked`` skips the size check when the caller
+    already proved ``active`` small.
     """
-    _check_small(active, "active settings")
+    if not checked:
+        _check_small(active, "active settings")
     ratio = F.col("trafficRatio").cast("int")
     weight = (F.pmod(ratio, F.lit(100)) + 1) if mode == "modulo" else ratio
     order = Window.orderBy("backend_order", "name")
@@ -134,13 +136,16 @@ def fanout_items(items: DataFrame, active: DataFrame) -> DataFrame:
 
 
 def context_lookup(requests: DataFrame, settings_with_ctx: DataFrame,
-                   context: str = "context", backend: str = "backend") -> DataFrame:
+                   context: str = "context", backend: str = "backend",
+                   checked: bool = False) -> DataFrame:
     """54: the filter settings for a request's context, else the backend's default.
 
     Backends are configuration (size-checked, broadcast); the lookup is a
-    map access per row.
+    map access per row.  The context table has one row per backend, so a
+    caller that checked the backend rows passes ``checked``.
     """
-    _check_small(settings_with_ctx, "settings")
+    if not checked:
+        _check_small(settings_with_ctx, "settings")
     ctx = settings_with_ctx.select(F.col("name").alias("__backend"),
                                    F.col("context").alias("__ctx_map"),
                                    "campaignArn")

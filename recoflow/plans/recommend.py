@@ -25,6 +25,7 @@ from recoflow.operators import candidates as cd
 from recoflow.operators import scoring
 from recoflow.operators import settings as st
 from recoflow.operators.filters import drop_last_content
+from recoflow.operators.guards import check_small
 from recoflow.operators.projections import rename_fields
 from recoflow.session import materialize
 from recoflow.sources.readers import scan_active_settings
@@ -52,9 +53,10 @@ def resolve_request(requests: DataFrame, settings: DataFrame, filters: DataFrame
                     as_of) -> DataFrame:
     """23 -> 55 -> 54 -> 24 -> 25 -> 47: everything decided per request."""
     active = scan_active_settings(settings)
+    check_small(active, "active settings", st.MAX_BACKENDS)  # once; derived tables have a row per backend
     backends = st.build_context_map(active, filters)
-    req = st.assign_backend(parse_request(requests), active)
-    req = st.context_lookup(req, backends)
+    req = st.assign_backend(parse_request(requests), active, checked=True)
+    req = st.context_lookup(req, backends, checked=True)
     f = F.col("filter")
     category = F.when(st.uses_category(f), fn.resolve_category())
     return (req.withColumn("category", category)
