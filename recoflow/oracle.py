@@ -52,7 +52,7 @@ IMAGES = (
     "CASE WHEN doc_id % 4 = 0 THEN CAST([] AS STRUCT(url220 VARCHAR)[]) "
     "ELSE [{'url220': 'https://img.example/p1/' || CAST(doc_id AS VARCHAR) || '.jpg'}, "
     "{'url220': 'https://img.example/p2/' || CAST(doc_id AS VARCHAR) || '.jpg'}] END "
-    "AS \"PictureRel\" FROM documents WHERE doc_id % 3 <> 0)")
+    f"AS \"PictureRel\" FROM documents WHERE {fx.IMAGES_PRESENT})")
 REQUESTS_FLAT = f"requests_flat AS ({_select(fx.REQUESTS_FLAT, 'customer')})"
 SETTINGS = f"settings AS ({_select(fx.SETTINGS_FLAT, 'region')})"
 
@@ -525,7 +525,7 @@ def queries() -> dict[str, str]:
     metrics = (
         "metrics AS (SELECT epoch_ms(ts) // 1000 AS ts, " + fx.METRIC_NAME + " AS metric, CAST("
         + fx.METRIC_VALUE + " AS DOUBLE) AS value FROM events UNION ALL SELECT epoch_ms(ts) // 1000, "
-        "'RecommendationsUsed', 1.0 FROM events WHERE event_id % 10 = 0)")
+        f"'RecommendationsUsed', 1.0 FROM events WHERE ({fx.PAGE_RID}) IS NOT NULL)")
     rollup = ("rollup AS (SELECT metric, (ts // 300) * 300 AS period, sum(value) AS sum, max(value) "
               "AS maximum, avg(value) AS average, count(*) AS samples FROM metrics GROUP BY ALL)")
     q["metric_rollup"] = with_(metrics, rollup) + (
