@@ -1,21 +1,26 @@
-"""Stream ingestion jobs (ops 74, 75, 76).
+"""Stream ingestion jobs (ops 57, 74, 75, 76).
 
 Each job is ``readStream -> foreachBatch``.  Inside a micro-batch:
 decode (6/7) -> validate (41/42) -> build records (20-22) -> fan out to
 the active backends (52/53, settings re-read per micro-batch) -> write.
 
-Replays are safe: a micro-batch writes to a folder keyed by its
+Replays are safe: a micro-batch writes to folders keyed by its
 ``batch_id`` with ``overwrite``, so a re-run after a failure replaces the
 partial output instead of duplicating it; the checkpoint records which
-batches are done.  Counters (57) are written next to the records.
+batches are done.  Counters (57) are collected with ``observe`` on the
+same pass that writes the records.  The content job also keeps the item
+state (74) as one snapshot per batch: ``state_b = upsert(state_{b-1},
+updates_b)`` — a replay of batch b recomputes the same snapshot from
+``state_{b-1}``, never from a half-updated current state.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from recoflow.functions import records as rec
 from recoflow.operators import settings as st
@@ -23,25 +28,23 @@ from recoflow.operators.validate import split, validate_content, validate_events
 from recoflow.sources.readers import scan_active_settings
 from recoflow.sources.stream import decode_stream_content, decode_stream_events
 
+ITEM_STATE_COLUMNS = ("itemId", "updated_ts", "record_id", "properties")
+
 
 def ingest_time_now():
     return F.unix_timestamp(F.current_timestamp())
 
 
-def event_records(decoded: DataFrame, active: DataFrame, ingest_time=None) -> DataFrame:
-    """Valid events -> one flat put-event row per (event, tracker)."""
-    ingest_time = ingest_time if ingest_time is not None else ingest_time_now()
-    valid, _ = split(validate_events(decoded))
+def _events_out(validated: DataFrame, active: DataFrame, ingest_time) -> DataFrame:
+    valid, _ = split(validated)
     r = valid.select(rec.event_record(ingest_time).alias("r"))
     flat = r.select(F.col("r.sessionId").alias("sessionId"), F.col("r.userId").alias("userId"),
                     F.col("r.eventList")[0].alias("e")).select("sessionId", "userId", "e.*")
     return st.fanout_events(flat, active)
 
 
-def item_records(decoded: DataFrame, active: DataFrame, ingest_time=None) -> DataFrame:
-    """Valid article updates -> one put-item row per (item, dataset)."""
-    ingest_time = ingest_time if ingest_time is not None else ingest_time_now()
-    valid, _ = split(validate_content(decoded))
+def _items_out(validated: DataFrame, active: DataFrame, ingest_time) -> DataFrame:
+    valid, _ = split(validated)
     r = valid.select(F.col("record_id"), rec.item_record(ingest_time).alias("r"),
                      rec.item_properties(ingest_time)["CREATION_TIMESTAMP"].alias("updated_ts"))
     flat = r.select("record_id", "updated_ts", F.col("r.itemId").alias("itemId"),
@@ -49,14 +52,41 @@ def item_records(decoded: DataFrame, active: DataFrame, ingest_time=None) -> Dat
     return st.fanout_items(flat, active)
 
 
-def ingest_counters(validated: DataFrame, n_targets, fanout_rows=None) -> DataFrame:
-    """57: success (deliveries: valid x targets), fail, skip for a batch."""
+def event_records(decoded: DataFrame, active: DataFrame, ingest_time=None) -> DataFrame:
+    """Valid events -> one flat put-event row per (event, tracker)."""
+    ingest_time = ingest_time if ingest_time is not None else ingest_time_now()
+    return _events_out(validate_events(decoded), active, ingest_time)
+
+
+def item_records(decoded: DataFrame, active: DataFrame, ingest_time=None) -> DataFrame:
+    """Valid article updates -> one put-item row per (item, dataset)."""
+    ingest_time = ingest_time if ingest_time is not None else ingest_time_now()
+    return _items_out(validate_content(decoded), active, ingest_time)
+
+
+def ingest_counters(validated: DataFrame, n_targets) -> DataFrame:
+    """57 (batch form): success (deliveries: valid x targets), fail, skip."""
     return validated.agg(
         (F.count_if(F.col("skip_reason").isNull()) * n_targets).cast("long").alias("success"),
         F.lit(0).cast("long").alias("fail"),
         F.count_if(F.col("skip_reason").isNotNull()).cast("long").alias("skip"))
 
 
+def observed(validated: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """57 (stream form): valid/skip counts gathered while the batch is written."""
+    obs = Observation(name)
+    return validated.observe(obs, F.count_if(F.col("skip_reason").isNull()).alias("valid"),
+                             F.count_if(F.col("skip_reason").isNotNull()).alias("skip")), obs
+
+
+def _write_counters(spark: SparkSession, obs: Observation, n_targets: int, batch_id: int,
+                    path: str) -> None:
+    m = obs.get
+    row = (batch_id, int(m["valid"]) * n_targets, 0, int(m["skip"]))
+    (spark.createDataFrame([row], "batch_id long, success long, fail long, skip long")
+     .write.mode("overwrite").parquet(path))
+
+
 def upsert_items(current: DataFrame | None, updates: DataFrame, key: str = "itemId",
                  version: tuple[str, ...] = ("updated_ts", "record_id")) -> DataFrame:
     """74: newest properties per item win.
@@ -76,31 +106,47 @@ def event_batch_writer(settings_reader: Callable[[], DataFrame], sink: str,
                        ingest_time=None) -> Callable[[DataFrame, int], None]:
     """foreachBatch body of the event stream (75)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_stream_events(batch)
-        validated = validate_events(decoded).persist()
+        spark = batch.sparkSession
         active = scan_active_settings(settings_reader())
         n_targets = active.count()
-        out = event_records(decoded, active, ingest_time)
-        out.write.mode("overwrite").parquet(f"{sink}/records/batch_id={batch_id}")
-        (ingest_counters(validated, n_targets).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{sink}/counters/batch_id={batch_id}"))
-        validated.unpersist()
+        validated, obs = observed(validate_events(decode_stream_events(batch)), "events")
+        t = ingest_time if ingest_time is not None else ingest_time_now()
+        _events_out(validated, active, t).write.mode("overwrite").parquet(
+            f"{sink}/records/batch_id={batch_id}")
+        _write_counters(spark, obs, n_targets, batch_id, f"{sink}/counters/batch_id={batch_id}")
     return write
 
 
+def state_path(sink: str, batch_id: int) -> str:
+    return f"{sink}/state/batch_id={batch_id}"
+
+
+def _read_state(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path).select(*ITEM_STATE_COLUMNS)
+    except AnalysisException:  # no snapshot there (first batch)
+        return None
+
+
 def content_batch_writer(settings_reader: Callable[[], DataFrame], sink: str,
-                         ingest_time=None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body of the content stream (76): records + upserted state."""
+                         ingest_time=None,
+                         initial_state: str | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body of the content stream (76): records, counters and
+    the item-state snapshot of this batch (74)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_stream_content(batch)
-        validated = validate_content(decoded).persist()
+        spark = batch.sparkSession
         active = scan_active_settings(settings_reader())
         n_targets = active.count()
-        out = item_records(decoded, active, ingest_time)
-        out.write.mode("overwrite").parquet(f"{sink}/records/batch_id={batch_id}")
-        (ingest_counters(validated, n_targets).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{sink}/counters/batch_id={batch_id}"))
-        validated.unpersist()
+        validated, obs = observed(validate_content(decode_stream_content(batch)), "content")
+        t = ingest_time if ingest_time is not None else ingest_time_now()
+        rec_path = f"{sink}/records/batch_id={batch_id}"
+        _items_out(validated, active, t).write.mode("overwrite").parquet(rec_path)
+        _write_counters(spark, obs, n_targets, batch_id, f"{sink}/counters/batch_id={batch_id}")
+        # state: previous snapshot + this batch's updates (one row per item)
+        prev = _read_state(spark, state_path(sink, batch_id - 1)) if batch_id > 0 else (
+            _read_state(spark, initial_state) if initial_state else None)
+        updates = spark.read.parquet(rec_path).select(*ITEM_STATE_COLUMNS).distinct()
+        upsert_items(prev, updates).write.mode("overwrite").parquet(state_path(sink, batch_id))
     return write
 
 
@@ -113,8 +159,9 @@ def run_stream(records: DataFrame, writer: Callable[[DataFrame, int], None], che
     return w.start()
 
 
-def items_state(spark, sink: str) -> DataFrame:
-    """Current item state from all written content records (74 over the sink)."""
-    recs = spark.read.parquet(f"{sink}/records")
-    one_target = recs.select("record_id", "updated_ts", "itemId", "properties").distinct()
-    return upsert_items(None, one_target)
+def items_state(spark: SparkSession, sink: str, batch_id: int | None = None) -> DataFrame:
+    """The item state after ``batch_id`` (default: the last finished query's
+    last batch, given by ``query.lastProgress`` / the caller)."""
+    if batch_id is None:
+        batch_id = (spark.read.parquet(f"{sink}/counters").agg(F.max("batch_id")).first()[0])
+    return spark.read.parquet(state_path(sink, batch_id)).select(*ITEM_STATE_COLUMNS)

@@ -82,3 +82,20 @@ def test_use_rate(spark):
     used = spark.createDataFrame([(0, 1)], "period long, used long")
     r = monitoring.recommendation_use_rate(m, used).first()
     assert r.use_rate == 50.0
+
+
+def test_item_state_snapshots_are_replay_safe(spark):
+    base = tempfile.mkdtemp(prefix="state-")
+    recs = fx.stream_content_json(spark, SMALL)
+    first, second = recs.filter("cast(record_id as int) % 2 = 0"), recs
+    w = ingest.content_batch_writer(lambda: fx.settings(spark, SMALL), f"{base}/out", F.lit(0))
+    w(first, 0)
+    w(second, 1)
+    snap1 = ingest.items_state(spark, f"{base}/out", 1)
+    w(second, 1)  # replay of batch 1 after a failure
+    again = ingest.items_state(spark, f"{base}/out", 1)
+    assert snap1.count() == again.count() > 0
+    assert snap1.exceptAll(again).count() == 0
+    n_items = stream.decode_stream_content(recs).filter("ContentId is not null").select(
+        "ContentId").distinct().count()
+    assert snap1.count() <= n_items
