@@ -49,6 +49,24 @@ def to_interactions(events: DataFrame) -> DataFrame:
     )
 
 
+MAP_COLUMN = "eventAttributes"
+
+
+def promote_attributes(raw_events: DataFrame, path: str, keys: Sequence[str] | None = None,
+                       partition_by: Sequence[str] = ("year", "month", "day")) -> str:
+    """Compaction: rewrite raw events with the attributes as top-level columns.
+
+    Predicates on map values cannot be pushed into Parquet and every query
+    reads the whole map.  Written once per day partition, the flat store
+    lets later jobs read only the columns they use and skip row groups by
+    statistics (``PushedFilters``).  Partitioned by date like the source,
+    so the rolling-month scan still prunes folders.
+    """
+    pivot_attributes(raw_events, keys).write.mode("overwrite").partitionBy(
+        *partition_by).parquet(path)
+    return path
+
+
 def sorted_interactions(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """66: order by (USER_ID, TIMESTAMP).
 
@@ -69,8 +87,12 @@ def build_interactions(raw_events: DataFrame, as_of, keys: Sequence[str] | None
 
     1 (rolling-month partitions) -> 11 (pivot) -> 33-38 (rules) -> 13/15
     (user, epoch) -> 31 (7-day window) -> 39 (required columns) -> 66 (sort).
+    A store already flattened by ``promote_attributes`` skips the pivot, and
+    the rule predicates then reach the Parquet reader as pushed filters.
     """
-    events = scan_rolling_month(raw_events, as_of).transform(lambda d: pivot_attributes(d, keys))
+    events = scan_rolling_month(raw_events, as_of)
+    if MAP_COLUMN in events.columns:
+        events = pivot_attributes(events, keys)
     out = (interaction_rules(events)
            .transform(to_interactions)
            .transform(lambda d: flt.recent_interactions(d, as_of))

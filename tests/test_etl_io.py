@@ -87,3 +87,20 @@ def test_apply_mapping_and_decimal_to_number(spark):
 
 def test_interactions_schema_is_importable(spark):
     assert [f.name for f in schemas.interactions_csv_schema().fields] == list(etl.INTERACTION_COLUMNS)
+
+
+def test_flat_store_pushes_rule_predicates_and_matches(spark):
+    """A store flattened by promote_attributes gives the same interactions,
+    and the rule predicates reach the Parquet scan."""
+    raw_path = tempfile.mkdtemp(prefix="raw-map-") + "/raw"
+    fx.raw_events(spark, SMALL).write.partitionBy("year", "month", "day").parquet(raw_path)
+    flat_path = etl.promote_attributes(spark.read.parquet(raw_path),
+                                       tempfile.mkdtemp(prefix="raw-flat-") + "/flat",
+                                       fx.BATCH_ATTRIBUTE_KEYS)
+    a = etl.build_interactions(spark.read.parquet(raw_path), fx.AS_OF, keys=fx.BATCH_ATTRIBUTE_KEYS)
+    b = etl.build_interactions(spark.read.parquet(flat_path), fx.AS_OF)
+    assert rows(a) == rows(b)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    b = etl.build_interactions(spark.read.parquet(flat_path), fx.AS_OF)
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(sp_app_id" in plan and "EqualTo(page_type,article)" in plan
