@@ -73,3 +73,21 @@ def materialize(df):
     if not ensure_checkpoint_dir(df.sparkSession):
         return df  # no shared folder configured: keep the lineage
     return df.checkpoint(eager=True)
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20,
+                   max_partitions: int = 200_000) -> int:
+    """Size shuffles for a job that reads ``input_bytes``.
+
+    Starts shuffles with about one partition per ``target_bytes`` of input
+    (at least 200) and lets AQE coalesce small ones down to the advisory
+    size, so partitions fit executor memory at 100 TB without thousands of
+    tiny tasks at small scale.  Scan splits use the same target.
+    """
+    n = int(min(max(input_bytes // target_bytes, 200), max_partitions))
+    conf = spark.conf
+    conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    conf.set("spark.sql.shuffle.partitions", str(n))
+    conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    conf.set("spark.sql.files.maxPartitionBytes", str(min(target_bytes, 512 << 20)))
+    return n

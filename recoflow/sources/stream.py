@@ -44,3 +44,21 @@ def read_record_stream(spark: SparkSession, path: str, max_files_per_trigger: in
     """
     return (spark.readStream.format(fmt).schema(schemas.STREAM_RECORD)
             .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
+
+
+def read_kafka_record_stream(spark: SparkSession, servers: str, topic: str,
+                             max_offsets_per_trigger: int = 100_000,
+                             starting: str = "latest") -> DataFrame:
+    """Kafka-backed record stream with the same (``record_id``, ``data``) shape.
+
+    ``startingOffsets=latest`` matches the source system's LATEST start;
+    ``maxOffsetsPerTrigger`` bounds a micro-batch.  Needs the Spark Kafka
+    connector on the classpath (not part of the test image).
+    """
+    return (spark.readStream.format("kafka")
+            .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+            .option("startingOffsets", starting)
+            .option("maxOffsetsPerTrigger", max_offsets_per_trigger).load()
+            .select(F.concat_ws(":", F.col("partition").cast("string"),
+                                F.col("offset").cast("string")).alias("record_id"),
+                    F.col("value").cast("string").alias("data")))

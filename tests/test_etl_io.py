@@ -104,3 +104,16 @@ def test_flat_store_pushes_rule_predicates_and_matches(spark):
     b = etl.build_interactions(spark.read.parquet(flat_path), fx.AS_OF)
     plan = b._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(sp_app_id" in plan and "EqualTo(page_type,article)" in plan
+
+
+def test_size_for_input(spark):
+    from recoflow.session import size_for_input
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_for_input(spark, 100 << 40) == 200_000 or size_for_input(spark, 100 << 40) > 200
+        assert size_for_input(spark, 1 << 20) == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
