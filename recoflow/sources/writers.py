@@ -45,8 +45,8 @@ def write_interactions(df: DataFrame, path: str, partitions: int | None = None,
     """3: interactions dataset as CSV (optionally registered as a table)."""
     write_csv(df, path, partitions)
     if table:
-        df.sparkSession.catalog.createExternalTable(table, path=path, source="csv",
-                                                    schema=df.schema, **CSV_OPTIONS)
+        df.sparkSession.catalog.createTable(table, path=path, source="csv", schema=df.schema,
+                                            **CSV_OPTIONS, multiLine="true")
     return path
 
 

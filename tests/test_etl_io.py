@@ -117,3 +117,14 @@ def test_size_for_input(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_write_interactions_registers_table(spark):
+    df = spark.createDataFrame([("u", "i", 1, "page_view", None, None, None, None, None)],
+                               schemas.interactions_csv_schema())
+    path = tempfile.mkdtemp(prefix="tbl-") + "/t"
+    writers.write_interactions(df, path, table="recoflow_interactions_test")
+    try:
+        assert spark.table("recoflow_interactions_test").count() == 1
+    finally:
+        spark.sql("DROP TABLE IF EXISTS recoflow_interactions_test")
