@@ -91,7 +91,9 @@ def view_history(interactions: DataFrame) -> DataFrame:
 
 
 def recency_weight(last_view, as_of, half_life: int = C.RECENCY_HALF_LIFE_SECONDS):
-    age = midnight_epoch(as_of, 0) - F.col(last_view) if isinstance(last_view, str) else last_view
+    """0.5 ** ((as_of - last_view) / half_life); ``last_view`` in epoch seconds."""
+    lv = F.col(last_view) if isinstance(last_view, str) else last_view
+    age = midnight_epoch(as_of, 0) - lv
     return F.pow(F.lit(0.5), age.cast("double") / F.lit(float(half_life)))
 
 

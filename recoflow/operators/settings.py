@@ -19,10 +19,6 @@ from recoflow.operators.guards import check_small
 # assumption instead of trusting it.
 MAX_BACKENDS = 256
 
-CONTEXT_VALUE = ("struct<filter_name:string,filter_values:array<string>,"
-                 "limit_time_range:boolean,include_time_range_for_sections:array<string>>")
-
-
 def filter_specs(spark: SparkSession, specs=C.FILTER_SPECS) -> DataFrame:
     """The filter configuration as a DataFrame (one row per filter)."""
     rows = [(s["context"], s["name"], s["filter_values"], s["limit_time_range"],

@@ -9,7 +9,6 @@ places) so they compare across engines.
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 
