@@ -64,12 +64,13 @@ def epoch_batch(c) -> Column:
 
 
 def epoch_stream(c, ingest_time) -> Column:
-    """Drop the last 5 characters (``.000Z``), parse as
-    ``yyyy-MM-ddTHH:mm:ss`` (UTC); unparsable text falls back to the
-    ingest time (epoch seconds)."""
+    """Drop the last 5 characters (``.000Z``), parse as year-month-dayT
+    hour:minute:second (UTC); unparsable text falls back to the ingest time
+    (epoch seconds).  Single-letter fields accept one or two digits, as a
+    ``%Y-%m-%dT%H:%M:%S`` strptime does."""
     c = col(c)
     head = F.substring(c, F.lit(1), F.length(c) - 5)
-    parsed = F.unix_timestamp(F.try_to_timestamp(head, F.lit("yyyy-MM-dd'T'HH:mm:ss")))
+    parsed = F.unix_timestamp(F.try_to_timestamp(head, F.lit("yyyy-M-d'T'H:m:s")))
     return F.coalesce(parsed, col(ingest_time).cast("long"))
 
 

@@ -32,9 +32,10 @@ def test_epoch_batch_iso_and_bad_text(spark):
 
 
 def test_epoch_stream_falls_back_to_ingest_time(spark):
-    got = one(spark, "t string", [("2024-01-05T12:34:56.000Z",), ("garbage",), ("",)],
+    got = one(spark, "t string", [("2024-01-05T12:34:56.000Z",), ("garbage",), ("",),
+                                  ("2024-1-5T2:3:4.000Z",)],
               fn.epoch_stream("t", F.lit(42)))
-    assert got == [1704458096, 42, 42]
+    assert got == [1704458096, 42, 42, 1704420184]
 
 
 def test_exclude_flag_batch_is_substring_match(spark):
