@@ -56,9 +56,12 @@ def _stream_source(spark, a):
 
 
 def run_events_stream(spark, a) -> None:
-    w = ingest.event_batch_writer(lambda: _read(spark, a.settings), a.sink)
-    ingest.run_stream(_stream_source(spark, a), w, a.checkpoint,
-                      available_now=not a.continuous).awaitTermination()
+    src = _stream_source(spark, a)
+    if a.dedupe_watermark:
+        src = ingest.dedupe_events(src, a.dedupe_watermark)
+    w = ingest.event_batch_writer(lambda: _read(spark, a.settings), a.sink,
+                                  decoded=bool(a.dedupe_watermark))
+    ingest.run_stream(src, w, a.checkpoint, available_now=not a.continuous).awaitTermination()
 
 
 def run_content_stream(spark, a) -> None:
@@ -125,6 +128,8 @@ def parser() -> argparse.ArgumentParser:
         j.add_argument("--continuous", action="store_true")
         if name == "content-stream":
             j.add_argument("--initial-state")
+        else:
+            j.add_argument("--dedupe-watermark", help="e.g. '1 hour'; off by default")
         j.set_defaults(fn=fn)
 
     j = sub.add_parser("recommend")

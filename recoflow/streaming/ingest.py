@@ -102,14 +102,32 @@ def upsert_items(current: DataFrame | None, updates: DataFrame, key: str = "item
         key, *[F.col(f"b.{c}").alias(c) for c in (*version, *payload)])
 
 
+def dedupe_events(records: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """Optional redelivery guard for the event stream (default off).
+
+    Delivery is at-least-once; a redelivered event has the same
+    ``sp_event_id``.  Decodes the stream, derives the event time and drops
+    repeats of an id within the watermark (state per id is kept only for
+    the watermark delay, so it stays bounded).  An event without a parsable
+    time is timed at its processing time.
+    """
+    decoded = decode_stream_events(records)
+    t = F.try_to_timestamp(F.col("sp_derived_tstamp"))
+    timed = decoded.withColumn("__event_time", F.coalesce(t, F.current_timestamp()))
+    return (timed.withWatermark("__event_time", watermark)
+            .dropDuplicatesWithinWatermark(["sp_event_id"]).drop("__event_time"))
+
+
 def event_batch_writer(settings_reader: Callable[[], DataFrame], sink: str,
-                       ingest_time=None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body of the event stream (75)."""
+                       ingest_time=None, decoded: bool = False) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body of the event stream (75).  ``decoded``: the stream
+    was already decoded upstream (e.g. by ``dedupe_events``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         active = scan_active_settings(settings_reader())
         n_targets = active.count()
-        validated, obs = observed(validate_events(decode_stream_events(batch)), "events")
+        rows = batch if decoded else decode_stream_events(batch)
+        validated, obs = observed(validate_events(rows), "events")
         t = ingest_time if ingest_time is not None else ingest_time_now()
         _events_out(validated, active, t).write.mode("overwrite").parquet(
             f"{sink}/records/batch_id={batch_id}")

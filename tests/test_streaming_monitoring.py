@@ -98,3 +98,17 @@ def test_item_state_snapshots_are_replay_safe(spark):
     n_items = stream.decode_stream_content(recs).filter("ContentId is not null").select(
         "ContentId").distinct().count()
     assert len(snap1) <= n_items
+
+
+def test_optional_dedupe_drops_redelivered_events(spark):
+    base = tempfile.mkdtemp(prefix="dedupe-")
+    recs = fx.stream_event_json(spark, SMALL)
+    recs.unionAll(recs).repartition(4).write.json(f"{base}/in")  # every event delivered twice
+    src = ingest.dedupe_events(stream.read_record_stream(spark, f"{base}/in", 2))
+    w = ingest.event_batch_writer(lambda: fx.settings(spark, SMALL), f"{base}/out",
+                                  F.lit(INGEST_EPOCH), decoded=True)
+    ingest.run_stream(src, w, f"{base}/ckpt").awaitTermination()
+    got = spark.read.parquet(f"{base}/out/records").drop("batch_id")
+    want = ingest.event_records(stream.decode_stream_events(recs), active_settings(spark, SMALL),
+                                F.lit(INGEST_EPOCH))
+    assert got.count() == want.count()
