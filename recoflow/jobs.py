@@ -23,7 +23,7 @@ from pyspark.sql import SparkSession
 from recoflow import schemas
 from recoflow.operators import settings as st
 from recoflow.plans import etl, monitoring, recommend
-from recoflow.session import prepare
+from recoflow.session import materialize, prepare
 from recoflow.sources import readers, stream, writers
 from recoflow.streaming import ingest
 
@@ -79,6 +79,9 @@ def run_recommend(spark, a) -> None:
         content_meta=_read(spark, a.metadata), images=_read(spark, a.images),
         settings=_read(spark, a.settings), filters=st.filter_specs(spark))
     rows, req, ranked = recommend.recommend_batch(inp, a.as_of)
+    # two outputs read the ranked rows: compute them once
+    ranked = materialize(ranked)
+    rows = materialize(rows)
     recommend.reply_assembly(rows, req).write.mode("overwrite").json(f"{a.out}/replies")
     recommend.coverage_metrics(rows, req, ranked, inp.content_meta, inp.images).write.mode(
         "overwrite").parquet(f"{a.out}/coverage")
