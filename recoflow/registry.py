@@ -71,11 +71,13 @@ def events_with_ts(spark, sf):
     return flat_events(spark, sf).withColumn("TIMESTAMP", fn.epoch_batch("sp_derived_tstamp"))
 
 
-def interactions(spark, sf):
+def interactions(spark, sf, materialized: bool = True):
     """The interactions dataset.  Downstream jobs read it as a stored table
-    (the ETL output); here it is derived and materialised once per query."""
-    return materialize(etl.build_interactions(fx.raw_events(spark, sf), AS_OF,
-                                              keys=fx.BATCH_ATTRIBUTE_KEYS, sort=False))
+    (the ETL output); here it is derived and materialised once per query
+    (callers that materialise a pruned copy themselves pass False)."""
+    df = etl.build_interactions(fx.raw_events(spark, sf), AS_OF, keys=fx.BATCH_ATTRIBUTE_KEYS,
+                                sort=False)
+    return materialize(df) if materialized else df
 
 
 def mapped_items(spark, sf):
@@ -482,7 +484,7 @@ def q_ingest_counters(spark, sf):
 
 def _recommend(spark, sf):
     inp = recommend.Inputs(
-        requests=fx.requests(spark, sf), interactions=interactions(spark, sf),
+        requests=fx.requests(spark, sf), interactions=interactions(spark, sf, materialized=False),
         items=items(spark, sf), content_meta=fx.content_meta(spark, sf),
         images=fx.images(spark, sf), settings=fx.settings(spark, sf),
         filters=st.filter_specs(spark))
