@@ -38,6 +38,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     keys = [k for k in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if k]
 
+    os.environ.setdefault("RECOFLOW_DRIVER_MEMORY", "16g")
     from recoflow.registry import queries
     from recoflow.session import local_session
 
