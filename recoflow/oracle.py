@@ -289,10 +289,10 @@ POP = (
 CANDS = (
     "warm AS (SELECT c.request_id, c.item_id, c.score, c.dated, " + AGE_OK + " AS age_ok FROM ("
     "SELECT r.request_id, r.visitor_id AS user_id, r.kind, r.category, r.dated, p.item_id, p.score "
-    "FROM resolved r JOIN pers p ON p.user_id = r.visitor_id) c "
+    "FROM resolved r JOIN pers p ON p.user_id = r.visitor_id WHERE r.backend IS NOT NULL) c "
     f"LEFT JOIN items i ON i.ITEM_ID = c.item_id WHERE ({KIND_PRED}) AND {NOT_VIEWED}),\n"
-    "cold AS (SELECT r.* FROM resolved r WHERE NOT EXISTS (SELECT 1 FROM interactions x "
-    "WHERE x.USER_ID = r.visitor_id)),\n"
+    "cold AS (SELECT r.* FROM resolved r WHERE r.backend IS NOT NULL AND NOT EXISTS (SELECT 1 "
+    "FROM interactions x WHERE x.USER_ID = r.visitor_id)),\n"
     "cseg AS (SELECT request_id, kind, category, dated, CASE WHEN lvl IN (0, 1) THEN ctx_platform END "
     "AS platform, CASE WHEN lvl IN (0, 2) THEN ctx_visitor_type END AS visitor_type, lvl AS seg_level "
     "FROM (SELECT *, CASE WHEN ctx_platform IS NOT NULL AND ctx_visitor_type IS NOT NULL THEN 0 "

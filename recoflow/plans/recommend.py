@@ -169,10 +169,12 @@ def recommend_candidates(inp: Inputs, as_of) -> tuple[DataFrame, DataFrame]:
     inter = materialize(inp.interactions.select(*INTERACTION_COLUMNS))
     items = materialize(inp.items.select(*ITEM_COLUMNS))
     req = materialize(resolve_request(inp.requests, inp.settings, inp.filters, as_of))
+    # no active backend: the request is answered with an empty reply
+    served = req.filter(F.col("backend").isNotNull())
     users = inter.select(F.col("USER_ID").alias("visitor_id")).distinct()
-    warm_c, warm_k = warm_candidates(req.join(users, "visitor_id", "left_semi"), inter, items,
+    warm_c, warm_k = warm_candidates(served.join(users, "visitor_id", "left_semi"), inter, items,
                                      as_of)
-    cold_c, cold_k = cold_candidates(req.join(users, "visitor_id", "left_anti"), inter, items,
+    cold_c, cold_k = cold_candidates(served.join(users, "visitor_id", "left_anti"), inter, items,
                                      as_of)
     lists = cd.ranked_lists(warm_c.unionByName(cold_c))
     keyed = warm_k.unionByName(cold_k).join(

@@ -78,3 +78,30 @@ def test_topk_per_request_ties_by_item(spark):
                               "request_id int, item_id string, score double, n int")
     out = cd.topk_per_request(c, "n")
     assert rows(out, "request_id", "item_id", "rank") == S([(1, "a", 2), (1, "c", 1), (2, "z", 1)])
+
+
+def test_parse_request_tolerates_missing_sub_requests(spark):
+    from recoflow.plans import recommend
+    ddl = ("request_id long, visitor_id string, platform string, sub_requests array<struct<"
+           "widget_id:string, limit:string, context:string, platform:string, visitor_type:string, "
+           "section:string, include_sections:string, last_content_ids:string>>")
+    df = spark.createDataFrame([(1, "u", None, []), (2, "u", None, None)], ddl)
+    out = recommend.parse_request(df).collect()
+    assert [(r.limit, r.num_results, r.context) for r in out] == [(25, 26, None), (25, 26, None)]
+
+
+def test_requests_without_backend_get_empty_replies(spark):
+    from recoflow import registry as R
+    from recoflow.plans import recommend
+    from recoflow.sources import fixtures as fx
+    from tests.conftest import SMALL
+    inp = recommend.Inputs(
+        requests=fx.requests(spark, SMALL), interactions=R.interactions(spark, SMALL),
+        items=R.items(spark, SMALL), content_meta=fx.content_meta(spark, SMALL),
+        images=fx.images(spark, SMALL),
+        settings=fx.settings(spark, SMALL).withColumn("status", F.lit("inactive")),
+        filters=st.filter_specs(spark))
+    rows, req, ranked = recommend.recommend_batch(inp, R.AS_OF)
+    assert ranked.count() == 0 and rows.count() == 0
+    replies = recommend.reply_assembly(rows, req).collect()
+    assert len(replies) == req.count() and all('"recommendations":[]' in r.reply for r in replies)
