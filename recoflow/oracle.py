@@ -346,6 +346,19 @@ def recommend_ctes() -> str:
                  *REQ_CTES, VIEWED, SIMS, PERS, POP, CANDS, META, IMGS, ROWS)
 
 
+def lag_block(stream: str, src: str, n: int) -> str:
+    """Per-period max lag of one stream on a dense grid, alarm over n periods."""
+    return (
+        f"SELECT '{stream}' AS stream, period, max_lag_ms, breaching, "
+        f"sum(CAST(breaching AS INTEGER)) OVER (ORDER BY period ROWS BETWEEN {n - 1} PRECEDING "
+        f"AND CURRENT ROW) >= {n} AS in_alarm FROM (SELECT g.period, l.max_lag_ms, "
+        f"COALESCE(l.max_lag_ms >= {C.LAG_ALARM_MS}, false) AS breaching FROM (SELECT "
+        "unnest(generate_series(min(period), max(period), 300)) AS period FROM (SELECT CAST(floor("
+        f"arrival_ms / 1000.0 / 300) * 300 AS BIGINT) AS period FROM {src})) g LEFT JOIN (SELECT "
+        "CAST(floor(arrival_ms / 1000.0 / 300) * 300 AS BIGINT) AS period, max(arrival_ms - event_ms) "
+        f"AS max_lag_ms FROM {src} GROUP BY 1) l USING (period))")
+
+
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     ev = with_(EVENTS_FLAT)
@@ -600,18 +613,13 @@ def queries() -> dict[str, str]:
         "SELECT \"itemId\", updated_ts, record_id, properties FROM (SELECT *, row_number() OVER "
         "(PARTITION BY \"itemId\" ORDER BY updated_ts DESC, record_id DESC) AS rn FROM item_records) "
         "WHERE rn = 1")
-    q["stream_lag"] = (
-        "WITH a AS (SELECT (epoch_ms(ts) // 1000) * 1000 AS event_ms, (epoch_ms(ts) // 1000) * 1000 + "
+    q["stream_lag"] = with_(ITEMS_FLAT, CONTENT_FLAT) + (
+        ", ea AS (SELECT (epoch_ms(ts) // 1000) * 1000 AS event_ms, (epoch_ms(ts) // 1000) * 1000 + "
         "(event_id % 7) * 2000 AS arrival_ms FROM events),\n"
-        "l AS (SELECT CAST(floor(arrival_ms / 1000.0 / 300) * 300 AS BIGINT) AS period, "
-        "max(arrival_ms - event_ms) AS max_lag_ms FROM a GROUP BY 1),\n"
-        "g AS (SELECT unnest(generate_series(min(period), max(period), 300)) AS period FROM l),\n"
-        "d AS (SELECT g.period, l.max_lag_ms, COALESCE(l.max_lag_ms >= "
-        f"{C.LAG_ALARM_MS}, false) AS breaching FROM g LEFT JOIN l USING (period))\n"
-        "SELECT 'events' AS stream, period, max_lag_ms, breaching, sum(CAST(breaching AS INTEGER)) "
-        "OVER (ORDER BY period "
-        "ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) >= 10 AS in_alarm FROM d")
-
+        f"ca AS (SELECT {epoch_iso(chr(34) + 'UpdatedDate' + chr(34))} * 1000 AS event_ms, "
+        f"{epoch_iso(chr(34) + 'UpdatedDate' + chr(34))} * 1000 + (doc_id % 13) * 1000 AS arrival_ms "
+        "FROM content_flat WHERE " + epoch_iso('"UpdatedDate"') + " IS NOT NULL)\n"
+        + lag_block("events", "ea", 10) + " UNION ALL " + lag_block("content", "ca", 1))
     # 2.9
     q["similar_items"] = with_(EVENTS_FLAT, INTERACTIONS_CTE, SIMS) + (
         "SELECT item_id, similar_item_id, round(sim, 6) AS sim, rank FROM sims")

@@ -635,14 +635,19 @@ def q_stream_content(spark, sf):
 
 @register("stream_lag")
 def q_stream_lag(spark, sf):
-    """77: per-period consumer lag and the 10-period lag alarm."""
+    """77: per-period consumer lag of both streams and their lag alarms
+    (events: 10 consecutive periods, content: 1)."""
     ev = fx.read(spark, sf, "events")
-    arrivals = ev.select(
-        F.lit("events").alias("stream"),
-        (F.unix_timestamp(F.col("ts").cast("timestamp")) * 1000).alias("event_ms"),
-        (F.unix_timestamp(F.col("ts").cast("timestamp")) * 1000
-         + (F.col("event_id") % 7) * 2000).alias("arrival_ms"))
-    return monitoring.stream_lag(arrivals)
+    ev_ms = F.unix_timestamp(F.col("ts").cast("timestamp")) * 1000
+    events = ev.select(F.lit("events").alias("stream"), ev_ms.alias("event_ms"),
+                       (ev_ms + (F.col("event_id") % 7) * 2000).alias("arrival_ms"))
+    upd_ms = fn.epoch_batch("UpdatedDate") * 1000
+    content = (fx.content_flat(spark, sf)
+               .select(F.lit("content").alias("stream"), upd_ms.alias("event_ms"),
+                       (upd_ms + (F.col("doc_id") % 13) * 1000).alias("arrival_ms"))
+               .filter(F.col("event_ms").isNotNull()))
+    return (monitoring.stream_lag(events, periods=10)
+            .unionByName(monitoring.stream_lag(content, periods=1)))
 
 
 # -- 2.9 scoring -----------------------------------------------------------------------------------
