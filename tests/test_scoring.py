@@ -84,3 +84,22 @@ def test_personalized_ranking_missing_scores_are_zero(spark):
     got = [(r.item_id, r.rank) for r in
            scoring.personalized_ranking(cands, scores).orderBy("rank").collect()]
     assert got == [("x", 1), ("a", 2), ("b", 3)]
+
+
+def test_similar_items_exact_when_one_user_holds_a_third(spark):
+    """Real sf0.01 interactions with a third of the rows moved to one user:
+    the block split (many block pairs for the hot user) gives exactly the
+    result of an unsplit self-join."""
+    from pyspark.sql import functions as F
+
+    from recoflow import registry as R
+    inter = R.interactions(spark, "/root/testdata/sf0.01")
+    hot = inter.withColumn("USER_ID", F.when(F.xxhash64("USER_ID", "ITEM_ID", "TIMESTAMP") % 3 == 0,
+                                             F.lit("hot")).otherwise(F.col("USER_ID")))
+    share = hot.filter(F.col("USER_ID") == "hot").count() / hot.count()
+    assert 0.25 < share < 0.42
+    split = {(r.item_id, r.similar_item_id): (round(r.sim, 9), r.rank)
+             for r in scoring.similar_items(hot, k=10, block_items=8).collect()}
+    whole = {(r.item_id, r.similar_item_id): (round(r.sim, 9), r.rank)
+             for r in scoring.similar_items(hot, k=10, block_items=1_000_000).collect()}
+    assert split == whole and len(split) > 0
