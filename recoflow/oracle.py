@@ -585,7 +585,9 @@ def queries() -> dict[str, str]:
         ", per AS (SELECT request_id, to_json(list(" + rec_json + " ORDER BY position)) AS recs FROM rows "
         "GROUP BY request_id)\n"
         "SELECT q.request_id, json_object('request_id', q.request_id, 'container_position', 0, "
-        "'widget_id', q.widget_id, 'recommendations', COALESCE(p.recs, json('[]')))::VARCHAR AS reply "
+        "'widget_id', q.widget_id, 'recommendationId', CASE WHEN q.backend IS NOT NULL THEN "
+        "q.backend || ':' || CAST(q.request_id AS VARCHAR) END, "
+        "'recommendations', COALESCE(p.recs, json('[]')))::VARCHAR AS reply "
         "FROM resolved q LEFT JOIN per p ON p.request_id = q.request_id")
 
     # 2.6

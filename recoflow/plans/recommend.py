@@ -239,11 +239,15 @@ def reply_assembly(rows: DataFrame, req: DataFrame) -> DataFrame:
     )
     per = rows.withColumn("word_count", F.col("word_count").cast("double")).groupBy(
         "request_id").agg(F.array_sort(F.collect_list(rec)).alias("recs"))
-    base = req.select("request_id", "widget_id")
+    base = req.select("request_id", "widget_id", "backend")
     j = base.join(per, "request_id", "left")
     recs = F.coalesce(F.col("recs"), F.array().cast(per.schema["recs"].dataType))
+    # the id later page views carry back as page_rid (counted by op 63)
+    rid = F.when(F.col("backend").isNotNull(),
+                 F.concat(F.col("backend"), F.lit(":"), F.col("request_id").cast("string")))
     reply = F.struct(F.col("request_id"), F.lit(0).alias("container_position"),
-                     F.col("widget_id"), F.transform(recs, lambda r: r.dropFields("position"))
+                     F.col("widget_id"), rid.alias("recommendationId"),
+                     F.transform(recs, lambda r: r.dropFields("position"))
                      .alias("recommendations"))
     return j.select("request_id", F.to_json(reply, {"ignoreNullFields": "false"}).alias("reply"))
 
