@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recoflow.constants import RAW_MAIN_COLUMNS
+
 # -- events_flat: one row per click event, every attribute a string --------
 EVENTS_FLAT = [
     ("CAST(event_id AS STRING)", "sp_event_id"),
@@ -199,11 +201,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("value"))
                         for k in BATCH_ATTRIBUTE_KEYS])
     attrs = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
-    return flat.select(attrs.alias("eventAttributes"), *RAW_MAIN_COLUMNS_SEL,
-                       "year", "month", "day")
-
-
-RAW_MAIN_COLUMNS_SEL = ["timestamp", "datetime_collector_local", "eventdate", "datetime_local"]
+    return flat.select(attrs.alias("eventAttributes"), *RAW_MAIN_COLUMNS, "year", "month", "day")
 
 
 def stream_event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
