@@ -30,3 +30,23 @@ def test_interactions_items_publish_recommend_jobs(spark):
     a.fn(spark, a)
     assert spark.read.json(f"{base}/r/replies").count() == fx.requests(spark, SMALL).count()
     assert spark.read.parquet(f"{base}/r/coverage").count() == fx.requests(spark, SMALL).count()
+
+
+def test_stream_and_monitor_jobs(spark):
+    base = tempfile.mkdtemp(prefix="jobs-stream-")
+    fx.stream_event_json(spark, SMALL).repartition(2).write.json(f"{base}/ev")
+    fx.stream_content_json(spark, SMALL).repartition(2).write.json(f"{base}/ct")
+    fx.settings(spark, SMALL).write.parquet(f"{base}/settings")
+    fx.metrics_from_events(fx.read(spark, SMALL, "events")).write.parquet(f"{base}/metrics")
+    run = lambda *a: jobs.parser().parse_args(list(a))
+    a = run("events-stream", "--records", f"{base}/ev", "--settings", f"{base}/settings",
+            "--sink", f"{base}/evout", "--checkpoint", f"{base}/evck", "--dedupe-watermark", "1 hour")
+    a.fn(spark, a)
+    a = run("content-stream", "--records", f"{base}/ct", "--settings", f"{base}/settings",
+            "--sink", f"{base}/ctout", "--checkpoint", f"{base}/ctck")
+    a.fn(spark, a)
+    a = run("monitor", "--metrics", f"{base}/metrics", "--out", f"{base}/mon")
+    a.fn(spark, a)
+    assert spark.read.parquet(f"{base}/evout/records").count() > 0
+    assert spark.read.parquet(f"{base}/ctout/state").count() > 0
+    assert spark.read.parquet(f"{base}/mon/alarms").count() > 0
