@@ -42,7 +42,8 @@ def main() -> None:
     from recoflow.registry import queries
     from recoflow.session import local_session
 
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, int(cpus)), app="recoflow-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, int(cpus))))
+    spark = local_session(cores=cpus, shuffle_partitions=parts, app="recoflow-bench")
     qs = queries()
 
     warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
