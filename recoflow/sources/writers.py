@@ -64,9 +64,11 @@ def refresh_snapshot(spark: SparkSession, sources: dict[str, DataFrame], dest: s
     """5: publish new snapshots of several datasets under ``dest``.
 
     Each dataset is written to ``dest/<name>/v=<version>``; only after all
-    writes succeed is ``dest/_current`` (a one-row-per-dataset table)
-    overwritten to point at the new version.  Readers resolve through the
-    pointer, so the switch is the only visible step.
+    writes succeed is one row per dataset appended to the version log
+    ``dest/_versions``.  Appends never delete, and the commit protocol
+    makes the appended rows visible at once, so a reader always resolves a
+    complete snapshot (the previous one until the append commits); a
+    failed publish leaves only an unreferenced folder.
     """
     version = version or new_version()
     paths = {}
@@ -74,13 +76,16 @@ def refresh_snapshot(spark: SparkSession, sources: dict[str, DataFrame], dest: s
         p = f"{dest}/{name}/v={version}"
         write_csv(df, p)
         paths[name] = p
-    pointer = spark.createDataFrame(list(paths.items()), "dataset string, path string")
-    pointer.coalesce(1).write.mode("overwrite").json(f"{dest}/_current")
+    log = spark.createDataFrame([(n, p, version) for n, p in paths.items()],
+                                "dataset string, path string, version string")
+    log.coalesce(1).write.mode("append").json(f"{dest}/_versions")
     return paths
 
 
 def current_snapshot(spark: SparkSession, dest: str, name: str, schema: T.StructType) -> DataFrame:
-    """Resolve the published version of one dataset and read it."""
-    ptr = spark.read.schema("dataset string, path string").json(f"{dest}/_current")
-    path = ptr.filter(F.col("dataset") == name).select("path").first()["path"]
+    """Resolve the newest published version of one dataset and read it."""
+    log = spark.read.schema("dataset string, path string, version string").json(
+        f"{dest}/_versions")
+    path = (log.filter(F.col("dataset") == name)
+            .agg(F.max_by("path", "version").alias("path")).first()["path"])
     return read_csv(spark, path, schema)
