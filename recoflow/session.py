@@ -21,6 +21,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Catalogue-sized sides (users per item, item freshness and attributes)
+    # meet the largest intermediates (item pairs, user-item affinities).
+    # AQE broadcasts a side only after measuring its materialised size, so
+    # a higher runtime cap keeps the big side unshuffled without trusting
+    # estimates; a cluster's own setting wins.
+    if conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None:
+        conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
     return spark
 
 
