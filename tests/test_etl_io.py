@@ -110,8 +110,9 @@ def test_size_for_input(spark):
     from recoflow.session import size_for_input
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        assert size_for_input(spark, 100 << 40) == 200_000 or size_for_input(spark, 100 << 40) > 200
-        assert size_for_input(spark, 1 << 20) == 200
+        assert size_for_input(spark, 100 << 40) == 200_000          # capped
+        assert size_for_input(spark, 10 << 40) == (10 << 40) // (256 << 20)
+        assert size_for_input(spark, 1 << 20) == 200                 # floor
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
