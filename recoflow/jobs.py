@@ -34,7 +34,8 @@ def _read(spark: SparkSession, path: str, fmt: str = "parquet"):
 
 def run_interactions(spark, a) -> None:
     raw = spark.read.parquet(a.raw_events)
-    out = etl.build_interactions(raw, a.as_of, partitions=a.partitions)
+    keys = [k for k in a.keys.split(",") if k] if a.keys else None
+    out = etl.build_interactions(raw, a.as_of, keys=keys, partitions=a.partitions)
     writers.write_interactions(out, a.out, table=a.table)
 
 
@@ -105,6 +106,7 @@ def parser() -> argparse.ArgumentParser:
     j.add_argument("--out", required=True)
     j.add_argument("--partitions", type=int)
     j.add_argument("--table")
+    j.add_argument("--keys", help="attribute keys, comma-separated (skips key discovery)")
     j.set_defaults(fn=run_interactions)
 
     j = sub.add_parser("items")

@@ -20,6 +20,11 @@ def test_interactions_items_publish_recommend_jobs(spark):
     run = lambda *a: jobs.parser().parse_args(list(a))
     a = run("interactions", "--raw-events", f"{base}/raw", "--as-of", fx.AS_OF, "--out", f"{base}/i")
     a.fn(spark, a)
+    a = run("interactions", "--raw-events", f"{base}/raw", "--as-of", fx.AS_OF, "--out",
+            f"{base}/i2", "--keys", ",".join(fx.BATCH_ATTRIBUTE_KEYS))
+    a.fn(spark, a)
+    assert spark.read.csv(f"{base}/i2", header=True).count() == \
+        spark.read.csv(f"{base}/i", header=True).count() > 0
     a = run("items", "--content", f"{base}/content", "--as-of", fx.AS_OF, "--out", f"{base}/it")
     a.fn(spark, a)
     a = run("publish", "--interactions", f"{base}/i", "--items", f"{base}/it", "--dest", f"{base}/p")
