@@ -93,14 +93,14 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     columns = docs.columns
     runs = repeated_runs(docs, id_col, text_col, run)
     keyed = docs.select(*(F.col(c).alias(f"_in_{i}") for i, c in enumerate(columns)), *doc_key(id_col, text_col))
-    rows = keyed.join(runs, ["_id", "_th"], "left")
+    rows = keyed.join(runs.hint("merge"), ["_id", "_th"], "left")  # one plan at every size
     return rows.select(*((_cut(F.col(f"_in_{i}"), F.col("runs")) if c == text_col else F.col(f"_in_{i}")).alias(c) for i, c in enumerate(columns)))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN) -> DataFrame:
     """(id, n_lines, n_removed, kept_sha256) of every row; null text: no lines, the hash of nothing."""
     rows = docs.select(*doc_key(id_col, text_col), F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-    rows = rows.join(repeated_runs(docs, id_col, text_col, run), ["_id", "_th"], "left")
+    rows = rows.join(repeated_runs(docs, id_col, text_col, run).hint("merge"), ["_id", "_th"], "left")  # one plan at every size
     removed = F.aggregate(F.coalesce("runs", F.array().cast("array<struct<a:int,b:int>>")), F.lit(0), lambda acc, r: acc + r["b"] - r["a"] + 1)
     return rows.select(
         F.col("_doc").alias(id_col), F.coalesce(F.size(_lines(F.col("_text"))), F.lit(0)).cast("long").alias("n_lines"),
