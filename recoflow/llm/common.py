@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 #: Stands for a null id wherever ids are ordered or joined; it sorts first.
 NULL_ID = -(1 << 63)
 #: Text is worked on in slices of about so many bytes, so that the arrays
-#: made from a slice stay small whatever the batch size.
-SLICE_BYTES = 4 << 20
+#: made from a slice stay small whatever the batch size (under 2**21, the
+#: length of the hashes' tables of powers).
+SLICE_BYTES = 2_000_000
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -52,24 +53,30 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back.
 
     Cuts the lineage: a lost executor re-reads files, nothing upstream is
-    run twice, and later readers prune columns.
+    run twice, and later readers prune columns. ``batch_rows``: rows that
+    Python is sent at once, for tables whose rows are large.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/recoflow-llm/{name}-{uuid.uuid4().hex}"
-    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(cleanup, None)
-    spark.conf.set(cleanup, "true")  # once written, the shuffle files are of no more use
+    # once written, the shuffle files are of no more use
+    wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if batch_rows:
+        wanted["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(batch_rows)
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(cleanup)
-        else:
-            spark.conf.set(cleanup, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     out = spark.read.schema(df.schema).parquet(path)
     out._recoflow_path = path
     return out

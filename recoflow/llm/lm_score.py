@@ -36,8 +36,8 @@ from .textscan import Words, mix
 
 FOLDS = 7
 HELD_OUT = 2
-BLOCK_BYTES = 8 << 20
-BUCKET_ITEMS = 1 << 21
+BLOCK_BYTES = 3_000_000
+BUCKET_ITEMS = 1 << 19
 ROUNDS = 60
 #: Stand for the end of a text, and for its beginning as a context.
 _END = np.uint64(0x5851F42D4C957F2C)
@@ -49,18 +49,23 @@ def held_out(doc_ids: list[int | None]) -> np.ndarray:
     return np.array([zlib.crc32(b"" if i is None else str(i).encode()) % FOLDS == HELD_OUT for i in doc_ids], bool)
 
 
+def _tokens(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens of each row, hashes of all tokens): the words of a row, then its end."""
+    sizes = words.count + 1
+    hashes = np.full(int(sizes.sum()), _END)
+    inner = np.ones(len(hashes), bool)
+    inner[np.cumsum(sizes) - 1] = False
+    hashes[inner] = words.hashes() & ~np.uint64(1)
+    return sizes, hashes
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     task, made = TaskContext.get().partitionId() << 32, 0
     for batch in batches:
         for at, rows in text_slices(batch.column(1), BLOCK_BYTES):
             ids = batch.column(0).slice(at, len(rows)).to_pylist()
-            words = Words(rows, lower=True)
-            sizes = words.count + 1
-            ends = np.cumsum(sizes) - 1
-            hashes = np.full(int(sizes.sum()), _END)
-            inner = np.ones(len(hashes), bool)
-            inner[ends] = False
-            hashes[inner] = words.hashes() & ~np.uint64(1)
+            parts = [_tokens(Words(part, lower=True)) for _, part in text_slices(rows)]
+            sizes, hashes = (np.concatenate(x) for x in zip(*parts))
             known, tokens = np.unique(hashes, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([task + made]), pa.array([ids], pa.list_(pa.int64())),
@@ -204,12 +209,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     blocks = materialize(texts.mapInArrow(_blocks, _BLOCK_SCHEMA), "blocks")
     held = blocks.agg(F.sum(F.length("tokens") / 4 + F.length("words") / 8)).first()[0] or 0
     buckets = max(1, int(-(-held // BUCKET_ITEMS)))
-    asked = blocks.mapInArrow(_asker(buckets), "bucket long, block long, items binary, counts binary")
+    asked = materialize(blocks.mapInArrow(_asker(buckets), "bucket long, block long, items binary, counts binary"), "asked", batch_rows=1)
     answers = materialize(asked.groupBy("bucket").applyInArrow(_answer, "block long, bucket long, totals binary, types long"), "answers")
+    discard(asked)
     v = answers.agg(F.sum("types")).first()[0] or 0
     joined = materialize(blocks.groupBy("block").cogroup(answers.select("block", "bucket", "totals").groupBy("block"))
                          .applyInArrow(_joiner(buckets), _JOINED), "counted")
     discard(answers)
+    discard(blocks)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -234,7 +241,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 names=["cell", "n", "p2", "p1"])
 
     # at most 65 x 256 x 256 cells, in fact some ten thousand, however large the corpus
-    cells = joined.drop("doc_ids").mapInArrow(deleted, "cell long, n long, p2 double, p1 double").groupBy("cell").agg(
+    cells = materialize(joined.drop("doc_ids").mapInArrow(deleted, "cell long, n long, p2 double, p1 double"), "cells", batch_rows=1).groupBy("cell").agg(
         *(F.sum(c).alias(c) for c in ("n", "p2", "p1"))).orderBy("cell").toPandas()
     cells["kind"] = cells.cell.to_numpy(np.int64) >> 16
     weights = spark.sparkContext.broadcast(learn_weights(cells, uniform))
@@ -255,5 +262,5 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  pa.array(np.add.reduceat(plain, first)), pa.array(np.add.reduceat(np.log10(p), first))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    discard(blocks)
-    return joined.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return materialize(joined.mapInArrow(score, schema), "scores", batch_rows=1)
