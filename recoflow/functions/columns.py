@@ -105,14 +105,18 @@ def truncate_text(c, limit: int = C.CONTENT_TEXT_LIMIT) -> Column:
 # -- 23: request limit --------------------------------------------------------
 
 def parse_limit(c) -> Column:
-    """Requested count: integer text, else the default."""
-    return F.coalesce(col(c).try_cast("int"), F.lit(C.DEFAULT_LIMIT))
+    """Requested count: integer text, else the default; integers beyond the
+    type count as its largest or smallest value."""
+    text = col(c).cast("string")
+    beyond = F.when(text.rlike(r"^\s*\+?\d+\s*$"), F.lit(2147483647)).when(
+        text.rlike(r"^\s*-\d+\s*$"), F.lit(-2147483648))
+    return F.coalesce(col(c).try_cast("int"), beyond, F.lit(C.DEFAULT_LIMIT))
 
 
 def num_results(limit) -> Column:
     """Ask for one more than the limit (the current article may come back),
     never more than the service cap."""
-    return F.least(col(limit) + 1, F.lit(C.MAX_RESULTS))
+    return F.least(col(limit).cast("long") + 1, F.lit(C.MAX_RESULTS).cast("long")).cast("int")
 
 
 # -- 24: category -------------------------------------------------------------

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from recoflow import constants as C
 from recoflow.functions.columns import midnight_epoch
-from recoflow.operators.guards import small_or_shuffled
 
 
 def recent_interactions(df: DataFrame, as_of, ts: str = "TIMESTAMP",
@@ -71,11 +70,11 @@ def host_denylist_table(df: DataFrame, hosts: DataFrame, c: str = "sp_page_urlho
     """38 (table form): anti join against a deny table of hosts.
 
     NULL hosts never match an equi-join key, so they are kept, as in the
-    literal form.  The deny table is broadcast when its row count is
-    proven small, else joined with a shuffle.
+    literal form.  Adaptive execution picks the
+    join from the measured size of the deny table.
     """
     deny = hosts.select(F.col(host_col).alias("__deny_host")).distinct()
-    return df.join(small_or_shuffled(deny), F.col(c) == F.col("__deny_host"), "left_anti")
+    return df.join(deny, F.col(c) == F.col("__deny_host"), "left_anti")
 
 
 INTERACTION_REQUIRED = ("USER_ID", "ITEM_ID", "TIMESTAMP", "EVENT_TYPE")

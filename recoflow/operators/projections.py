@@ -10,10 +10,8 @@ from pyspark.sql import types as T
 
 from recoflow import constants as C
 
-# Upper bound on attribute keys turned into columns by discovery.  A frame
-# wider than this is not a usable table; exceeding it means the map holds
-# data, not attributes, and the caller must pass ``keys`` explicitly.
-MAX_DISCOVERED_KEYS = 4096
+# Default of ``max_keys``: attribute keys that discovery turns into columns.
+DEFAULT_MAX_KEYS = 4096
 
 
 def distinct_attribute_keys(df: DataFrame, map_col: str = "eventAttributes") -> DataFrame:
@@ -25,16 +23,17 @@ def distinct_attribute_keys(df: DataFrame, map_col: str = "eventAttributes") ->
     return df.select(F.explode(F.map_keys(map_col)).alias("key")).distinct()
 
 
-def discover_keys(df: DataFrame, map_col: str = "eventAttributes") -> list[str]:
+def discover_keys(df: DataFrame, map_col: str = "eventAttributes",
+                  max_keys: int = DEFAULT_MAX_KEYS) -> list[str]:
     """Collect the distinct attribute keys for a schema decision.
 
-    Only the distinct key set reaches the driver, and its size is checked
-    before it is collected.
+    Only the distinct key set reaches the driver.  More than ``max_keys`` of
+    them are an error, never cut: raise the parameter or pass the keys.
     """
     keys_df = distinct_attribute_keys(df, map_col)
-    probe = keys_df.limit(MAX_DISCOVERED_KEYS + 1).collect()
-    if len(probe) > MAX_DISCOVERED_KEYS:
-        raise ValueError(f"{map_col} has more than {MAX_DISCOVERED_KEYS} distinct keys; "
+    probe = keys_df.limit(max_keys + 1).collect()
+    if len(probe) > max_keys:
+        raise ValueError(f"{map_col} has more than {max_keys} distinct keys; "
                          "pass the attribute keys explicitly")
     return sorted(r["key"] for r in probe)
 

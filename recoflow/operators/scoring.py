@@ -53,13 +53,19 @@ def co_view_counts(views: DataFrame, block_items: int = DEFAULT_BLOCK_ITEMS) ->
     v = (views.join(deg, "u")
          .withColumn("nb", nb)
          .withColumn("b", F.pmod(F.xxhash64("i"), F.col("nb").cast("long")).cast("int")))
-    # left copy for every partner block r, right copy for every owner block l
+    # each unordered pair once: left copies for the blocks from its own on,
+    # right copies for the blocks up to its own; mirrored after the count
     left = v.select("u", "i", F.col("b").alias("bl"),
-                    F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("br"))
+                    F.explode(F.sequence(F.col("b"), F.col("nb") - 1)).alias("br"))
     right = v.select("u", F.col("i").alias("j"), F.col("b").alias("br"),
-                     F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bl"))
-    pairs = left.join(right, ["u", "bl", "br"]).filter(F.col("i") != F.col("j"))
-    return pairs.groupBy("i", "j").agg(F.count(F.lit(1)).alias("c_ij"))
+                     F.explode(F.sequence(F.lit(0), F.col("b"))).alias("bl"))
+    pairs = left.join(right, ["u", "bl", "br"]).filter(
+        (F.col("bl") < F.col("br")) | (F.col("i") < F.col("j")))
+    counts = (pairs.groupBy(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
+              .agg(F.count(F.lit(1)).alias("c_ij")))
+    both = F.array(F.struct(F.col("a").alias("i"), F.col("b").alias("j")),
+                   F.struct(F.col("b").alias("i"), F.col("a").alias("j")))
+    return counts.select("c_ij", F.inline(both)).select("i", "j", "c_ij")
 
 
 def similar_items(interactions: DataFrame, k: int = C.SIMILAR_TOP_K,

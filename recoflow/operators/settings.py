@@ -2,22 +2,16 @@
 
 The settings table is configuration: one row per deployed backend.  It
 is still treated as data (read, filtered, joined) so the same code runs
-when it lives in a table; where a join partner must be replicated to
-every task, its size is checked first (``MAX_BACKENDS``).
+when it lives in a table.  Joins are left to adaptive execution; lists that
+every row needs come as one array value (a scalar subquery).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recoflow import constants as C
-from recoflow.operators.guards import check_small
-
-# Active backends that may be replicated to every task (broadcast / scalar
-# subquery).  The deployment runs two (blue/green); the check guards the
-# assumption instead of trusting it.
-MAX_BACKENDS = 256
 
 def filter_specs(spark: SparkSession, specs=C.FILTER_SPECS) -> DataFrame:
     """The filter configuration as a DataFrame (one row per filter)."""
@@ -32,11 +26,9 @@ def build_context_map(settings: DataFrame, filters: DataFrame) -> DataFrame:
     """72: per backend, a ``context`` map from request context to filter settings.
 
     Every backend gets a ``default`` entry (its ``-unread`` filter); a filter
-    whose context is ``default`` replaces it.  The filter list is small
-    configuration (size-checked) and reaches every backend row as one
+    whose context is ``default`` replaces it.  The filter list reaches every backend row as one
     array value (scalar subquery) that is exploded: no join.
     """
-    _check_small(filters, "filters")
     specs = (filters.filter(F.col("context").isNotNull())
              .select(F.collect_list(F.struct(
                  "context", F.col("name").alias("fname"), "filter_values", "limit_time_range",
@@ -70,39 +62,36 @@ def context_entries(settings_with_ctx: DataFrame) -> DataFrame:
             .select("name", "context", "v.*"))
 
 
-def _check_small(df: DataFrame, what: str, limit: int = MAX_BACKENDS) -> None:
-    check_small(df, what, limit)
-
-
 def assign_backend(requests: DataFrame, active: DataFrame, key: str = "request_id",
-                   mode: str = "modulo", checked: bool = False) -> DataFrame:
+                   mode: str = "modulo") -> DataFrame:
     """55: weighted backend choice per request, repeatable.
 
     Weights: ``trafficRatio % 100 + 1`` (``mode='modulo'``, as deployed, where
     100 means weight 1) or ``trafficRatio`` itself (``'proportional'``).
     Backends are laid on [0, total) in ``backend_order``; a request falls
     at ``pmod(key, total)`` (numeric key) or ``pmod(hash(key), total)``.
-    The span table has one row per backend (size-checked) and is broadcast;
-    the range condition is evaluated next to each request, so the requests
-    are never shuffled.  ``checked`` skips the size check when the caller
-    already proved ``active`` small.
+    The backends come as one ordered array value and each request walks it:
+    no join, no window, and the requests are never shuffled.  Without an
+    active backend the choice is NULL.
     """
-    if not checked:
-        _check_small(active, "active settings")
     ratio = F.col("trafficRatio").cast("int")
     weight = (F.pmod(ratio, F.lit(100)) + 1) if mode == "modulo" else ratio
-    order = Window.orderBy("backend_order", "name")
-    spans = (active.select("name", "backend_order", weight.cast("long").alias("w"))
-             .withColumn("hi", F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-             .withColumn("lo", F.col("hi") - F.col("w"))
-             .withColumn("total", F.sum("w").over(order.rowsBetween(Window.unboundedPreceding,
-                                                                    Window.unboundedFollowing)))
-             .select(F.col("name").alias("backend"), "lo", "hi", "total"))
+    spans = active.select(F.sort_array(F.collect_list(
+        F.struct("backend_order", "name", weight.cast("long").alias("w"))))).scalar()
     k = F.col(key)
-    point = F.pmod(k.cast("long") if _numeric(requests, key) else F.hash(k).cast("long"),
-                   F.col("total"))
-    cond = (point >= F.col("lo")) & (point < F.col("hi"))
-    return requests.join(F.broadcast(spans), cond, "left").drop("lo", "hi", "total")
+    point = k.cast("long") if _numeric(requests, key) else F.hash(k).cast("long")
+    laid = requests.withColumn("__spans", spans)
+    total = F.aggregate("__spans", F.lit(0).cast("long"), lambda acc, s: acc + s["w"])
+    laid = laid.withColumn("__total", total)
+    at = F.when(F.col("__total") > 0, F.pmod(point, F.col("__total")))
+    # what is left of the point after each span; the span in which it runs out is chosen
+    chosen = F.aggregate(
+        "__spans", F.struct(at.alias("left"), F.lit(None).cast("string").alias("name")),
+        lambda acc, s: F.struct(
+            (acc["left"] - s["w"]).alias("left"),
+            F.when((acc["left"] >= 0) & (acc["left"] < s["w"]), s["name"]).otherwise(acc["name"]).alias("name")),
+        lambda acc: acc["name"])
+    return laid.withColumn("backend", chosen).drop("__spans", "__total")
 
 
 def _numeric(df: DataFrame, c: str) -> bool:
@@ -114,11 +103,12 @@ def fanout(df: DataFrame, active: DataFrame, target: str, alias: str) -> DataFra
 
     The target list is a scalar subquery (one array value computed once and
     shipped with the plan) exploded per row: the output is the required
-    product, generated locally in each task without a join.
+    product, generated locally in each task without a join.  Without an active
+    backend the batch fails: its rows would be lost.
     """
-    _check_small(active, "active settings")
     targets = active.select(F.array_sort(F.collect_list(F.col(target)))).scalar()
-    return df.withColumn(alias, F.explode(targets))
+    none = F.raise_error(F.lit("no active backend to deliver to")).cast("array<string>")
+    return df.withColumn(alias, F.explode(F.when(F.size(targets) > 0, targets).otherwise(none)))
 
 
 def fanout_events(events: DataFrame, active: DataFrame) -> DataFrame:
@@ -132,20 +122,15 @@ def fanout_items(items: DataFrame, active: DataFrame) -> DataFrame:
 
 
 def context_lookup(requests: DataFrame, settings_with_ctx: DataFrame,
-                   context: str = "context", backend: str = "backend",
-                   checked: bool = False) -> DataFrame:
+                   context: str = "context", backend: str = "backend") -> DataFrame:
     """54: the filter settings for a request's context, else the backend's default.
 
-    Backends are configuration (size-checked, broadcast); the lookup is a
-    map access per row.  The context table has one row per backend, so a
-    caller that checked the backend rows passes ``checked``.
+    An equi-join on the backend; the lookup is a map access per row.
     """
-    if not checked:
-        _check_small(settings_with_ctx, "settings")
     ctx = settings_with_ctx.select(F.col("name").alias("__backend"),
                                    F.col("context").alias("__ctx_map"),
                                    "campaignArn")
-    joined = requests.join(F.broadcast(ctx), F.col(backend) == F.col("__backend"), "left")
+    joined = requests.join(ctx, F.col(backend) == F.col("__backend"), "left")
     m = F.col("__ctx_map")
     entry = F.coalesce(F.try_element_at(m, F.col(context)),
                        F.try_element_at(m, F.lit(C.DEFAULT_CONTEXT)))

@@ -43,7 +43,7 @@ CONTENT_META = (
     "string_split(keywords_text, '|') AS \"Keywords\" "
     f"FROM ({_select(fx.CONTENT_META + [('keywords_text', 'keywords_text')], 'items_flat')}) m)")
 IMAGES = (
-    "images AS (SELECT 'doc' || CAST(doc_id AS VARCHAR) AS \"ContentID\", "
+    f"images AS (SELECT {fx.IMAGE_CONTENT_ID.format(text='VARCHAR')} AS \"ContentID\", "
     "CASE WHEN doc_id % 7 = 0 THEN NULL "
     "WHEN doc_id % 5 = 0 THEN CAST([] AS STRUCT(url220 VARCHAR)[]) "
     "WHEN doc_id % 13 = 0 THEN [{'url220': CAST(NULL AS VARCHAR)}] "
@@ -52,7 +52,7 @@ IMAGES = (
     "CASE WHEN doc_id % 4 = 0 THEN CAST([] AS STRUCT(url220 VARCHAR)[]) "
     "ELSE [{'url220': 'https://img.example/p1/' || CAST(doc_id AS VARCHAR) || '.jpg'}, "
     "{'url220': 'https://img.example/p2/' || CAST(doc_id AS VARCHAR) || '.jpg'}] END "
-    f"AS \"PictureRel\" FROM documents WHERE {fx.IMAGES_PRESENT})")
+    "AS \"PictureRel\" FROM documents)")
 REQUESTS_FLAT = f"requests_flat AS ({_select(fx.REQUESTS_FLAT, 'customer')})"
 SETTINGS = f"settings AS ({_select(fx.SETTINGS_FLAT, 'region')})"
 
@@ -561,10 +561,10 @@ def queries() -> dict[str, str]:
     q["tps"] = with_(metrics) + (
         "SELECT (ts // 300) * 300 AS period, round(sum(value) / 300.0, 6) AS tps FROM metrics "
         "WHERE metric = 'GetRecommendations' GROUP BY 1")
-    used = ("used AS (SELECT ((epoch_ms(e.ts) // 1000) // 300) * 300 AS period, count(f.page_rid) AS used "
-            "FROM events e JOIN events_flat f ON f.sp_event_id = CAST(e.event_id AS VARCHAR) GROUP BY 1)")
-    q["recommendations_used"] = with_(EVENTS_FLAT, used) + "SELECT * FROM used"
-    q["recommendation_use_rate"] = with_(EVENTS_FLAT, used, metrics) + (
+    used = ("used AS (SELECT (CAST(floor(epoch(CAST(\"timestamp\" AS TIMESTAMP))) AS BIGINT) // 300) * 300 AS period, "
+            "count(page_rid) AS used FROM validated_events WHERE skip_reason IS NULL GROUP BY 1)")
+    q["recommendations_used"] = with_(EVENTS_FLAT, VALIDATED_EVENTS, used) + "SELECT * FROM used"
+    q["recommendation_use_rate"] = with_(EVENTS_FLAT, VALIDATED_EVENTS, used, metrics) + (
         ", r AS (SELECT (ts // 3600) * 3600 AS period, sum(value) AS requests FROM metrics WHERE "
         "metric = 'GetRecommendations' GROUP BY 1),\n"
         "u AS (SELECT (period // 3600) * 3600 AS period, sum(used) AS used FROM used GROUP BY 1)\n"
@@ -592,7 +592,6 @@ def queries() -> dict[str, str]:
 
     # 2.6
     q["sorted_interactions"] = inter + "SELECT * FROM interactions"
-    q["single_partition_items"] = items_w + "SELECT * FROM items"
     q["topk_per_request"] = rec + "SELECT request_id, item_id, rank, round(score, 6) AS score FROM ranked"
     q["fallback_filter"] = rec + (
         "SELECT request_id, any_value(filter_dated) AS filter_dated, any_value(backup) AS backup, "

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recoflow import constants as C
-from recoflow.operators.guards import broadcast_checked
 
 PERIOD = C.METRIC_PERIOD_SECONDS
 
@@ -47,21 +46,19 @@ def alarm_rule(rollup: DataFrame, rules: DataFrame, seconds: int = PERIOD) -> Da
     grid = span.select("metric", F.explode(F.sequence("lo", "hi", F.lit(seconds).cast("long")))
                        .alias("period"))
     dense = grid.join(rollup, ["metric", "period"], "left")
-    r = dense.join(broadcast_checked(rules, "alarm rules"), "metric")
+    r = dense.join(rules, "metric")
     stat = (F.when(F.col("stat") == "sum", F.col("sum"))
             .when(F.col("stat") == "max", F.col("maximum"))
             .otherwise(F.col("average")))
     breach = F.coalesce(stat >= F.col("threshold"), F.lit(False))
     w = Window.partitionBy("alarm").orderBy("period")
     r = r.withColumn("value", stat).withColumn("breaching", breach)
-    # rows of the last N periods (N differs per alarm): count breaches among
-    # the previous N-1 rows with lag, bounded by the largest N in the rules
-    max_n = max(n for *_, n in C.ALARM_RULES)
-    run = F.lit(0)
-    for back in range(max_n):
-        prev = F.lag(F.col("breaching").cast("int"), back).over(w) if back else \
-            F.col("breaching").cast("int")
-        run = run + F.when(F.lit(back) < F.col("periods"), F.coalesce(prev, F.lit(0))).otherwise(0)
+    # a run begins after the last period that did not breach (the grid is
+    # dense); its length is compared with the rule's own N, whatever N is
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    calm = F.max(F.when(~F.col("breaching"), F.col("period"))).over(upto)
+    start = F.coalesce(calm + seconds, F.min("period").over(upto))
+    run = F.when(F.col("breaching"), (F.col("period") - start) / seconds + 1).otherwise(0)
     return r.select("alarm", "metric", "period", "value", "breaching",
                     (run >= F.col("periods")).alias("in_alarm"))
 

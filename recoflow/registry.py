@@ -134,7 +134,9 @@ def q_scan_rolling_month(spark, sf):
 @register("scan_content")
 def q_scan_content(spark, sf):
     """2: content metadata as read from the catalog."""
-    return fx.raw_items(spark, sf).select(
+    path = scratch(spark, "content")
+    fx.raw_items(spark, sf).write.parquet(path)
+    return readers.scan_content(spark, path).select(
         "contentid", "category", "section", "contenttext", "publisheddate", "wordcount",
         "sponsored", F.array_join("keywords", "|").alias("keywords"))
 
@@ -523,12 +525,9 @@ def q_tps(spark, sf):
 
 
 def _used(spark, sf):
-    ev = fx.read(spark, sf, "events")
-    flat = fx.events_flat(spark, sf).select("page_rid", "sp_event_id")
-    j = ev.select(F.col("event_id").cast("string").alias("sp_event_id"),
-                  F.unix_timestamp(F.col("ts").cast("timestamp")).alias("ts")).join(flat,
-                                                                                   "sp_event_id")
-    return monitoring.recommendations_used(j)
+    valid, _ = split(validate_events(flat_events(spark, sf)))
+    return monitoring.recommendations_used(valid.select(
+        "page_rid", F.unix_timestamp(F.col("timestamp").cast("timestamp")).alias("ts")))
 
 
 @register("recommendations_used")
@@ -553,12 +552,7 @@ def q_reply_assembly(spark, sf):
 
 @register("sorted_interactions")
 def q_sorted_interactions(spark, sf):
-    return etl.sorted_interactions(interactions(spark, sf), partitions=4)
-
-
-@register("single_partition_items")
-def q_single_partition_items(spark, sf):
-    return etl.single_partition_items(items(spark, sf), 1)
+    return etl.sorted_interactions(interactions(spark, sf))
 
 
 @register("topk_per_request")

@@ -15,19 +15,8 @@ from pyspark.sql import SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings every job relies on (idempotent)."""
-    conf = spark.conf
-    conf.set("spark.sql.session.timeZone", "UTC")
-    conf.set("spark.sql.adaptive.enabled", "true")
-    conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    # Catalogue-sized sides (users per item, item freshness and attributes)
-    # meet the largest intermediates (item pairs, user-item affinities).
-    # AQE broadcasts a side only after measuring its materialised size, so
-    # a higher runtime cap keeps the big side unshuffled without trusting
-    # estimates; a cluster's own setting wins.
-    if conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None:
-        conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
+    """Pin the time zone every job relies on; the rest is the cluster's (idempotent)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
@@ -55,18 +44,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local tests) do we pick a fresh
-    scratch folder.
+    used as is; without it a cluster run is an error.  A local master
+    (tests) gets a scratch folder.  The folder is set once: each call of
+    ``setCheckpointDir`` would append another level to the path.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no driver context; the server owns the setting
         return spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="recoflow-ckpt-")
-    sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        named = tempfile.mkdtemp(prefix="recoflow-ckpt-")
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
 
 
 def materialize(df):
@@ -81,21 +76,3 @@ def materialize(df):
     if not ensure_checkpoint_dir(df.sparkSession):
         return df  # no shared folder configured: keep the lineage
     return df.checkpoint(eager=True)
-
-
-def size_for_input(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20,
-                   max_partitions: int = 200_000) -> int:
-    """Size shuffles for a job that reads ``input_bytes``.
-
-    Starts shuffles with about one partition per ``target_bytes`` of input
-    (at least 200) and lets AQE coalesce small ones down to the advisory
-    size, so partitions fit executor memory at 100 TB without thousands of
-    tiny tasks at small scale.  Scan splits use the same target.
-    """
-    n = int(min(max(input_bytes // target_bytes, 200), max_partitions))
-    conf = spark.conf
-    conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
-    conf.set("spark.sql.shuffle.partitions", str(n))
-    conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    conf.set("spark.sql.files.maxPartitionBytes", str(min(target_bytes, 512 << 20)))
-    return n

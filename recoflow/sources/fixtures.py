@@ -172,8 +172,10 @@ SETTINGS_FLAT = [
 
 AS_OF = "2024-01-31"
 
-# Which articles have an image-metadata row.
-IMAGES_PRESENT = "lang <> 'de'"
+# The article an image-metadata row belongs to: some rows name no article we
+# know, so some articles have no images row.
+IMAGE_CONTENT_ID = ("CASE WHEN doc_id % 17 = 3 THEN 'archive' ELSE 'doc' END || "
+                    "CAST(doc_id AS {text})")
 
 # The recommendation id of an event (same rule as events_flat.page_rid).
 PAGE_RID = dict((a, e) for e, a in EVENTS_FLAT)["page_rid"]
@@ -184,8 +186,7 @@ def select_exprs(df: DataFrame, exprs: list[tuple[str, str]]) -> DataFrame:
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from recoflow.sources.readers import spread_small_scan
-    return spread_small_scan(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,9 +253,9 @@ def content_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Image metadata: kept for articles outside one language edition (the
-    image store does not cover it), so some articles have no images row."""
-    docs = read(spark, sf_dir, "documents").where(F.expr(IMAGES_PRESENT)).select("doc_id")
+    """Image metadata of every article; some rows carry an archive id, so
+    some articles have no images row of their own."""
+    docs = read(spark, sf_dir, "documents").select("doc_id")
     did = F.col("doc_id").cast("string")
 
     def url(kind: str, n: int):
@@ -268,7 +269,7 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise(F.array(url("a", 1))))
     picture = (F.when(F.col("doc_id") % 4 == 0, F.array().cast("array<struct<url220:string>>"))
                .otherwise(F.array(url("p", 1), url("p", 2))))
-    return docs.select(F.concat(F.lit("doc"), did).alias("ContentID"),
+    return docs.select(F.expr(IMAGE_CONTENT_ID.format(text="STRING")).alias("ContentID"),
                        author.alias("AuthorRel"), picture.alias("PictureRel"))
 
 

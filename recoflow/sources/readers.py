@@ -40,22 +40,6 @@ def scan_content(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return spark.read.format(fmt).load(path)
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer input splits than task slots a round-robin
-    spread (one Parquet row group is one split, however large the file).
-
-    Only the partition count of the planned scan is inspected (no job).  A
-    large, many-file input already has more splits than slots and is
-    returned unchanged, so this never adds a shuffle of big data.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect exposes neither; leave the scan as planned
-        return df
-    return df.repartition(slots) if splits < slots else df
-
-
 def scan_active_settings(settings: DataFrame) -> DataFrame:
     """9: settings rows whose status is ``active``."""
     return settings.filter(F.col("status") == "active")

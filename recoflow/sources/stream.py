@@ -1,7 +1,7 @@
 """Stream record decoding (ops 6, 7) and stream sources.
 
 A record is base64 text holding one JSON object.  Decoding is
-``unbase64 -> decode UTF-8 -> from_json`` with an explicit schema, so the
+``unbase64 -> checked UTF-8 -> from_json`` with an explicit schema, so the
 same function serves a static DataFrame (tests, replays) and a
 ``readStream`` source.  Undecodable records parse to NULL fields and are
 then skipped by validation rather than failing the micro-batch.
@@ -18,8 +18,9 @@ from recoflow import schemas
 
 def decode_records(records: DataFrame, schema: T.StructType, data: str = "data",
                    keep: tuple[str, ...] = ("record_id",)) -> DataFrame:
-    payload = F.from_json(F.decode(F.try_to_binary(F.col(data), F.lit("base64")), "UTF-8"),
-                          schema, {"mode": "PERMISSIVE"})
+    # bytes that are not UTF-8 give NULL, hence NULL fields and a skipped record
+    text = F.try_validate_utf8(F.try_to_binary(F.col(data), F.lit("base64")).cast("string"))
+    payload = F.from_json(text, schema, {"mode": "PERMISSIVE"})
     kept = [c for c in keep if c in records.columns]
     return records.select(*kept, payload.alias("p")).select(*kept, "p.*")
 

@@ -45,8 +45,11 @@ def write_interactions(df: DataFrame, path: str, partitions: int | None = None,
     """3: interactions dataset as CSV (optionally registered as a table)."""
     write_csv(df, path, partitions)
     if table:
-        df.sparkSession.catalog.createTable(table, path=path, source="csv", schema=df.schema,
-                                            **CSV_OPTIONS, multiLine="true")
+        spark = df.sparkSession
+        if spark.catalog.tableExists(table):  # an earlier run's entry: the data is in its folder, not in the entry
+            spark.sql(f"DROP TABLE {table}")
+        spark.catalog.createTable(table, path=path, source="csv", schema=df.schema,
+                                  **CSV_OPTIONS, multiLine="true")
     return path
 
 

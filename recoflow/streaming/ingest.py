@@ -20,7 +20,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from recoflow.functions import records as rec
 from recoflow.operators import settings as st
@@ -139,11 +138,10 @@ def state_path(sink: str, batch_id: int) -> str:
     return f"{sink}/state/batch_id={batch_id}"
 
 
-def _read_state(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path).select(*ITEM_STATE_COLUMNS)
-    except AnalysisException:  # no snapshot there (first batch)
-        return None
+def _read_state(spark: SparkSession, path: str) -> DataFrame:
+    """A snapshot that must be there: a lost one fails the batch instead of
+    restarting the state empty."""
+    return spark.read.parquet(path).select(*ITEM_STATE_COLUMNS)
 
 
 def content_batch_writer(settings_reader: Callable[[], DataFrame], sink: str,
@@ -159,12 +157,13 @@ def content_batch_writer(settings_reader: Callable[[], DataFrame], sink: str,
         t = ingest_time if ingest_time is not None else ingest_time_now()
         rec_path = f"{sink}/records/batch_id={batch_id}"
         _items_out(validated, active, t).write.mode("overwrite").parquet(rec_path)
-        _write_counters(spark, obs, n_targets, batch_id, f"{sink}/counters/batch_id={batch_id}")
         # state: previous snapshot + this batch's updates (one row per item)
         prev = _read_state(spark, state_path(sink, batch_id - 1)) if batch_id > 0 else (
             _read_state(spark, initial_state) if initial_state else None)
         updates = spark.read.parquet(rec_path).select(*ITEM_STATE_COLUMNS).distinct()
         upsert_items(prev, updates).write.mode("overwrite").parquet(state_path(sink, batch_id))
+        # last: a batch with counters has its snapshot
+        _write_counters(spark, obs, n_targets, batch_id, f"{sink}/counters/batch_id={batch_id}")
     return write
 
 

@@ -106,25 +106,12 @@ def test_flat_store_pushes_rule_predicates_and_matches(spark):
     assert "EqualTo(sp_app_id" in plan and "EqualTo(page_type,article)" in plan
 
 
-def test_size_for_input(spark):
-    from recoflow.session import size_for_input
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_for_input(spark, 100 << 40) == 200_000          # capped
-        assert size_for_input(spark, 10 << 40) == (10 << 40) // (256 << 20)
-        assert size_for_input(spark, 1 << 20) == 200                 # floor
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
 def test_write_interactions_registers_table(spark):
     df = spark.createDataFrame([("u", "i", 1, "page_view", None, None, None, None, None)],
                                schemas.interactions_csv_schema())
     path = tempfile.mkdtemp(prefix="tbl-") + "/t"
     writers.write_interactions(df, path, table="recoflow_interactions_test")
+    writers.write_interactions(df, path, table="recoflow_interactions_test")  # a second run
     try:
         assert spark.table("recoflow_interactions_test").count() == 1
     finally:
