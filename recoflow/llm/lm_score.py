@@ -209,9 +209,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     blocks = materialize(texts.mapInArrow(_blocks, _BLOCK_SCHEMA), "blocks")
     held = blocks.agg(F.sum(F.length("tokens") / 4 + F.length("words") / 8)).first()[0] or 0
     buckets = max(1, int(-(-held // BUCKET_ITEMS)))
-    asked = materialize(blocks.mapInArrow(_asker(buckets), "bucket long, block long, items binary, counts binary"), "asked", batch_rows=1)
-    answers = materialize(asked.groupBy("bucket").applyInArrow(_answer, "block long, bucket long, totals binary, types long"), "answers")
-    discard(asked)
+    asked = blocks.mapInArrow(_asker(buckets), "bucket long, block long, items binary, counts binary")
+    answers = materialize(asked.groupBy("bucket").applyInArrow(_answer, "block long, bucket long, totals binary, types long"), "answers", batch_rows=2)
     v = answers.agg(F.sum("types")).first()[0] or 0
     joined = materialize(blocks.groupBy("block").cogroup(answers.select("block", "bucket", "totals").groupBy("block"))
                          .applyInArrow(_joiner(buckets), _JOINED), "counted")
