@@ -209,14 +209,15 @@ def places(unit: Column, cuts: Column) -> Column:
 
 
 def viterbi_fold(unit: Column, scored: Column, unknown: float) -> Column:
-    """Unigram: cuts of the best path. State: best score and the step back, for each place so far."""
+    """Unigram: cuts of the best path. State: best score and the step back, for each
+    place so far; of equal scores the longer last piece counts, as in the library."""
     def step(acc: Column, end: Column) -> Column:
         into = F.transform(F.filter(scored, lambda s: _start(s["packed"]) + _size(s["packed"]) == end),
-                           lambda s: F.struct((acc["best"][_start(s["packed"])] + s["score"]).alias("score"), _start(s["packed"]).alias("from")))
-        lone = F.struct((acc["best"][end - 1] + F.lit(unknown)).alias("score"), (end - 1).alias("from"))
+                           lambda s: F.struct((acc["best"][_start(s["packed"])] + s["score"]).alias("score"), (-_start(s["packed"])).alias("from")))
+        lone = F.struct((acc["best"][end - 1] + F.lit(unknown)).alias("score"), (1 - end).alias("from"))
         single = F.exists(scored, lambda s: (_start(s["packed"]) == end - 1) & (_size(s["packed"]) == 1))
         best = F.array_max(F.when(single, into).otherwise(F.array_append(into, lone)))
-        return F.struct(F.array_append(acc["best"], best["score"]).alias("best"), F.array_append(acc["back"], best["from"]).alias("back"))
+        return F.struct(F.array_append(acc["best"], best["score"]).alias("best"), F.array_append(acc["back"], -best["from"]).alias("back"))
 
     places = F.sequence(F.lit(1), F.length(unit))
     state = F.aggregate(places, F.struct(F.array(F.lit(0.0)).alias("best"), F.array(F.lit(0)).alias("back")), step)

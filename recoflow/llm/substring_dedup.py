@@ -159,6 +159,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 same[1:] = (doc[a] == doc[b]) & (low[a] == low[b]) & (high[a] == high[b])
                 again = np.zeros(len(order), bool)
                 again[order] = same
+                low, high = (np.where(again, np.uint64(0), x) for x in (low, high))  # settled: its fingerprint is of no more use
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), pa.array(ids[at + doc]), pa.array(hashes[at + doc]),
                      pa.array((starts - words.first[doc]).astype(np.int32)), pa.array(again)],
@@ -166,9 +167,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     found = materialize(base.select("_id", "_th", "_text").mapInArrow(
         fingerprint, "low long, high long, _id long, _th long, start int, again boolean"), "windows")
-    groups = found.where("NOT again").groupBy("low", "high").agg(F.min("_id").alias("first_id"), F.max("_id").alias("last_id"))
+    once = found.where("NOT again").select("low", "high", "_id", "_th", "start")
+    groups = once.groupBy("low", "high").agg(F.min("_id").alias("first_id"), F.max("_id").alias("last_id"))
     first = materialize(groups.where("first_id < last_id").select("low", "high", "first_id"), "first")
-    later = found.join(first, ["low", "high"]).where(F.col("_id") > F.col("first_id")).select("_id", "_th", "start")
+    later = once.join(first, ["low", "high"]).where(F.col("_id") > F.col("first_id")).select("_id", "_th", "start")
     starts = materialize(later.unionByName(found.where("again").select("_id", "_th", "start"))
                          .groupBy("_id", "_th").agg(F.collect_list("start").alias("starts")), "starts")
     discard(found)
