@@ -27,7 +27,7 @@ import heapq
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -129,27 +129,39 @@ def units_of(word: str, inner: frozenset[str]) -> list[str]:
 
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
-    """(piece, id, score, rank): rank orders pieces by falling score, equal scores share one."""
+    """(piece, id, score, rank, hard): rank orders pieces by falling score, equal scores share one; hard: see ``hard_pieces``."""
     rank = {s: k for k, s in enumerate(sorted(set(model.scores.values()), reverse=True))}
-    rows = [(p, i, float(model.scores[p]), rank[model.scores[p]]) for p, i in model.pieces.items()]
-    return spark.createDataFrame(rows, "piece string, id int, score double, rank long")
+    hard = hard_pieces(model) if model.kind == "bpe" else set()
+    rows = [(p, i, float(model.scores[p]), rank[model.scores[p]], p in hard) for p, i in model.pieces.items()]
+    return spark.createDataFrame(rows, "piece string, id int, score double, rank long, hard boolean")
 
 
 def lattice(units: DataFrame, pieces: DataFrame, longest: int, scored: bool = False) -> DataFrame:
-    """(key, edges): every substring of a unit that is a piece, best first.
+    """The units' columns, ``edges`` (every substring of a unit that is a piece, best first) and ``hard`` (whether one is).
 
     An edge is packed into a long: rank, start (6 bits), size (6), id (26);
-    ``scored`` edges are structs (packed, score). ``units`` has (key, unit),
-    of at most ``LONGEST`` characters; units without any piece are left out.
+    ``scored`` edges are structs (packed, score). ``units`` are distinct. An
+    edge of size 0 keeps units without any piece, and those of more than
+    ``LONGEST`` characters, which have no edges. Where ``units`` is dealt by unit, as after a
+    grouping, the edges of a unit are there already and none are shuffled.
     """
-    size = F.length("unit")
-    starts = units.select("key", "unit", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
-    spans = starts.select("key", "unit", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("start")))).alias("size"))
-    some = spans.select("key", "start", "size", F.substring(F.col("unit"), F.col("start") + 1, F.col("size")).alias("piece"))
-    edges = some.join(F.broadcast(pieces), "piece")  # as many rows as the model file has pieces
+    own = units.columns
+    size = F.when(F.length("unit") <= LONGEST, F.length("unit")).otherwise(F.lit(0))
+    starts = units.select(*own, F.explode(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0)))).alias("start"))
+    least = F.when(F.col("start") == 0, F.lit(0)).otherwise(F.lit(1))
+    spans = starts.select(*own, "start", F.explode(F.sequence(least, F.least(F.lit(longest), size - F.col("start")))).alias("size"))
+    some = spans.withColumn("piece", F.substring(F.col("unit"), F.col("start") + 1, F.col("size")))
+    nothing = pieces.sparkSession.createDataFrame([("", 0, 0.0, 0, False)], pieces.schema)
+    edges = some.join(F.broadcast(pieces.unionByName(nothing)), "piece")  # as many rows as the model file has pieces
     packed = F.shiftleft("rank", 38) + F.shiftleft(F.col("start").cast("long"), 32) + F.shiftleft(F.col("size").cast("long"), 26) + F.col("id")
     edge = F.struct(packed.alias("packed"), "score") if scored else packed
-    return edges.groupBy("key").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    listed = F.sort_array(F.collect_list(edge))
+    return edges.groupBy(*own).agg(F.filter(listed, lambda e: _size(e["packed"] if scored else e) > 0).alias("edges"), F.max("hard").alias("hard"))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` made once a row: a column put into a lambda as it is would be made at every call."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _start(e: Column) -> Column:
@@ -177,30 +189,70 @@ def _codes(unit: Column, edges: Column, cuts: Column) -> Column:
     return F.transform(F.slice(cuts, 1, F.size(cuts) - 1), code)
 
 
+def _ends(e: Column) -> Column:
+    return _bit(_start(e)) + _bit(_start(e) + _size(e))
+
+
+def _inside(e: Column) -> Column:
+    return F.call_function("shiftleft", _bit(_size(e) - 1) - 1, _start(e) + 1)
+
+
 def edge_masks(edges: Column) -> Column:
     """For each edge of several characters, best first: its two ends, and the places inside it, as bit sets."""
-    return F.transform(F.filter(edges, lambda e: _size(e) > 1), lambda e: F.struct(
-        (_bit(_start(e)) + _bit(_start(e) + _size(e))).alias("ends"),
-        F.call_function("shiftleft", _bit(_size(e) - 1) - 1, _start(e) + 1).alias("inside")))
+    return F.transform(F.filter(edges, lambda e: _size(e) > 1), lambda e: F.struct(_ends(e).alias("ends"), _inside(e).alias("inside")))
+
+
+def _joins(cuts: Column, mask: Column) -> Column:
+    """Whether an edge spans exactly two of the symbols between ``cuts``."""
+    return (cuts.bitwiseAND(mask["ends"]) == mask["ends"]) & (F.bit_count(cuts.bitwiseAND(mask["inside"])) == 1)
 
 
-def merge_fold(unit: Column, masks: Column) -> Column:
+def merge_fold(unit: Column, masks: Column, hard: Column) -> Column:
     """BPE: as long as an edge spans exactly two symbols, the best one (leftmost of equals) joins them.
 
-    The state is a bit set of the places where symbols begin or end.
-    ``masks``: ``edge_masks`` as a column of its own, so that it is made once.
+    The state is a bit set of the places where symbols begin or end. One
+    fold over the edges, best first, does all joins; only where ``hard``
+    (see ``hard_pieces``) each round looks at all edges again.
     """
     size = F.length(unit)
     everywhere = _bit(size + 1) - 1
 
-    def step(cuts: Column, _: Column) -> Column:
-        able = F.filter(masks, lambda e: (cuts.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(cuts.bitwiseAND(e["inside"])) == 1))
-        gone = F.try_element_at(F.transform(F.slice(able, 1, 1), lambda e: cuts.bitwiseAND(F.bitwise_not(e["inside"]))), F.lit(1))
-        return F.coalesce(gone, cuts)
+    def joined(cuts: Column, mask: Column) -> Column:
+        return F.when(_joins(cuts, mask), cuts.bitwiseAND(F.bitwise_not(mask["inside"]))).otherwise(cuts)
+
+    def rounds(held: Column) -> Column:
+        def step(cuts: Column, _: Column) -> Column:
+            able = F.filter(held, lambda e: _joins(cuts, e))
+            return F.coalesce(F.try_element_at(F.transform(F.slice(able, 1, 1), lambda e: joined(cuts, e)), F.lit(1)), cuts)
+
+        times = F.least(size - 1, F.size(held))
+        return F.when(times > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(times, F.lit(1))), everywhere, step)).otherwise(everywhere)
 
-    rounds = F.least(size - 1, F.size(masks))
-    cuts = F.when(rounds > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(rounds, F.lit(1))), everywhere, step)).otherwise(everywhere)
-    return cuts
+    return let(masks, lambda held: F.when(hard, rounds(held)).otherwise(F.aggregate(held, everywhere, joined)))
+
+
+def hard_pieces(model: Model) -> set[str]:
+    """Pieces with which joins may not happen in the order of the scores.
+
+    What is joined inside a span whose ends stay cuts depends on the span
+    alone. So one pass over a unit's edges, best first, does what the rounds
+    do, if each piece in the unit has a score of its own and comes out of one
+    pass over its own edges whenever it comes out of the rounds.
+    """
+    shared = Counter(score for piece, score in model.scores.items() if len(piece) > 1)
+    hard = set()
+    for piece, own in model.pieces.items():
+        if len(piece) < 2:
+            continue
+        spans = [(-model.scores[piece[a:b]], a, b) for a in range(len(piece)) for b in range(a + 2, len(piece) + 1) if piece[a:b] in model.scores]
+        cuts = set(range(len(piece) + 1))
+        for _, a, b in sorted(spans):
+            inner = [k for k in range(a + 1, b) if k in cuts]
+            if a in cuts and b in cuts and len(inner) == 1:
+                cuts.discard(inner[0])
+        if shared[model.scores[piece]] > 1 or len(cuts) > 2 and encode_alone(piece, model) == [own]:
+            hard.add(piece)
+    return hard
 
 
 def places(unit: Column, cuts: Column) -> Column:
@@ -208,6 +260,17 @@ def places(unit: Column, cuts: Column) -> Column:
     return F.filter(F.sequence(F.lit(0), F.length(unit)), lambda k: cuts.bitwiseAND(_bit(k)) != 0)
 
 
+def merged_codes(unit: Column, edges: Column, hard: Column) -> Column:
+    """BPE: ids of a unit's symbols; the edges left between cuts are the symbols, unless a character has no piece."""
+    def read(held: Column, cuts: Column) -> Column:
+        left = F.filter(held, lambda e: (cuts.bitwiseAND(_ends(e)) == _ends(e)) & (cuts.bitwiseAND(_inside(e)) == 0))
+        by_start = F.sort_array(F.transform(left, lambda e: e.bitwiseAND(F.lit((1 << 38) - 1))))
+        whole = let(by_start, lambda found: F.when(F.size(found) == F.bit_count(cuts) - 1, F.transform(found, _id)))
+        return F.coalesce(whole, let(places(unit, cuts), lambda at: _codes(unit, held, at)))
+
+    return let(edges, lambda held: let(merge_fold(unit, edge_masks(held), hard), lambda cuts: read(held, cuts)))
+
+
 def viterbi_fold(unit: Column, scored: Column, unknown: float) -> Column:
     """Unigram: cuts of the best path. State: best score and the step back, for each
     place so far; of equal scores the longer last piece counts, as in the library."""
@@ -217,14 +280,18 @@ def viterbi_fold(unit: Column, scored: Column, unknown: float) -> Column:
         lone = F.struct((acc["best"][end - 1] + F.lit(unknown)).alias("score"), (1 - end).alias("from"))
         single = F.exists(scored, lambda s: (_start(s["packed"]) == end - 1) & (_size(s["packed"]) == 1))
         best = F.array_max(F.when(single, into).otherwise(F.array_append(into, lone)))
-        return F.struct(F.array_append(acc["best"], best["score"]).alias("best"), F.array_append(acc["back"], -best["from"]).alias("back"))
+        return let(best, lambda b: F.struct(F.array_append(acc["best"], b["score"]).alias("best"), F.array_append(acc["back"], -b["from"]).alias("back")))
+
+    ends = F.sequence(F.lit(1), F.length(unit))
+    state = F.aggregate(ends, F.struct(F.array(F.lit(0.0)).alias("best"), F.array(F.lit(0)).alias("back")), step)
+    return let(state["back"], lambda back: F.aggregate(
+        ends, F.array(F.length(unit)), lambda acc, _: F.when(acc[0] > 0, F.array_prepend(acc, back[acc[0]])).otherwise(acc)))
+
 
-    places = F.sequence(F.lit(1), F.length(unit))
-    state = F.aggregate(places, F.struct(F.array(F.lit(0.0)).alias("best"), F.array(F.lit(0)).alias("back")), step)
-    back = state["back"]
-    path = F.aggregate(places, F.array(F.length(unit)),
-                       lambda acc, _: F.when(acc[0] > 0, F.array_prepend(acc, back[acc[0]])).otherwise(acc))
-    return path
+def best_path_codes(unit: Column, scored: Column, unknown: float) -> Column:
+    """Unigram: ids along the best path."""
+    return let(scored, lambda held: let(viterbi_fold(unit, held, unknown), lambda cuts: let(
+        F.transform(held, lambda e: e["packed"]), lambda edges: _codes(unit, edges, cuts))))
 
 
 def encode_alone(unit: str, model: Model) -> list[int]:
@@ -273,20 +340,13 @@ def encode_alone(unit: str, model: Model) -> list[int]:
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
     """(unit, count, codes) of a table of distinct (unit, count)."""
     spark = units.sparkSession
-    short = materialize(units.where(F.length("unit") <= LONGEST).withColumn("key", F.monotonically_increasing_id()), "units")
     unigram = model.kind == "unigram"
-    table = lattice(short.select("key", "unit"), piece_table(spark, model), model.longest, scored=unigram)
-    rows = short.join(table, "key", "left")
+    table = lattice(units, piece_table(spark, model), model.longest, scored=unigram)
     if unigram:
-        rows = rows.withColumn("scored", F.coalesce("edges", F.array().cast("array<struct<packed:bigint,score:double>>")))
-        rows = rows.withColumn("edges", F.col("scored.packed"))
-        cuts = viterbi_fold(F.col("unit"), F.col("scored"), min(model.scores.values()) - 10)
+        codes = best_path_codes(F.col("unit"), F.col("edges"), min(model.scores.values()) - 10)
     else:
-        rows = rows.withColumn("edges", F.coalesce("edges", F.array().cast("array<bigint>")))
-        rows = rows.withColumn("masks", edge_masks(F.col("edges")))
-        rows = rows.withColumn("set", merge_fold(F.col("unit"), F.col("masks")))
-        cuts = places(F.col("unit"), F.col("set"))
-    told = rows.withColumn("cuts", cuts).select("unit", "count", _codes(F.col("unit"), F.col("edges"), F.col("cuts")).alias("codes"))
+        codes = merged_codes(F.col("unit"), F.col("edges"), F.col("hard"))
+    told = materialize(table.select("unit", "count", F.when(F.length("unit") <= LONGEST, codes).alias("codes")), "units")
     shared = spark.sparkContext.broadcast(model)
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +355,8 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(codes, pa.list_(pa.int32()))], names=["unit", "count", "codes"])
 
     schema = "unit string, count long, codes array<int>"
-    return told.unionByName(units.where(F.length("unit") > LONGEST).select("unit", "count").mapInArrow(rest, schema))
+    long = told.where(F.length("unit") > LONGEST).select("unit", "count").mapInArrow(rest, schema)
+    return told.where(F.length("unit") <= LONGEST).unionByName(long)
 
 
 def count_units(texts: DataFrame, model: Model) -> DataFrame:
@@ -355,7 +416,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """(id, ids) of every row: ids as bytes, unsigned 32-bit, little-endian."""
     spark = docs.sparkSession
     base = docs.select(*doc_key(id_col, text_col), F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-    table = materialize(encode_units(count_units(base.select("_text"), model), model), "encoded")
+    table = encode_units(count_units(base.select("_text"), model), model)
     # at most head_units rows of at most LONGEST characters
     top = table.where(F.length("unit") <= LONGEST).orderBy(F.desc("count"), "unit").limit(head_units).select("unit", "codes").toArrow()
     codes = top.column("codes").combine_chunks()
