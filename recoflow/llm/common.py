@@ -53,12 +53,13 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def materialize(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, batch_rows: int | None = None, sort_groups: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back.
 
     Cuts the lineage: a lost executor re-reads files, nothing upstream is
     run twice, and later readers prune columns. ``batch_rows``: rows that
-    Python is sent at once, for tables whose rows are large.
+    Python is sent at once, for tables whose rows are large. ``sort_groups``:
+    lists are collected from sorted rows, for more groups than a hash map holds.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/recoflow-llm/{name}-{uuid.uuid4().hex}"
@@ -66,6 +67,8 @@ def materialize(df: DataFrame, name: str, batch_rows: int | None = None) -> Data
     wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
     if batch_rows:
         wanted["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(batch_rows)
+    if sort_groups:
+        wanted["spark.sql.execution.useObjectHashAggregateExec"] = "false"
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)

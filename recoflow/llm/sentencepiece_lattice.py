@@ -121,11 +121,45 @@ def words_of(text: str) -> list[str]:
     return [x[1:] for x in _UNITS.findall(" " + text)]
 
 
+class Splitter:
+    """Cuts words, their space before them, where no piece reaches across."""
+
+    def __init__(self, inner: frozenset[str]):
+        letters = sorted({c for pair in inner for c in pair})
+        self.number = np.zeros(0x110000, np.int16 if len(letters) < 32767 else np.int32)
+        self.number[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.number[32] = self.number[ord(SPACE)]
+        self.held = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        for pair in inner:
+            self.held[self.number[ord(pair[0])], self.number[ord(pair[1])]] = True
+
+    def units(self, words: list[str]) -> Iterator[list[str]]:
+        """Units of each word, in slices of about a million characters."""
+        at = 0
+        while at < len(words):
+            end, size = at, 0
+            while end < len(words) and size < 1_000_000:
+                size += len(words[end]) + 1
+                end += 1
+            some = words[at:end]
+            text = " " + " ".join(some)
+            kinds = self.number[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
+            cuts = ~self.held[kinds[:-1], kinds[1:]]
+            starts = np.cumsum([0] + [len(w) + 1 for w in some])
+            cuts[starts[1:-1] - 1] = True
+            places = np.concatenate([[0], np.flatnonzero(cuts) + 1, [len(text)]])
+            text = text.replace(" ", SPACE)
+            listed = places.tolist()
+            pieces = [text[a:b] for a, b in zip(listed, listed[1:])]
+            edges = np.searchsorted(places, starts).tolist()
+            for a, b in zip(edges, edges[1:]):
+                yield pieces[a:b]
+            at = end
+
+
 def units_of(word: str, inner: frozenset[str]) -> list[str]:
-    """A word, its space before it, cut where no piece reaches across."""
-    word = (" " + word).replace(" ", SPACE)
-    cuts = [0, *(k for k in range(1, len(word)) if word[k - 1: k + 1] not in inner), len(word)]
-    return [word[a:b] for a, b in zip(cuts, cuts[1:])]
+    """The units of one word."""
+    return next(Splitter(inner).units([word]))
 
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
@@ -137,26 +171,32 @@ def piece_table(spark: SparkSession, model: Model) -> DataFrame:
 
 
 def lattice(units: DataFrame, pieces: DataFrame, longest: int, scored: bool = False) -> DataFrame:
-    """The units' columns, ``edges`` (every substring of a unit that is a piece, best first) and ``hard`` (whether one is).
-
-    An edge is packed into a long: rank, start (6 bits), size (6), id (26);
-    ``scored`` edges are structs (packed, score). ``units`` are distinct. An
-    edge of size 0 keeps units without any piece, and those of more than
-    ``LONGEST`` characters, which have no edges. Where ``units`` is dealt by unit, as after a
-    grouping, the edges of a unit are there already and none are shuffled.
+    """(unit, count, edges, hard): ``edges`` are the substrings of a unit that are pieces, best first.
+
+    An edge is packed into a long: rank, start (6 bits), size (6), id (26).
+    ``scored`` edges are structs (packed, score); others have two characters
+    or more. ``units`` has (key, unit, count) with keys of their own. It is
+    dealt by key before it is exploded, so the edges of a unit are in one
+    task already, and the grouping sorts numbers. A row of size 0 carries
+    the unit, and keeps those without any piece and those of more than
+    ``LONGEST`` characters, which have no edges.
     """
-    own = units.columns
+    units = units.select("key", F.coalesce("unit", F.lit("")).alias("unit"), "count").repartition("key")
     size = F.when(F.length("unit") <= LONGEST, F.length("unit")).otherwise(F.lit(0))
-    starts = units.select(*own, F.explode(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0)))).alias("start"))
-    least = F.when(F.col("start") == 0, F.lit(0)).otherwise(F.lit(1))
-    spans = starts.select(*own, "start", F.explode(F.sequence(least, F.least(F.lit(longest), size - F.col("start")))).alias("size"))
+    starts = units.select("key", "unit", "count", F.explode(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0)))).alias("start"))
+    reach = F.least(F.lit(longest), size - F.col("start"))
+    sizes = F.filter(F.sequence(F.lit(0), reach), lambda k: (k >= (1 if scored else 2)) | ((k == 0) & (F.col("start") == 0)))
+    spans = starts.select("*", F.explode(sizes).alias("size"))
     some = spans.withColumn("piece", F.substring(F.col("unit"), F.col("start") + 1, F.col("size")))
     nothing = pieces.sparkSession.createDataFrame([("", 0, 0.0, 0, False)], pieces.schema)
-    edges = some.join(F.broadcast(pieces.unionByName(nothing)), "piece")  # as many rows as the model file has pieces
+    known = pieces.unionByName(nothing).select(F.coalesce("piece", F.lit("")).alias("piece"), "id", "score", "rank", "hard")
+    edges = some.join(F.broadcast(known), "piece")  # as many rows as the model file has pieces
     packed = F.shiftleft("rank", 38) + F.shiftleft(F.col("start").cast("long"), 32) + F.shiftleft(F.col("size").cast("long"), 26) + F.col("id")
-    edge = F.struct(packed.alias("packed"), "score") if scored else packed
-    listed = F.sort_array(F.collect_list(edge))
-    return edges.groupBy(*own).agg(F.filter(listed, lambda e: _size(e["packed"] if scored else e) > 0).alias("edges"), F.max("hard").alias("hard"))
+    first = F.col("size") == 0
+    rows = edges.select("key", F.when(first, F.col("unit")).alias("unit"), F.when(first, F.col("count")).alias("count"),
+                        F.when(~first, F.struct(packed.alias("packed"), "score") if scored else packed).alias("edge"), "hard")
+    return rows.groupBy("key").agg(F.max("unit").alias("unit"), F.max("count").alias("count"),
+                                   F.sort_array(F.collect_list("edge")).alias("edges"), F.max("hard").alias("hard"))
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -198,8 +238,8 @@ def _inside(e: Column) -> Column:
 
 
 def edge_masks(edges: Column) -> Column:
-    """For each edge of several characters, best first: its two ends, and the places inside it, as bit sets."""
-    return F.transform(F.filter(edges, lambda e: _size(e) > 1), lambda e: F.struct(_ends(e).alias("ends"), _inside(e).alias("inside")))
+    """For each edge: its two ends, and the places inside it, as bit sets."""
+    return F.transform(edges, lambda e: F.struct(_ends(e).alias("ends"), _inside(e).alias("inside")))
 
 
 def _joins(cuts: Column, mask: Column) -> Column:
@@ -255,18 +295,17 @@ def hard_pieces(model: Model) -> set[str]:
     return hard
 
 
-def places(unit: Column, cuts: Column) -> Column:
-    """The places of a bit set, in order."""
-    return F.filter(F.sequence(F.lit(0), F.length(unit)), lambda k: cuts.bitwiseAND(_bit(k)) != 0)
-
-
 def merged_codes(unit: Column, edges: Column, hard: Column) -> Column:
-    """BPE: ids of a unit's symbols; the edges left between cuts are the symbols, unless a character has no piece."""
+    """BPE: ids of a unit's symbols; a symbol of one character as minus its code point less one."""
+    lone = 1 << 31
+
     def read(held: Column, cuts: Column) -> Column:
         left = F.filter(held, lambda e: (cuts.bitwiseAND(_ends(e)) == _ends(e)) & (cuts.bitwiseAND(_inside(e)) == 0))
-        by_start = F.sort_array(F.transform(left, lambda e: e.bitwiseAND(F.lit((1 << 38) - 1))))
-        whole = let(by_start, lambda found: F.when(F.size(found) == F.bit_count(cuts) - 1, F.transform(found, _id)))
-        return F.coalesce(whole, let(places(unit, cuts), lambda at: _codes(unit, held, at)))
+        alone = F.filter(F.sequence(F.lit(0), F.length(unit) - 1), lambda k: F.call_function("shiftright", cuts, k).bitwiseAND(F.lit(3)) == 3)
+        symbols = F.concat(
+            F.transform(left, lambda e: F.shiftleft(_start(e).cast("long"), 32) + _id(e)),
+            F.transform(alone, lambda k: F.shiftleft(k.cast("long"), 32) + lone + F.ascii(F.substring(unit, k + 1, F.lit(1)))))
+        return F.transform(F.sort_array(symbols), lambda s: F.when(s.bitwiseAND(F.lit(lone)) == 0, _id(s)).otherwise(-1 - _id(s)))
 
     return let(edges, lambda held: let(merge_fold(unit, edge_masks(held), hard), lambda cuts: read(held, cuts)))
 
@@ -334,19 +373,20 @@ def encode_alone(unit: str, model: Model) -> list[int]:
         cuts = [0]
         while cuts[-1] < len(unit):
             cuts.append(after[cuts[-1]])
-    return [model.pieces.get(unit[a:b], -1 - ord(unit[a])) for a, b in zip(cuts, cuts[1:])]
+    return [-1 - ord(unit[a]) if b == a + 1 and unit[a:b] not in model.pieces else model.pieces[unit[a:b]] for a, b in zip(cuts, cuts[1:])]
 
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, count, codes) of a table of distinct (unit, count)."""
+    """(unit, count, codes) of a table of distinct (unit, count); ``ids_of`` tells the ids of codes."""
     spark = units.sparkSession
+    units = materialize(units.withColumn("key", F.monotonically_increasing_id()), "units")  # written, so that keys stay
     unigram = model.kind == "unigram"
     table = lattice(units, piece_table(spark, model), model.longest, scored=unigram)
     if unigram:
         codes = best_path_codes(F.col("unit"), F.col("edges"), min(model.scores.values()) - 10)
     else:
         codes = merged_codes(F.col("unit"), F.col("edges"), F.col("hard"))
-    told = materialize(table.select("unit", "count", F.when(F.length("unit") <= LONGEST, codes).alias("codes")), "units")
+    told = materialize(table.select("unit", "count", F.when(F.length("unit") <= LONGEST, codes).alias("codes")), "encoded", sort_groups=True)
     shared = spark.sparkContext.broadcast(model)
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,15 +401,15 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
 
 def count_units(texts: DataFrame, model: Model) -> DataFrame:
     """(unit, count) of the distinct units of a column of texts; counted in the task first."""
-    shared = texts.sparkSession.sparkContext.broadcast(model.inner)
+    shared = texts.sparkSession.sparkContext.broadcast(Splitter(model.inner))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter[str] = Counter()
 
         def emit() -> Iterator[pa.RecordBatch]:
             units: Counter[str] = Counter()
-            for word, times in words.items():
-                for unit in units_of(word, shared.value):
+            for own, times in zip(shared.value.units(list(words)), words.values()):
+                for unit in own:
                     units[unit] += times
             words.clear()
             keys = list(units)
@@ -388,28 +428,31 @@ def count_units(texts: DataFrame, model: Model) -> DataFrame:
 
 
 class _Assembler:
-    """Ids of a word's units from the broadcast head and, beyond it, a document's own table."""
+    """Ids of words from the broadcast head and, beyond it, a document's own table."""
 
     def __init__(self, model: Model, head: dict[str, np.ndarray]):
-        self.model, self.head = model, head
+        self.model, self.head, self.split = model, head, Splitter(model.inner)
 
-    def ids(self, codes: Sequence[int]) -> list[int]:
+    def ids_of(self, codes: Sequence[int]) -> list[int]:
+        """A negative code is a character: its piece, else its bytes, else unknown."""
         out: list[int] = []
         for code in codes:
             if code >= 0:
                 out.append(code)
+            elif (own := self.model.pieces.get(chr(-1 - code))) is not None:
+                out.append(own)
             elif self.model.byte_ids:
                 out += [self.model.byte_ids[b] for b in chr(-1 - code).encode()]
             else:
                 out.append(self.model.unknown)
         return out
 
-    def word(self, word: str, own: dict[str, list[int]]) -> list[int]:
+    def joined(self, units: list[str], own: dict[str, list[int]]) -> bytes:
         out: list[int] = []
-        for unit in units_of(word, self.model.inner):
+        for unit in units:
             codes = self.head.get(unit)
-            out += self.ids(own[unit] if codes is None else codes.tolist())
-        return out
+            out += self.ids_of(own[unit] if codes is None else codes.tolist())
+        return np.array(out, "<u4").tobytes()
 
 
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", head_units: int = HEAD_UNITS) -> DataFrame:
@@ -433,14 +476,15 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             at, units = [], []
             for k, text in enumerate(batch.column(2)):
                 own: set[str] = set()
-                for word in words_of(text.as_py() or ""):
-                    missing = known.get(word)
-                    if missing is None:
-                        missing = tuple(u for u in units_of(word, build.model.inner) if u not in build.head)
-                        if len(known) < _CACHE_WORDS:
-                            known[word] = missing
-                    if missing:
-                        own.update(missing)
+                words = set(words_of(text.as_py() or ""))
+                new = [w for w in words if w not in known]
+                for word, units_in in zip(new, build.split.units(new)):
+                    missing = tuple(u for u in units_in if u not in build.head)
+                    if len(known) < _CACHE_WORDS:
+                        known[word] = missing
+                    own.update(missing)
+                for word in words.difference(new):
+                    own.update(known[word])
                 at += [k] * len(own)
                 units += own
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), batch.column(1).take(pa.array(at, pa.int64())), pa.array(units, pa.string())],
@@ -460,15 +504,12 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                     out.append(None)
                     continue
                 own = dict(zip(units.as_py() or (), codes.as_py() or ()))
-                parts = []
-                for word in words_of(text.as_py()):
-                    ids = known.get(word)
-                    if ids is None:
-                        ids = np.array(build.word(word, own), "<u4").tobytes()
-                        if len(known) < _CACHE_WORDS:
-                            known[word] = ids
-                    parts.append(ids)
-                out.append(b"".join(parts))
+                words = words_of(text.as_py())
+                new = [w for w in set(words) if w not in known]
+                fresh = {word: build.joined(units_in, own) for word, units_in in zip(new, build.split.units(new))}
+                if len(known) < _CACHE_WORDS:
+                    known.update(fresh)
+                out.append(b"".join([known[w] if w in known else fresh[w] for w in words]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=[id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
