@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 
 from .common import doc_key, materialize
 
-HEAD_UNITS = 500_000
+HEAD_UNITS = 200_000
 LONGEST = 60
 SPACE = "▁"
 _UNITS = re.compile(" *[^ ]+| +")
-_HELD_WORDS = 1_000_000
-_CACHE_WORDS = 300_000
+_HELD_WORDS = 400_000
+_CACHE_WORDS = 150_000
 
 
 class Model(NamedTuple):
@@ -183,10 +183,10 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int, scored: bool = Fa
     """
     units = units.select("key", F.coalesce("unit", F.lit("")).alias("unit"), "count").repartition("key")
     size = F.when(F.length("unit") <= LONGEST, F.length("unit")).otherwise(F.lit(0))
-    starts = units.select("key", "unit", "count", F.explode(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0)))).alias("start"))
-    reach = F.least(F.lit(longest), size - F.col("start"))
-    sizes = F.filter(F.sequence(F.lit(0), reach), lambda k: (k >= (1 if scored else 2)) | ((k == 0) & (F.col("start") == 0)))
-    spans = starts.select("*", F.explode(sizes).alias("size"))
+    least = 1 if scored else 2
+    starts = units.select("key", "unit", "count", F.explode(F.sequence(F.lit(0), F.greatest(size - least, F.lit(0)))).alias("start"))
+    sizes = F.sequence(F.when(F.col("start") == 0, F.lit(0)).otherwise(F.lit(least)), F.least(F.lit(longest), size - F.col("start")))
+    spans = starts.select("*", F.explode(sizes).alias("size")).where((F.col("size") == 0) | (F.col("size") >= least))
     some = spans.withColumn("piece", F.substring(F.col("unit"), F.col("start") + 1, F.col("size")))
     nothing = pieces.sparkSession.createDataFrame([("", 0, 0.0, 0, False)], pieces.schema)
     known = pieces.unionByName(nothing).select(F.coalesce("piece", F.lit("")).alias("piece"), "id", "score", "rank", "hard")
@@ -300,7 +300,7 @@ def merged_codes(unit: Column, edges: Column, hard: Column) -> Column:
     lone = 1 << 31
 
     def read(held: Column, cuts: Column) -> Column:
-        left = F.filter(held, lambda e: (cuts.bitwiseAND(_ends(e)) == _ends(e)) & (cuts.bitwiseAND(_inside(e)) == 0))
+        left = F.filter(held, lambda e: cuts.bitwiseAND(_ends(e) + _inside(e)) == _ends(e))
         alone = F.filter(F.sequence(F.lit(0), F.length(unit) - 1), lambda k: F.call_function("shiftright", cuts, k).bitwiseAND(F.lit(3)) == 3)
         symbols = F.concat(
             F.transform(left, lambda e: F.shiftleft(_start(e).cast("long"), 32) + _id(e)),
@@ -430,8 +430,8 @@ def count_units(texts: DataFrame, model: Model) -> DataFrame:
 class _Assembler:
     """Ids of words from the broadcast head and, beyond it, a document's own table."""
 
-    def __init__(self, model: Model, head: dict[str, np.ndarray]):
-        self.model, self.head, self.split = model, head, Splitter(model.inner)
+    def __init__(self, model: Model, head: dict[str, int], flat: np.ndarray, edges: np.ndarray):
+        self.model, self.head, self.flat, self.edges, self.split = model, head, flat, edges, Splitter(model.inner)
 
     def ids_of(self, codes: Sequence[int]) -> list[int]:
         """A negative code is a character: its piece, else its bytes, else unknown."""
@@ -450,8 +450,8 @@ class _Assembler:
     def joined(self, units: list[str], own: dict[str, list[int]]) -> bytes:
         out: list[int] = []
         for unit in units:
-            codes = self.head.get(unit)
-            out += self.ids_of(own[unit] if codes is None else codes.tolist())
+            k = self.head.get(unit)
+            out += self.ids_of(own[unit] if k is None else self.flat[self.edges[k]: self.edges[k + 1]].tolist())
         return np.array(out, "<u4").tobytes()
 
 
@@ -524,7 +524,7 @@ def _assembler(name: str, shared) -> _Assembler:
     if name not in _ASSEMBLERS:
         model, units, flat, edges = shared.value
         _ASSEMBLERS.clear()
-        _ASSEMBLERS[name] = _Assembler(model, {u: flat[edges[k]: edges[k + 1]] for k, u in enumerate(units)})
+        _ASSEMBLERS[name] = _Assembler(model, {u: k for k, u in enumerate(units)}, flat, edges)
     return _ASSEMBLERS[name]
 
 
