@@ -41,7 +41,8 @@ HEAD_UNITS = 200_000
 LONGEST = 60
 SPACE = "▁"
 _UNITS = re.compile(" *[^ ]+| +")
-_HELD_WORDS = 400_000
+_BATCH_ROWS = 500
+_HELD_WORDS = 200_000
 _CACHE_WORDS = 150_000
 
 
@@ -377,9 +378,9 @@ def encode_alone(unit: str, model: Model) -> list[int]:
 
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, count, codes) of a table of distinct (unit, count); ``ids_of`` tells the ids of codes."""
+    """(unit, count, codes) of a table of distinct (unit, count); ``ids_of`` tells the ids."""
     spark = units.sparkSession
-    units = materialize(units.withColumn("key", F.monotonically_increasing_id()), "units")  # written, so that keys stay
+    units = materialize(units.withColumn("key", F.monotonically_increasing_id()), "units", _BATCH_ROWS)  # written, so that keys stay
     unigram = model.kind == "unigram"
     table = lattice(units, piece_table(spark, model), model.longest, scored=unigram)
     if unigram:
@@ -427,32 +428,29 @@ def count_units(texts: DataFrame, model: Model) -> DataFrame:
     return texts.mapInArrow(count, "unit string, count long").groupBy("unit").agg(F.sum("count").alias("count"))
 
 
+def ids_of(codes: Sequence[int], model: Model) -> bytes:
+    """Ids as unsigned 32-bit, little-endian. A negative code is a character: its piece, else its bytes, else unknown."""
+    out: list[int] = []
+    for code in codes:
+        if code >= 0:
+            out.append(code)
+        elif (own := model.pieces.get(chr(-1 - code))) is not None:
+            out.append(own)
+        elif model.byte_ids:
+            out += [model.byte_ids[b] for b in chr(-1 - code).encode()]
+        else:
+            out.append(model.unknown)
+    return np.array(out, "<u4").tobytes()
+
+
 class _Assembler:
     """Ids of words from the broadcast head and, beyond it, a document's own table."""
 
-    def __init__(self, model: Model, head: dict[str, int], flat: np.ndarray, edges: np.ndarray):
-        self.model, self.head, self.flat, self.edges, self.split = model, head, flat, edges, Splitter(model.inner)
-
-    def ids_of(self, codes: Sequence[int]) -> list[int]:
-        """A negative code is a character: its piece, else its bytes, else unknown."""
-        out: list[int] = []
-        for code in codes:
-            if code >= 0:
-                out.append(code)
-            elif (own := self.model.pieces.get(chr(-1 - code))) is not None:
-                out.append(own)
-            elif self.model.byte_ids:
-                out += [self.model.byte_ids[b] for b in chr(-1 - code).encode()]
-            else:
-                out.append(self.model.unknown)
-        return out
+    def __init__(self, model: Model, head: dict[str, bytes]):
+        self.model, self.head, self.split = model, head, Splitter(model.inner)
 
     def joined(self, units: list[str], own: dict[str, list[int]]) -> bytes:
-        out: list[int] = []
-        for unit in units:
-            k = self.head.get(unit)
-            out += self.ids_of(own[unit] if k is None else self.flat[self.edges[k]: self.edges[k + 1]].tolist())
-        return np.array(out, "<u4").tobytes()
+        return b"".join([self.head[u] if u in self.head else ids_of(own[u], self.model) for u in units])
 
 
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", head_units: int = HEAD_UNITS) -> DataFrame:
@@ -462,8 +460,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     table = encode_units(count_units(base.select("_text"), model), model)
     # at most head_units rows of at most LONGEST characters
     top = table.where(F.length("unit") <= LONGEST).orderBy(F.desc("count"), "unit").limit(head_units).select("unit", "codes").toArrow()
-    codes = top.column("codes").combine_chunks()
-    shared = spark.sparkContext.broadcast((model, top.column("unit").to_pylist(), codes.flatten().to_numpy(), codes.offsets.to_numpy()))
+    shared = spark.sparkContext.broadcast((model, {u: ids_of(c, model) for u, c in zip(top.column("unit").to_pylist(), top.column("codes").to_pylist())}))
     name = uuid.uuid4().hex
 
     def assembler() -> _Assembler:
@@ -492,7 +489,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     missing = base.select("_id", "_th", "_text").mapInArrow(lacking, "_id long, _th long, unit string")
     found = materialize(missing.join(table.select("unit", "codes"), "unit").groupBy("_id", "_th").agg(
-        F.collect_list("unit").alias("units"), F.collect_list("codes").alias("codes")), "rare")
+        F.collect_list("unit").alias("units"), F.collect_list("codes").alias("codes")), "rare", _BATCH_ROWS)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         build = assembler()
@@ -522,9 +519,8 @@ _ASSEMBLERS: dict[str, _Assembler] = {}
 def _assembler(name: str, shared) -> _Assembler:
     """One head table a Python worker, however many tasks it runs."""
     if name not in _ASSEMBLERS:
-        model, units, flat, edges = shared.value
         _ASSEMBLERS.clear()
-        _ASSEMBLERS[name] = _Assembler(model, {u: k for k, u in enumerate(units)}, flat, edges)
+        _ASSEMBLERS[name] = _Assembler(*shared.value)
     return _ASSEMBLERS[name]
 
 
