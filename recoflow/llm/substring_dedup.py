@@ -14,7 +14,8 @@ of all documents hold is a skewed join that adaptive execution splits.
 
 Cases: null text has no words. Null ids are the smallest. Rows with the
 same id and text are one document (each gets its result); rows with one id
-and different texts are different documents of which neither is earlier.
+and different texts are different documents of which neither is earlier
+(told apart by 32 bits of a hash of the text).
 Documents shorter than a window stay whole. Only id and text are read.
 """
 
@@ -139,6 +140,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Per document: id, n_words, n_removed, kept_sha256 and, on demand, ``kept`` (the text that stays)."""
     spark = docs.sparkSession
     base = docs.select(*doc_key(id_col, text_col), F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
+    base = base.withColumn("_th", F.shiftright("_th", 32).cast("int"))  # only tells documents of one id apart
     bits = spark.sparkContext.broadcast(sketch(base.select("_text"), window, anchor, cells))
 
     def fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,11 +168,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                     names=["low", "high", "_id", "_th", "start", "again"])
 
     found = materialize(base.select("_id", "_th", "_text").mapInArrow(
-        fingerprint, "low long, high long, _id long, _th long, start int, again boolean"), "windows")
-    once = found.where("NOT again").select("low", "high", "_id", "_th", "start")
+        fingerprint, "low long, high long, _id long, _th int, start int, again boolean"), "windows")
+    # the text hash and the start travel as one number: windows make up most of what is shuffled
+    once = found.where("NOT again").select("low", "high", "_id", (F.shiftleft(F.col("_th").cast("long"), 32) + F.col("start")).alias("place"))
     groups = once.groupBy("low", "high").agg(F.min("_id").alias("first_id"), F.max("_id").alias("last_id"))
     first = materialize(groups.where("first_id < last_id").select("low", "high", "first_id"), "first")
-    later = once.join(first, ["low", "high"]).where(F.col("_id") > F.col("first_id")).select("_id", "_th", "start")
+    later = once.join(first, ["low", "high"]).where(F.col("_id") > F.col("first_id")).select(
+        "_id", F.shiftright("place", 32).cast("int").alias("_th"), F.col("place").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("start"))
     starts = materialize(later.unionByName(found.where("again").select("_id", "_th", "start"))
                          .groupBy("_id", "_th").agg(F.collect_list("start").alias("starts")), "starts")
     discard(found)
