@@ -131,7 +131,8 @@ METADATA_ATTRIBUTES = (
 )
 
 # Monitoring: metric period (seconds) and alarm rules
-# (name, metric, statistic, threshold, consecutive periods).
+# (name, metric, statistic, threshold, consecutive periods, and where given
+# how periods without data count).
 METRIC_PERIOD_SECONDS = 300
 ALARM_RULES = (
     ("GetRecommendationsErrorAlarm", "GetRecommendationsErrors", "sum", 2.0, 2),
@@ -142,17 +143,16 @@ ALARM_RULES = (
     ("RecThrottlesAlarm", "GetRecommendationsThrottles", "sum", 1.0, 2),
     ("EventsIteratorAge", "PutEventsIteratorAge", "max", 10000.0, 10),
     ("ContentIteratorAge", "PutContentIteratorAge", "max", 10000.0, 1),
-    ("ReturnBackupRecommendations", "ReturnBackupRecommendations", "max", 1.0, 1),
-    ("MissingRecommendationsAlarm", "MissingRecommendations", "avg", 1.0, 1),
-    ("MissingDataImagesAlarm", "MissingDataImages", "avg", 1.0, 1),
-    ("MissingDataMetadataAlarm", "MissingDataMetadata", "avg", 1.0, 1),
+    ("ReturnBackupRecommendations", "ReturnBackupRecommendations", "max", 1.0, 1, "notBreaching"),
+    ("MissingRecommendationsAlarm", "MissingRecommendations", "avg", 1.0, 1, "notBreaching"),
+    ("MissingDataImagesAlarm", "MissingDataImages", "avg", 1.0, 1, "notBreaching"),
+    ("MissingDataMetadataAlarm", "MissingDataMetadata", "avg", 1.0, 1, "notBreaching"),
 )
 
 # Stream consumer lag threshold (milliseconds).
 LAG_ALARM_MS = 10000
 
 # Scoring definitions (our own; the source system delegates scoring).
-SIMILAR_MAX_ITEMS_PER_USER = 500
 SIMILAR_TOP_K = 10
 AFFINITY_WEIGHT = 0.7
 FRESHNESS_WEIGHT = 0.3

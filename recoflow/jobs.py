@@ -19,9 +19,11 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from recoflow import schemas
 from recoflow.operators import settings as st
+from recoflow.operators.validate import split, validate_dataset
 from recoflow.plans import etl, monitoring, recommend
 from recoflow.session import materialize, prepare
 from recoflow.sources import readers, stream, writers
@@ -45,9 +47,15 @@ def run_items(spark, a) -> None:
 
 
 def run_publish(spark, a) -> None:
-    writers.refresh_snapshot(spark, {
-        "interactions": writers.read_csv(spark, a.interactions, schemas.interactions_csv_schema()),
-        "items": writers.read_csv(spark, a.items, schemas.items_csv_schema())}, a.dest)
+    """Both datasets are checked against the import contract; rows that do
+    not conform go to ``<dest>/_rejects`` with their reason."""
+    version, valid = writers.new_version(), {}
+    for name, path, fields in (("interactions", a.interactions, schemas.INTERACTIONS_FIELDS),
+                               ("items", a.items, schemas.ITEMS_FIELDS)):
+        rows = writers.read_csv(spark, path, schemas.text_schema(fields))
+        valid[name], rejected = split(validate_dataset(rows, fields))
+        rejected.write.mode("overwrite").json(f"{a.dest}/_rejects/{name}/v={version}")
+    writers.refresh_snapshot(spark, valid, a.dest, version)
 
 
 def _stream_source(spark, a):
@@ -80,12 +88,11 @@ def run_recommend(spark, a) -> None:
         content_meta=_read(spark, a.metadata), images=_read(spark, a.images),
         settings=_read(spark, a.settings), filters=st.filter_specs(spark))
     rows, req, ranked = recommend.recommend_batch(inp, a.as_of)
-    # two outputs read the ranked rows: compute them once
-    ranked = materialize(ranked)
-    rows = materialize(rows)
     recommend.reply_assembly(rows, req).write.mode("overwrite").json(f"{a.out}/replies")
-    recommend.coverage_metrics(rows, req, ranked, inp.content_meta, inp.images).write.mode(
-        "overwrite").parquet(f"{a.out}/coverage")
+    coverage = materialize(recommend.coverage_metrics(rows, req, ranked, inp.content_meta, inp.images))
+    coverage.write.mode("overwrite").parquet(f"{a.out}/coverage")
+    monitoring.coverage_samples(coverage, F.unix_timestamp()).write.mode("overwrite").parquet(
+        f"{a.out}/metrics")
 
 
 def run_monitor(spark, a) -> None:
@@ -94,6 +101,7 @@ def run_monitor(spark, a) -> None:
     r.write.mode("overwrite").parquet(f"{a.out}/rollup")
     monitoring.alarm_rule(r, monitoring.alarm_rules(spark)).write.mode("overwrite").parquet(
         f"{a.out}/alarms")
+    monitoring.tps(m).write.mode("overwrite").parquet(f"{a.out}/tps")
 
 
 def parser() -> argparse.ArgumentParser:

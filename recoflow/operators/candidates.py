@@ -106,25 +106,6 @@ def passes_age(as_of, days: int = C.ITEM_AGE_FILTER_DAYS) -> Column:
     return _no(F.col("item_created") < midnight_epoch(as_of, days))
 
 
-def fallback_filter(cands: DataFrame, key: str = "request_id", dated: str = "dated",
-                    age_ok: str = "age_ok") -> DataFrame:
-    """69: apply the dated filter when asked, unless it leaves a request empty.
-
-    The dated and undated results differ only by the age clause, so both are
-    one candidate set with an ``age_ok`` flag.  Per request we count the
-    age-passing rows (a partial aggregation joined back on the key); a
-    request that asked for the dated filter and got none falls back to the
-    undated rows and is marked ``backup``.
-    """
-    counts = cands.groupBy(key).agg(F.count_if(F.col(age_ok)).alias("__n_dated"))
-    j = cands.join(counts, key, "left")
-    use_dated = F.col(dated) & (F.col("__n_dated") > 0)
-    return (j.filter(~use_dated | F.col(age_ok))
-            .withColumn("backup", F.col(dated) & (F.col("__n_dated") == 0))
-            .withColumn("filter_dated", use_dated)
-            .drop("__n_dated"))
-
-
 def topk_per_request(cands: DataFrame, n: str | int, key: str = "request_id",
                      score: str = "score", item: str = "item_id") -> DataFrame:
     """68: the best ``n`` rows per request by (score desc, item asc), ranked.
@@ -138,34 +119,25 @@ def topk_per_request(cands: DataFrame, n: str | int, key: str = "request_id",
 
 
 def ranked_lists(cands: DataFrame, cap: int = C.MAX_RESULTS, key: str = "lkey") -> DataFrame:
-    """68 + 69 for shared lists: rank each list key's candidates twice.
+    """68 for shared lists: the best rows of each list key, ranked twice.
 
     ``variant`` False ranks all rows (undated filter), True only the rows
     that pass the age clause (dated filter); both are cut at ``cap``, the
     service maximum, so no request can need more and the cut is exact.
-    Both rankings and the per-key count of age-passing rows (which decides
-    the fallback) are window functions over the same partitioning, so the
-    candidates are shuffled once and read once.
+    Each ranking has a limit of its own, which every task applies before
+    the shuffle; the count of age-passing rows per key (it decides the
+    fallback) is a combined aggregate. No task holds a key's whole list.
     """
-    by_key = Window.partitionBy(key)
-    order = [F.col("score").desc(), F.col("item_id").asc()]
-    ranked = (cands
-              .withColumn("r_all", F.row_number().over(by_key.orderBy(*order)))
-              .withColumn("r_age", F.row_number().over(Window.partitionBy(key, "age_ok")
-                                                       .orderBy(*order)))
-              .withColumn("n_dated", F.count_if(F.col("age_ok")).over(by_key))
-              .filter((F.col("r_all") <= cap) | (F.col("age_ok") & (F.col("r_age") <= cap))))
-    variants = F.array(
-        F.struct(F.lit(False).alias("variant"), F.col("r_all").alias("rank")),
-        F.struct(F.lit(True).alias("variant"),
-                 F.when(F.col("age_ok"), F.col("r_age")).alias("rank")))
-    return (ranked.select(key, "item_id", "score", "n_dated", F.explode(variants).alias("v"))
-            .select(key, "item_id", "score", "n_dated", "v.variant", "v.rank")
-            .filter(F.col("rank").isNotNull() & (F.col("rank") <= cap)))
+    def top(rows: DataFrame, variant: bool) -> DataFrame:
+        return topk_per_request(rows, cap, key).select(
+            key, "item_id", "score", F.lit(variant).alias("variant"), "rank")
+
+    counts = cands.groupBy(key).agg(F.count_if(F.col("age_ok")).alias("n_dated"))
+    return top(cands, False).unionByName(top(cands.filter("age_ok"), True)).join(counts, key)
 
 
 def serve_lists(keyed: DataFrame, lists: DataFrame, key: str = "lkey") -> DataFrame:
-    """69 + 68 per request: pick the variant, take the first ``num_results``.
+    """69 per request: the dated list unless it is empty, its first ``num_results`` rows.
 
     ``keyed``: request_id, list key, dated, num_results.  A request that
     asked for the dated filter and whose list has no age-passing item falls

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,13 +84,14 @@ def rename_fields(df: DataFrame, renames=C.REPLY_RENAMES) -> DataFrame:
     return lowered.withColumnsRenamed({k: v for k, v in renames.items() if k in lowered.columns})
 
 
+def json_number(c: Column) -> Column:
+    """A decimal as a JSON number, by its value: whole ones have no fraction."""
+    no_zeros = F.regexp_replace(c.cast("string"), r"(\.\d*?)0+$", "$1")
+    return F.parse_json(F.regexp_replace(no_zeros, r"\.$", ""))
+
+
 def decimal_to_number(df: DataFrame) -> DataFrame:
-    """29: decimals leave as numbers: scale 0 -> bigint, otherwise double."""
-    out = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.DecimalType):
-            target = "bigint" if f.dataType.scale == 0 else "double"
-            out.append(F.col(f.name).cast(target).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+    """29: decimal columns leave as numbers (variant), whole values as integers."""
+    return df.select(*[json_number(F.col(f.name)).alias(f.name)
+                       if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])

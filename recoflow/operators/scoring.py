@@ -112,9 +112,13 @@ def freshness(items: DataFrame, as_of, max_age: int = C.FRESH_AGE_SECONDS) -> Da
 
 
 def user_personalization(interactions: DataFrame, items: DataFrame, as_of,
-                         sims: DataFrame | None = None, k: int = C.SIMILAR_TOP_K) -> DataFrame:
+                         sims: DataFrame | None = None, k: int = C.SIMILAR_TOP_K,
+                         users: DataFrame | None = None) -> DataFrame:
     """79: (user_id, item_id, affinity, fresh, score) for every reachable item.
 
+    ``users`` (one column ``u``): score these only; similarities are still
+    those of all interactions.
+
     history (u, i, w) joins the top-k similarity lists on i (each history
     row fans out to at most k rows), then a partial aggregation sums per
     (u, j).  The per-user maximum is a second aggregation joined back on
@@ -125,6 +129,8 @@ def user_personalization(interactions: DataFrame, items: DataFrame, as_of,
         sims = similar_items(interactions, k)
     hist = view_history(interactions).withColumn(
         "w", recency_weight("last_view", as_of)).select("u", "i", "w")
+    if users is not None:
+        hist = hist.join(users, "u", "left_semi")
     s = sims.select(F.col("item_id").alias("i"), F.col("similar_item_id").alias("j"), "sim")
     aff = (hist.join(s, "i").groupBy("u", "j")
            .agg(F.sum(F.col("w") * F.col("sim")).alias("raw")))

@@ -325,7 +325,8 @@ META = (
     "\"Category\" AS category, \"Section\" AS section_meta_title, \"CanonicalURL\" AS url, "
     "\"CreditLine\" AS credit, \"ContentType\" AS content_type, \"ContentRestriction\" AS "
     "protection_product, \"PublishedDate\" AS published_at, \"UpdatedDate\" AS updated_at, "
-    "CAST(\"WordCount\" AS DOUBLE) AS word_count, \"Label\" AS label FROM content_meta)")
+    "CAST(\"WordCount\" AS DOUBLE) AS word_count, \"Label\" AS label, \"Keywords\" AS keywords, \"State\" "
+    "AS state, \"Ownership\" AS ownership, \"Sponsored\" AS sponsored, \"Caption\" AS caption FROM content_meta)")
 IMGS = (
     "imgs AS (SELECT \"ContentID\" AS content_id, CASE WHEN len(\"AuthorRel\") > 0 THEN "
     "COALESCE(\"AuthorRel\"[1].url220, '') END AS author_url220, CASE WHEN len(\"PictureRel\") > 0 "
@@ -446,7 +447,8 @@ def queries() -> dict[str, str]:
         "array_to_string(\"Byline\", ' and ') END AS byline FROM content_meta")
     q["image_urls"] = with_(IMAGES, IMGS) + "SELECT * FROM imgs"
     q["decimal_to_number"] = with_(ITEMS_FLAT, CONTENT_META) + (
-        "SELECT \"ContentId\", CAST(\"WordCount\" AS DOUBLE) AS \"WordCount\" FROM content_meta")
+        "SELECT \"ContentId\", CASE WHEN \"WordCount\" = floor(\"WordCount\") THEN CAST(CAST(\"WordCount\" AS BIGINT) AS "
+        "VARCHAR) ELSE CAST(CAST(\"WordCount\" AS DOUBLE) AS VARCHAR) END AS \"WordCount\" FROM content_meta")
     q["dated_filter_name"] = with_(SETTINGS, FILTERS, ENTRIES) + (
         "SELECT name, context, filter_name || '-2024-01-30' AS dated_filter_name FROM entries")
 
@@ -530,8 +532,8 @@ def queries() -> dict[str, str]:
         "CAST(q.num_results - COALESCE(g.returned, 0) AS BIGINT) AS missing, "
         "CAST(q.num_results - COALESCE(g.n_meta, 0) AS BIGINT) AS missing_metadata, "
         "CAST(q.num_results - COALESCE(g.n_img, 0) AS BIGINT) AS missing_images, "
-        "CAST(COALESCE(g.backup, 0) AS INTEGER) AS backup FROM resolved q LEFT JOIN ("
-        "SELECT r.request_id, count(*) AS returned, max(CAST(r.backup AS INTEGER)) AS backup, "
+        "CAST(COALESCE(g.backup, 0) AS BIGINT) AS backup FROM resolved q LEFT JOIN ("
+        "SELECT r.request_id, count(*) AS returned, sum(CAST(r.backup AS INTEGER)) AS backup, "
         "count(m.content_id) AS n_meta, count(g.content_id) AS n_img FROM ranked r LEFT JOIN meta m "
         "ON m.content_id = r.item_id LEFT JOIN imgs g ON g.content_id = r.item_id "
         "GROUP BY r.request_id) g ON g.request_id = q.request_id")
@@ -540,24 +542,28 @@ def queries() -> dict[str, str]:
         + fx.METRIC_VALUE + " AS DOUBLE) AS value FROM events UNION ALL SELECT epoch_ms(ts) // 1000, "
         f"'RecommendationsUsed', 1.0 FROM events WHERE ({fx.PAGE_RID}) IS NOT NULL)")
     rollup = ("rollup AS (SELECT metric, (ts // 300) * 300 AS period, sum(value) AS sum, max(value) "
-              "AS maximum, avg(value) AS average, count(*) AS samples FROM metrics GROUP BY ALL)")
+              "AS maximum, avg(value) AS average, quantile_cont(value, 0.95) AS p95, count(*) AS samples FROM metrics GROUP BY ALL)")
     q["metric_rollup"] = with_(metrics, rollup) + (
         "SELECT metric, period, round(sum, 6) AS sum, round(maximum, 6) AS maximum, "
-        "round(average, 6) AS average, samples FROM rollup")
-    rules = "rules(alarm, metric, stat, threshold, periods) AS (VALUES " + ", ".join(
-        f"('{a}', '{m}', '{s}', {t}, {n})" for a, m, s, t, n in C.ALARM_RULES) + ")"
+        "round(average, 6) AS average, round(p95, 6) AS p95, samples FROM rollup")
+    rules = "rules(alarm, metric, stat, threshold, periods, missing) AS (VALUES " + ", ".join(
+        f"('{a}', '{m}', '{s}', {t}, {n}, '{x[0] if x else 'missing'}')" for a, m, s, t, n, *x in C.ALARM_RULES) + ")"
     q["alarm_rule"] = with_(metrics, rollup, rules) + (
         ", span AS (SELECT metric, min(period) AS lo, max(period) AS hi FROM rollup GROUP BY metric),\n"
         "grid AS (SELECT metric, unnest(generate_series(lo, hi, 300)) AS period FROM span),\n"
         "dense AS (SELECT g.metric, g.period, r.sum, r.maximum, r.average FROM grid g LEFT JOIN rollup r "
         "USING (metric, period)),\n"
-        "st AS (SELECT u.alarm, d.period, u.periods, CASE WHEN u.stat = 'sum' THEN d.sum WHEN "
+        "st AS (SELECT u.alarm, d.period, u.periods, u.missing, CASE WHEN u.stat = 'sum' THEN d.sum WHEN "
         "u.stat = 'max' THEN d.maximum ELSE d.average END AS value, u.threshold FROM dense d JOIN "
         "rules u USING (metric)),\n"
-        "b AS (SELECT *, COALESCE(value >= threshold, false) AS breaching FROM st)\n"
-        "SELECT b.alarm, b.period, round(b.value, 6) AS value, b.breaching, (SELECT count(*) FROM b b2 "
-        "WHERE b2.alarm = b.alarm AND b2.breaching AND b2.period BETWEEN b.period - (b.periods - 1) "
-        "* 300 AND b.period) >= b.periods AS in_alarm FROM b")
+        "b AS (SELECT *, COALESCE(value >= threshold, false) AS breaching FROM st),\n"
+        "pts AS (SELECT *, row_number() OVER (PARTITION BY alarm ORDER BY period) AS seq FROM b "
+        "WHERE value IS NOT NULL OR missing = 'notBreaching'),\n"
+        "fired AS (SELECT p.alarm, p.period, (SELECT count(*) FROM pts p2 WHERE p2.alarm = p.alarm AND "
+        "p2.breaching AND p2.seq BETWEEN p.seq - (p.periods - 1) AND p.seq) >= p.periods AS fires FROM pts p)\n"
+        "SELECT b.alarm, b.period, round(b.value, 6) AS value, b.breaching, COALESCE(last_value(f.fires "
+        "IGNORE NULLS) OVER (PARTITION BY b.alarm ORDER BY b.period), false) AS in_alarm FROM b "
+        "LEFT JOIN fired f ON f.alarm = b.alarm AND f.period = b.period")
     q["tps"] = with_(metrics) + (
         "SELECT (ts // 300) * 300 AS period, round(sum(value) / 300.0, 6) AS tps FROM metrics "
         "WHERE metric = 'GetRecommendations' GROUP BY 1")
@@ -573,10 +579,13 @@ def queries() -> dict[str, str]:
         "COALESCE(u.used, 0) / (r.requests / 2) * 100 END, 6) AS use_rate FROM r FULL OUTER JOIN u "
         "ON r.period = u.period")
     rec_json = (
-        "json_object('content_id', content_id, 'title', title, 'deck', deck, 'byline', byline, "
-        "'category', category, 'section_meta_title', section_meta_title, 'url', url, 'credit', credit, "
+        "json_object('title', title, 'deck', deck, 'byline', byline, 'category', category, "
+        "'section_meta_title', section_meta_title, 'keywords', keywords, 'state', state, 'url', url, "
+        "'credit', credit, 'ownership', ownership, 'sponsored', sponsored, 'content_id', content_id, "
         "'content_type', content_type, 'protection_product', protection_product, 'published_at', "
-        "published_at, 'updated_at', updated_at, 'word_count', word_count, 'label', label, "
+        "published_at, 'word_count', CASE WHEN word_count = floor(word_count) THEN "
+        "to_json(CAST(word_count AS BIGINT)) ELSE to_json(word_count) END, 'caption', caption, "
+        "'updated_at', updated_at, 'label', label, "
         "'author_rel', CASE WHEN has_images THEN json_array(json_object('url220', author_url220)) END, "
         "'picture_rel', CASE WHEN has_images THEN json_array(json_object('url220', picture_url220)) END, "
         "'promo_image', CASE WHEN has_images THEN json_object('urls', json_object('url220', "

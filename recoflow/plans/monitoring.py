@@ -3,14 +3,13 @@
 Metrics are rows ``(ts, metric, value)`` with ``ts`` in epoch seconds.
 Roll-ups are tumbling-window aggregations (partial aggregation, then a
 shuffle of one row per metric and period).  Alarms need consecutive
-periods, so the aggregated series is laid on a dense period grid (empty
-periods do not breach) and a bounded ``rowsBetween`` window checks the
-last N periods; the window runs over aggregated rows only.
+periods, so the aggregated series is laid on a dense period grid and runs
+of breaching periods are counted; windows run over aggregated rows only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recoflow import constants as C
@@ -24,15 +23,19 @@ def period_start(ts, seconds: int = PERIOD):
 
 
 def metric_rollup(metrics: DataFrame, seconds: int = PERIOD) -> DataFrame:
-    """59: per metric and period: sum, maximum, average and sample count."""
+    """59: per metric and period: sum, maximum, average, exact 95th percentile
+    (its state: the distinct values of one metric and period) and sample count."""
     return (metrics.groupBy("metric", period_start("ts", seconds).alias("period"))
             .agg(F.sum("value").alias("sum"), F.max("value").alias("maximum"),
-                 F.avg("value").alias("average"), F.count(F.lit(1)).alias("samples")))
+                 F.avg("value").alias("average"),
+                 F.percentile("value", F.lit(0.95)).alias("p95"), F.count(F.lit(1)).alias("samples")))
 
 
 def alarm_rules(spark: SparkSession, rules=C.ALARM_RULES) -> DataFrame:
+    """Rules without a missing-data treatment get the service's default, 'missing'."""
     return spark.createDataFrame(
-        list(rules), "alarm string, metric string, stat string, threshold double, periods int")
+        [r if len(r) == 6 else (*r, "missing") for r in rules],
+        "alarm string, metric string, stat string, threshold double, periods int, missing string")
 
 
 def alarm_rule(rollup: DataFrame, rules: DataFrame, seconds: int = PERIOD) -> DataFrame:
@@ -40,7 +43,9 @@ def alarm_rule(rollup: DataFrame, rules: DataFrame, seconds: int = PERIOD) -> Da
     whether the alarm fires (N consecutive breaching periods).
 
     The grid spans each metric's first to last period; periods without
-    data have a NULL statistic and do not breach.
+    data have a NULL statistic and do not breach. Where the rule's
+    ``missing`` is 'notBreaching' they end a run; else ('missing') they
+    are passed over and the alarm keeps its state.
     """
     span = rollup.groupBy("metric").agg(F.min("period").alias("lo"), F.max("period").alias("hi"))
     grid = span.select("metric", F.explode(F.sequence("lo", "hi", F.lit(seconds).cast("long")))
@@ -53,12 +58,13 @@ def alarm_rule(rollup: DataFrame, rules: DataFrame, seconds: int = PERIOD) -> Da
     breach = F.coalesce(stat >= F.col("threshold"), F.lit(False))
     w = Window.partitionBy("alarm").orderBy("period")
     r = r.withColumn("value", stat).withColumn("breaching", breach)
-    # a run begins after the last period that did not breach (the grid is
-    # dense); its length is compared with the rule's own N, whatever N is
+    # a run's length is the number of breaches since the last calm period;
+    # it is compared with the rule's own N, whatever N is
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    calm = F.max(F.when(~F.col("breaching"), F.col("period"))).over(upto)
-    start = F.coalesce(calm + seconds, F.min("period").over(upto))
-    run = F.when(F.col("breaching"), (F.col("period") - start) / seconds + 1).otherwise(0)
+    calm = ~F.col("breaching") & (F.col("value").isNotNull() | (F.col("missing") == "notBreaching"))
+    r = r.withColumn("breaches", F.count_if(F.col("breaching")).over(upto))
+    before = F.max(F.when(calm, F.col("breaches"))).over(upto)
+    run = F.col("breaches") - F.coalesce(before, F.lit(0))
     return r.select("alarm", "metric", "period", "value", "breaching",
                     (run >= F.col("periods")).alias("in_alarm"))
 
@@ -113,3 +119,20 @@ def stream_lag(arrivals: DataFrame, seconds: int = PERIOD, threshold_ms: int = C
             .withColumn("run", F.sum(breach).over(w))
             .select("stream", "period", "max_lag_ms", "breaching",
                     (F.col("run") >= periods).alias("in_alarm")))
+
+
+def coverage_samples(coverage: DataFrame, ts: Column) -> DataFrame:
+    """Metric rows of the serving job: one sample per request and measure;
+    the fallback counts only where it was used."""
+    def sample(metric: str, value: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), value.cast("double").alias("value"))
+
+    backup = F.col("backup")
+    samples = F.array(
+        sample("GetRecommendations", F.lit(1)), sample("ReturnRecommendations", F.col("returned")),
+        sample("MissingRecommendations", F.col("missing")),
+        sample("MissingDataMetadata", F.col("missing_metadata")),
+        sample("MissingDataImages", F.col("missing_images")),
+        sample("ReturnBackupRecommendations", F.when(backup > 0, backup)))
+    return (coverage.select(ts.cast("long").alias("ts"), F.inline(samples))
+            .filter(F.col("value").isNotNull()))

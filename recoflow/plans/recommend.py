@@ -25,7 +25,7 @@ from recoflow.operators import candidates as cd
 from recoflow.operators import scoring
 from recoflow.operators import settings as st
 from recoflow.operators.filters import drop_last_content
-from recoflow.operators.projections import rename_fields
+from recoflow.operators.projections import json_number, rename_fields
 from recoflow.session import materialize
 from recoflow.sources.readers import scan_active_settings
 
@@ -98,7 +98,8 @@ def warm_candidates(req: DataFrame, interactions: DataFrame, items: DataFrame, a
     Scores (op 79) are joined once per distinct (visitor, kind, category),
     not once per request, then filtered (43-46, 51).
     """
-    scores = scoring.user_personalization(interactions, items, as_of, k=k)
+    visitors = req.select(F.col("visitor_id").alias("u")).distinct()
+    scores = scoring.user_personalization(interactions, items, as_of, k=k, users=visitors)
     keyed = req.select("request_id", F.col("visitor_id").alias("user_id"), "kind", "category")
     keys = keyed.select("user_id", "kind", "category").distinct()
     c = keys.join(scores.select("user_id", "item_id", "score"), "user_id")
@@ -116,6 +117,11 @@ def cold_candidates(req: DataFrame, interactions: DataFrame, items: DataFrame,
     A request's segment is (platform, visitor_type) as far as the request
     gives them; a segment never seen in the interactions falls back to the
     overall popularity.  Cold visitors have no views to exclude.
+
+    A category list meets the items of its category only.  An exclusion of
+    a category that no item has excludes nothing, so it shares the list
+    without category: there are as many lists as segments and categories
+    of the catalogue, whatever text requests give.
     """
     pop = scoring.segment_popularity(interactions)
     p, v = F.col("ctx_platform"), F.col("ctx_visitor_type")
@@ -133,15 +139,26 @@ def cold_candidates(req: DataFrame, interactions: DataFrame, items: DataFrame,
               .withColumn("visitor_type", F.when(F.col("__known"), F.col("visitor_type")))
               .withColumn("seg_level", F.when(F.col("__known"), F.col("seg_level")).otherwise(3))
               .drop("__known"))
+    used = items.select(F.col("Category").alias("category"), F.lit(True).alias("__used")).distinct()
+    stray = (F.col("kind") == "exclcat") & F.col("__used").isNull()
+    seg = (seg.join(used, "category", "left")
+           .withColumn("category", F.when(~stray, F.col("category"))).drop("__used"))
     combo_cols = segkey + ["kind", "category"]
     combos = seg.select(*combo_cols).distinct()
     fresh = scoring.freshness(items, as_of)
-    per = (combos.alias("cb").join(pop.alias("p"), _nullsafe("cb", "p", segkey))
-           .select(*[F.col(f"cb.{c}").alias(c) for c in combo_cols], "item_id", "popularity")
-           .join(fresh, "item_id", "left")
-           .withColumn("score", F.lit(C.AFFINITY_WEIGHT) * F.col("popularity")
-                       + F.lit(C.FRESHNESS_WEIGHT) * F.coalesce("fresh", F.lit(0))))
-    per = cd.with_item_attributes(per, items).filter(cd.kind_predicate())
+    scored = (pop.join(fresh, "item_id", "left")
+              .withColumn("score", F.lit(C.AFFINITY_WEIGHT) * F.col("popularity")
+                          + F.lit(C.FRESHNESS_WEIGHT) * F.coalesce("fresh", F.lit(0))))
+    scored = cd.with_item_attributes(scored, items).alias("p")
+    by_category = F.coalesce(F.col("kind") == "category", F.lit(False))
+    same = _nullsafe("cb", "p", segkey)
+    lists = [combos.filter(by_category).alias("cb").join(
+                 scored, [*same, F.col("cb.category") == F.col("p.item_category")]),
+             combos.filter(~by_category).alias("cb").join(scored, same)]
+    attributes = ["item_id", "score", "item_category", "item_exclude", "item_created"]
+    one, other = (x.select(*[F.col(f"cb.{c}").alias(c) for c in combo_cols], *attributes)
+                  for x in lists)
+    per = one.unionByName(other).filter(cd.kind_predicate())
     key = list_key(**{c: F.col(c) for c in combo_cols})
     return (per.select(key.alias("lkey"), "item_id", "score", cd.passes_age(as_of).alias("age_ok")),
             seg.select("request_id", key.alias("lkey")))
@@ -174,7 +191,8 @@ def recommend_candidates(inp: Inputs, as_of) -> tuple[DataFrame, DataFrame]:
                                      as_of)
     cold_c, cold_k = cold_candidates(served.join(users, "visitor_id", "left_anti"), inter, items,
                                      as_of)
-    lists = cd.ranked_lists(warm_c.unionByName(cold_c))
+    # both rankings and the counts read the candidates
+    lists = cd.ranked_lists(materialize(warm_c.unionByName(cold_c)))
     keyed = warm_k.unionByName(cold_k).join(
         req.select("request_id", "dated", "num_results"), "request_id")
     return req, cd.serve_lists(keyed, lists)
@@ -202,6 +220,7 @@ def recommend_batch(inp: Inputs, as_of) -> tuple[DataFrame, DataFrame, DataFrame
     fields and image urls, current article removed, cut to the limit.
     """
     req, ranked = recommend_candidates(inp, as_of)
+    ranked = materialize(ranked)  # the reply rows and the coverage read it
     meta = metadata_fields(inp.content_meta)
     imgs = image_fields(inp.images)
     rows = (ranked.select("request_id", "item_id", "rank", "score", "backup", "num_results")
@@ -214,9 +233,8 @@ def recommend_batch(inp: Inputs, as_of) -> tuple[DataFrame, DataFrame, DataFrame
     return rows, req, ranked
 
 
-REPLY_FIELDS = ("content_id", "title", "deck", "byline", "category", "section_meta_title",
-                "url", "credit", "content_type", "protection_product", "published_at",
-                "updated_at", "word_count", "label")
+#: The metadata attributes of an article, named as in the reply.
+REPLY_FIELDS = tuple(C.REPLY_RENAMES.get(a.lower(), a.lower()) for a in C.METADATA_ATTRIBUTES)
 
 
 def reply_assembly(rows: DataFrame, req: DataFrame) -> DataFrame:
@@ -235,8 +253,7 @@ def reply_assembly(rows: DataFrame, req: DataFrame) -> DataFrame:
         F.when(F.col("has_images"), F.struct(F.struct(F.col("picture_url220").alias("url220"))
                                              .alias("urls"))).alias("promo_image"),
     )
-    per = rows.withColumn("word_count", F.col("word_count").cast("double")).groupBy(
-        "request_id").agg(F.array_sort(F.collect_list(rec)).alias("recs"))
+    per = rows.groupBy("request_id").agg(F.array_sort(F.collect_list(rec)).alias("recs"))
     base = req.select("request_id", "widget_id", "backend")
     j = base.join(per, "request_id", "left")
     recs = F.coalesce(F.col("recs"), F.array().cast(per.schema["recs"].dataType))
@@ -245,24 +262,24 @@ def reply_assembly(rows: DataFrame, req: DataFrame) -> DataFrame:
                  F.concat(F.col("backend"), F.lit(":"), F.col("request_id").cast("string")))
     reply = F.struct(F.col("request_id"), F.lit(0).alias("container_position"),
                      F.col("widget_id"), rid.alias("recommendationId"),
-                     F.transform(recs, lambda r: r.dropFields("position"))
+                     F.transform(recs, lambda r: r.dropFields("position").withField(
+                         "word_count", json_number(r["word_count"])))
                      .alias("recommendations"))
     return j.select("request_id", F.to_json(reply, {"ignoreNullFields": "false"}).alias("reply"))
 
 
 def coverage_metrics(rows: DataFrame, req: DataFrame, ranked: DataFrame,
                      content_meta: DataFrame, images: DataFrame) -> DataFrame:
-    """58: per request: returned, missing, missing metadata, missing images, backup."""
-    got = ranked.groupBy("request_id").agg(F.count(F.lit(1)).alias("returned"),
-                                           F.max(F.col("backup").cast("int")).alias("backup"))
-    ids = ranked.select("request_id", "item_id")
-    m = (ids.join(content_meta.select(F.col("ContentId").alias("item_id")), "item_id")
-         .groupBy("request_id").agg(F.count(F.lit(1)).alias("n_meta")))
-    i = (ids.join(images.select(F.col("ContentID").alias("item_id")), "item_id")
-         .groupBy("request_id").agg(F.count(F.lit(1)).alias("n_img")))
-    out = (req.select("request_id", "num_results")
-           .join(got, "request_id", "left").join(m, "request_id", "left")
-           .join(i, "request_id", "left"))
+    """58: per request: returned, missing, missing metadata, missing images,
+    and the number of items that came from the fallback (backup)."""
+    has_meta = content_meta.select(F.col("ContentId").alias("item_id"), F.lit(1).alias("m")).distinct()
+    has_image = images.select(F.col("ContentID").alias("item_id"), F.lit(1).alias("i")).distinct()
+    got = (ranked.select("request_id", "item_id", "backup")
+           .join(has_meta, "item_id", "left").join(has_image, "item_id", "left")
+           .groupBy("request_id").agg(
+               F.count(F.lit(1)).alias("returned"), F.count("m").alias("n_meta"),
+               F.count("i").alias("n_img"), F.count_if(F.col("backup")).alias("backup")))
+    out = req.select("request_id", "num_results").join(got, "request_id", "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     return out.select(
         "request_id",
@@ -270,4 +287,4 @@ def coverage_metrics(rows: DataFrame, req: DataFrame, ranked: DataFrame,
         (F.col("num_results") - z("returned")).cast("long").alias("missing"),
         (F.col("num_results") - z("n_meta")).cast("long").alias("missing_metadata"),
         (F.col("num_results") - z("n_img")).cast("long").alias("missing_images"),
-        z("backup").cast("int").alias("backup"))
+        z("backup").cast("long").alias("backup"))

@@ -305,7 +305,8 @@ def q_image_urls(spark, sf):
 
 @register("decimal_to_number")
 def q_decimal_to_number(spark, sf):
-    return pj.decimal_to_number(fx.content_meta(spark, sf).select("ContentId", "WordCount"))
+    d = pj.decimal_to_number(fx.content_meta(spark, sf).select("ContentId", "WordCount"))
+    return d.select("ContentId", F.to_json("WordCount").alias("WordCount"))
 
 
 @register("dated_filter_name")
@@ -508,7 +509,7 @@ def metrics_table(spark, sf):
 def q_metric_rollup(spark, sf):
     r = monitoring.metric_rollup(metrics_table(spark, sf))
     return r.select("metric", "period", r6("sum").alias("sum"), r6("maximum").alias("maximum"),
-                    r6("average").alias("average"), "samples")
+                    r6("average").alias("average"), r6("p95").alias("p95"), "samples")
 
 
 @register("alarm_rule")

@@ -86,6 +86,11 @@ def struct_of(fields) -> T.StructType:
     return T.StructType([T.StructField(n, _SPARK_TYPES[t], nl) for n, t, nl in fields])
 
 
+def text_schema(fields) -> T.StructType:
+    """The fields as text, for the checks at import."""
+    return T.StructType([T.StructField(n, S) for n, _, _ in fields])
+
+
 def interactions_csv_schema() -> T.StructType:
     return T.StructType([T.StructField(n, _SPARK_TYPES[t], True) for n, t, _ in INTERACTIONS_FIELDS])
 

@@ -142,7 +142,7 @@ CONTENT_META = [
 # -- requests_flat: one recommendation request per customer ----------------
 REQUESTS_FLAT = [
     ("c_custkey", "request_id"),
-    ("'u' || CAST(c_custkey % 150 AS STRING)", "visitor_id"),
+    ("'u' || CAST(c_custkey AS STRING)", "visitor_id"),
     ("CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 'x' "
      "ELSE CAST(c_custkey % 30 + 1 AS STRING) END", "limit_text"),
     ("CASE WHEN c_custkey % 3 = 0 THEN 'art_same_section_mostpopular' "

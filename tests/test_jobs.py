@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 
-from recoflow import jobs
+from pyspark.sql import functions as F
+
+from recoflow import jobs, schemas
 from recoflow.sources import fixtures as fx
+from recoflow.sources import writers
 from tests.conftest import SMALL
 
 
@@ -27,14 +30,24 @@ def test_interactions_items_publish_recommend_jobs(spark):
         spark.read.csv(f"{base}/i", header=True).count() > 0
     a = run("items", "--content", f"{base}/content", "--as-of", fx.AS_OF, "--out", f"{base}/it")
     a.fn(spark, a)
-    a = run("publish", "--interactions", f"{base}/i", "--items", f"{base}/it", "--dest", f"{base}/p")
+    bad = writers.read_csv(spark, f"{base}/it", schemas.text_schema(schemas.ITEMS_FIELDS))
+    n_items = bad.count()
+    writers.write_items(bad.limit(1).withColumn("CREATION_TIMESTAMP", F.lit("soon")), f"{base}/it2")
+    a = run("publish", "--interactions", f"{base}/i", "--items", f"{base}/it*", "--dest", f"{base}/p")
     a.fn(spark, a)
+    assert [r.skip_reason for r in spark.read.json(f"{base}/p/_rejects/items").collect()] == [
+        "missing CREATION_TIMESTAMP"]
+    assert writers.current_snapshot(spark, f"{base}/p", "items", schemas.items_csv_schema()).count() == n_items
     a = run("recommend", "--requests", f"{base}/requests", "--interactions", f"{base}/i",
             "--items", f"{base}/it", "--metadata", f"{base}/meta", "--images", f"{base}/images",
             "--settings", f"{base}/settings", "--as-of", fx.AS_OF, "--out", f"{base}/r")
     a.fn(spark, a)
     assert spark.read.json(f"{base}/r/replies").count() == fx.requests(spark, SMALL).count()
     assert spark.read.parquet(f"{base}/r/coverage").count() == fx.requests(spark, SMALL).count()
+    a = run("monitor", "--metrics", f"{base}/r/metrics", "--out", f"{base}/rmon")
+    a.fn(spark, a)
+    seen = {r.metric for r in spark.read.parquet(f"{base}/rmon/rollup").collect()}
+    assert {"ReturnRecommendations", "MissingRecommendations"} <= seen
 
 
 def test_stream_and_monitor_jobs(spark):

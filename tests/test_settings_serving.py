@@ -64,15 +64,28 @@ def test_context_lookup_and_time_range_rule(spark):
                          (4, "category", False)])
 
 
-def test_fallback_filter_uses_undated_when_dated_is_empty(spark):
+def test_fallback_uses_undated_when_dated_is_empty(spark):
     cands = spark.createDataFrame(
-        [(1, "a", True, True), (1, "b", True, False), (2, "c", True, False), (2, "d", True, False),
-         (3, "e", False, False)], "request_id int, item_id string, dated boolean, age_ok boolean")
-    out = cd.fallback_filter(cands)
+        [(1, "a", 1.0, True), (1, "b", 0.5, False), (2, "c", 1.0, False), (2, "d", 0.5, False),
+         (3, "e", 1.0, False)], "lkey int, item_id string, score double, age_ok boolean")
+    keyed = spark.createDataFrame([(1, 1, True, 9), (2, 2, True, 9), (3, 3, False, 9)],
+                                  "request_id int, lkey int, dated boolean, num_results int")
+    out = cd.serve_lists(keyed, cd.ranked_lists(cands))
     assert rows(out, "request_id", "item_id", "backup") == S([
         (1, "a", False), (2, "c", True), (2, "d", True), (3, "e", False)])
 
 
+def test_both_rankings_are_limited_before_the_shuffle(spark):
+    cands = spark.range(5000).select(
+        (F.col("id") % 3).alias("lkey"), F.col("id").cast("string").alias("item_id"),
+        F.col("id").cast("double").alias("score"), (F.col("id") % 2 == 0).alias("age_ok"))
+    out = cd.ranked_lists(cands)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 4  # per task and after the shuffle, twice
+    assert {r.variant: r["count"] for r in out.groupBy("variant").count().collect()} == {
+        False: 1500, True: 1500}
+
+
 def test_topk_per_request_ties_by_item(spark):
     c = spark.createDataFrame([(1, "b", 0.5, 2), (1, "a", 0.5, 2), (1, "c", 0.9, 2), (2, "z", 0.1, 1)],
                               "request_id int, item_id string, score double, n int")

@@ -66,8 +66,28 @@ def test_alarm_needs_consecutive_breaches(spark):
     r = monitoring.metric_rollup(m)
     a = monitoring.alarm_rule(r, monitoring.alarm_rules(spark)).orderBy("period").collect()
     assert [(x.period, x.breaching, x.in_alarm) for x in a] == [
-        (0, True, False), (300, True, True), (600, True, True), (900, False, False),
-        (1200, True, False)]
+        (0, True, False), (300, True, True), (600, True, True), (900, False, True),
+        (1200, True, True)]  # no data at 900: passed over
+
+
+def test_missing_data_ends_a_run_where_the_rule_says_so(spark):
+    m = spark.createDataFrame([(0, "m", 5.0), (600, "m", 5.0), (900, "m", 5.0)],
+                              "ts long, metric string, value double")
+    rules = monitoring.alarm_rules(spark, [("a", "m", "max", 1.0, 2, "notBreaching"),
+                                           ("b", "m", "max", 1.0, 2, "missing")])
+    out = monitoring.alarm_rule(monitoring.metric_rollup(m), rules).where("in_alarm").collect()
+    assert sorted((x.alarm, x.period) for x in out) == [("a", 900), ("b", 600), ("b", 900)]
+
+
+def test_rollup_percentile_and_coverage_samples(spark):
+    cov = spark.createDataFrame([(i, i, 1, 0, 0, i % 2) for i in range(21)],
+                                "request_id int, returned long, missing long, missing_metadata long, "
+                                "missing_images long, backup long")
+    m = monitoring.coverage_samples(cov, F.lit(600))
+    got = {r.metric: r for r in monitoring.metric_rollup(m).collect()}
+    assert got["ReturnRecommendations"].p95 == 19.0 and got["GetRecommendations"].sum == 21.0
+    assert got["ReturnBackupRecommendations"].samples == 10
+    assert {r.period for r in got.values()} == {600}
 
 
 def test_stream_lag_alarm(spark):
