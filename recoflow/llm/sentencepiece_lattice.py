@@ -42,7 +42,7 @@ LONGEST = 60
 SPACE = "▁"
 _UNITS = re.compile(" *[^ ]+| +")
 _BATCH_ROWS = 500
-_HELD_WORDS = 200_000
+_HELD_WORDS = 60_000
 _CACHE_WORDS = 150_000
 
 
@@ -182,7 +182,8 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int, scored: bool = Fa
     the unit, and keeps those without any piece and those of more than
     ``LONGEST`` characters, which have no edges.
     """
-    units = units.select("key", F.coalesce("unit", F.lit("")).alias("unit"), "count").repartition("key")
+    parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # told, so that they are not joined into few: rows multiply here
+    units = units.select("key", F.coalesce("unit", F.lit("")).alias("unit"), "count").repartition(parts, "key")
     size = F.when(F.length("unit") <= LONGEST, F.length("unit")).otherwise(F.lit(0))
     least = 1 if scored else 2
     starts = units.select("key", "unit", "count", F.explode(F.sequence(F.lit(0), F.greatest(size - least, F.lit(0)))).alias("start"))
