@@ -470,16 +470,20 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def lacking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         build = assembler()
         known: dict[str, tuple[str, ...]] = {}
+        whole: set[str] = set()  # words that lack nothing
         for batch in batches:
             at, units = [], []
             for k, text in enumerate(batch.column(2)):
                 own: set[str] = set()
-                words = set(words_of(text.as_py() or ""))
+                words = set(words_of(text.as_py() or "")).difference(whole)
                 new = [w for w in words if w not in known]
                 for word, units_in in zip(new, build.split.units(new)):
                     missing = tuple(u for u in units_in if u not in build.head)
-                    if len(known) < _CACHE_WORDS:
-                        known[word] = missing
+                    if len(known) + len(whole) < _CACHE_WORDS:
+                        if missing:
+                            known[word] = missing
+                        else:
+                            whole.add(word)
                     own.update(missing)
                 for word in words.difference(new):
                     own.update(known[word])
@@ -503,11 +507,14 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                     continue
                 own = dict(zip(units.as_py() or (), codes.as_py() or ()))
                 words = words_of(text.as_py())
-                new = [w for w in set(words) if w not in known]
-                fresh = {word: build.joined(units_in, own) for word, units_in in zip(new, build.split.units(new))}
-                if len(known) < _CACHE_WORDS:
-                    known.update(fresh)
-                out.append(b"".join([known[w] if w in known else fresh[w] for w in words]))
+                parts = list(map(known.get, words))
+                new = list({w for w, part in zip(words, parts) if part is None})
+                if new:
+                    fresh = {word: build.joined(units_in, own) for word, units_in in zip(new, build.split.units(new))}
+                    if len(known) < _CACHE_WORDS:
+                        known.update(fresh)
+                    parts = [fresh[w] if part is None else part for w, part in zip(words, parts)]
+                out.append(b"".join(parts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=[id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -537,7 +544,7 @@ def decode(encoded: DataFrame, model: Model, id_col: str = "doc_id") -> DataFram
                 if not ids.is_valid:
                     out.append(None)
                     continue
-                raw = b"".join([texts[i] for i in np.frombuffer(ids.as_py(), "<u4").tolist()])
+                raw = b"".join(map(texts.__getitem__, np.frombuffer(ids.as_py(), "<u4").tolist()))
                 out.append(raw.removeprefix(b" ").decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=[id_col, "ids", "text"])
 
