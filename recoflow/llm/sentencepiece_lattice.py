@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_key, materialize
+from .common import discard, doc_key, materialize
 
 HEAD_UNITS = 200_000
 LONGEST = 60
@@ -379,7 +379,7 @@ def encode_alone(unit: str, model: Model) -> list[int]:
 
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, count, codes) of a table of distinct (unit, count); ``ids_of`` tells the ids."""
+    """(unit, count, ids) of a table of distinct (unit, count), written; ids as in ``ids_of``."""
     spark = units.sparkSession
     units = materialize(units.withColumn("key", F.monotonically_increasing_id()), "units", _BATCH_ROWS)  # written, so that keys stay
     unigram = model.kind == "unigram"
@@ -388,17 +388,20 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
         codes = best_path_codes(F.col("unit"), F.col("edges"), min(model.scores.values()) - 10)
     else:
         codes = merged_codes(F.col("unit"), F.col("edges"), F.col("hard"))
-    told = materialize(table.select("unit", "count", F.when(F.length("unit") <= LONGEST, codes).alias("codes")), "encoded", sort_groups=True)
+    coded = materialize(table.select("unit", "count", F.when(F.length("unit") <= LONGEST, codes).alias("codes")), "encoded", sort_groups=True)
     shared = spark.sparkContext.broadcast(model)
 
-    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Codes to ids; units too long for the fold have no codes yet."""
         for batch in batches:
-            codes = [encode_alone(u, shared.value) for u in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(codes, pa.list_(pa.int32()))], names=["unit", "count", "codes"])
+            ids = [ids_of(encode_alone(u, shared.value) if c is None else c, shared.value)
+                   for u, c in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["unit", "count", "ids"])
 
-    schema = "unit string, count long, codes array<int>"
-    long = told.where(F.length("unit") > LONGEST).select("unit", "count").mapInArrow(rest, schema)
-    return told.where(F.length("unit") <= LONGEST).unionByName(long)
+    told = materialize(coded.mapInArrow(spell, "unit string, count long, ids binary"), "spelt")
+    discard(units)
+    discard(coded)
+    return told
 
 
 def count_units(texts: DataFrame, model: Model) -> DataFrame:
@@ -450,8 +453,8 @@ class _Assembler:
     def __init__(self, model: Model, head: dict[str, bytes]):
         self.model, self.head, self.split = model, head, Splitter(model.inner)
 
-    def joined(self, units: list[str], own: dict[str, list[int]]) -> bytes:
-        return b"".join([self.head[u] if u in self.head else ids_of(own[u], self.model) for u in units])
+    def joined(self, units: list[str], own: dict[str, bytes]) -> bytes:
+        return b"".join([self.head[u] if u in self.head else own[u] for u in units])
 
 
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", head_units: int = HEAD_UNITS) -> DataFrame:
@@ -460,8 +463,8 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     base = docs.select(*doc_key(id_col, text_col), F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
     table = encode_units(count_units(base.select("_text"), model), model)
     # at most head_units rows of at most LONGEST characters
-    top = table.where(F.length("unit") <= LONGEST).orderBy(F.desc("count"), "unit").limit(head_units).select("unit", "codes").toArrow()
-    shared = spark.sparkContext.broadcast((model, {u: ids_of(c, model) for u, c in zip(top.column("unit").to_pylist(), top.column("codes").to_pylist())}))
+    top = table.where(F.length("unit") <= LONGEST).orderBy(F.desc("count"), "unit").limit(head_units).select("unit", "ids").toArrow()
+    shared = spark.sparkContext.broadcast((model, dict(zip(top.column("unit").to_pylist(), top.column("ids").to_pylist()))))
     name = uuid.uuid4().hex
 
     def assembler() -> _Assembler:
@@ -493,19 +496,20 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                                              names=["_id", "_th", "unit"])
 
     missing = base.select("_id", "_th", "_text").mapInArrow(lacking, "_id long, _th long, unit string")
-    found = materialize(missing.join(table.select("unit", "codes"), "unit").groupBy("_id", "_th").agg(
-        F.collect_list("unit").alias("units"), F.collect_list("codes").alias("codes")), "rare", _BATCH_ROWS)
+    found = materialize(missing.join(table.select("unit", "ids"), "unit").groupBy("_id", "_th").agg(
+        F.collect_list("unit").alias("units"), F.collect_list("ids").alias("ids")), "rare", _BATCH_ROWS)
+    discard(table)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         build = assembler()
         known: dict[str, bytes] = {}
         for batch in batches:
             out = []
-            for text, units, codes in zip(*(batch.column(k) for k in (1, 2, 3))):
+            for text, units, ids in zip(*(batch.column(k) for k in (1, 2, 3))):
                 if not text.is_valid:
                     out.append(None)
                     continue
-                own = dict(zip(units.as_py() or (), codes.as_py() or ()))
+                own = dict(zip(units.as_py() or (), ids.as_py() or ()))
                 words = words_of(text.as_py())
                 parts = list(map(known.get, words))
                 new = list({w for w, part in zip(words, parts) if part is None})
@@ -518,7 +522,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=[id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return base.join(found, ["_id", "_th"], "left").select("_doc", "_text", "units", "codes").mapInArrow(write, f"`{id_col}` {kind}, ids binary")
+    return base.join(found, ["_id", "_th"], "left").select("_doc", "_text", "units", "ids").mapInArrow(write, f"`{id_col}` {kind}, ids binary")
 
 
 _ASSEMBLERS: dict[str, _Assembler] = {}
