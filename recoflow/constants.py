@@ -79,12 +79,13 @@ CATEGORY_ALIASES = {
 DEFAULT_CONTEXT = "default"
 DEFAULT_FILTER_SUFFIX = "unread"
 
-# Deployment filter specs (context, name, filter_values, limit_time_range,
+# Deployment filter specs (context, name, include and exclude clauses, filter_values, limit_time_range,
 # include_time_range_for_sections).  The "default" context is the unread filter.
 FILTER_SPECS = (
     {
         "context": "art_same_section_mostpopular",
         "name": "category",
+        "clauses": ("include_category", "exclude_flagged"),
         "filter_values": ["category"],
         "limit_time_range": False,
         "include_time_range_for_sections": [
@@ -95,6 +96,7 @@ FILTER_SPECS = (
     {
         "context": "default",
         "name": "unread",
+        "clauses": ("include_created", "exclude_flagged"),
         "filter_values": None,
         "limit_time_range": True,
         "include_time_range_for_sections": None,
@@ -102,6 +104,7 @@ FILTER_SPECS = (
     {
         "context": "mobile_art_morestories",
         "name": "exclcat",
+        "clauses": ("include_created", "exclude_category", "exclude_flagged"),
         "filter_values": ["category"],
         "limit_time_range": True,
         "include_time_range_for_sections": None,

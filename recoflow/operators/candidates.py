@@ -17,6 +17,9 @@ INCLUDE clauses, like items the service does not know.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,12 +77,34 @@ def exclude_viewed(cands: DataFrame, interactions: DataFrame, user: str = "user_
     return cands.join(viewed, cond, "left_anti")
 
 
-def kind_predicate(kind: str = "kind", category: str = "category") -> Column:
-    """The INCLUDE/EXCLUDE clauses of each filter kind, on attached attributes."""
-    k = F.col(kind)
-    return (F.when(k == "category", include_category(category) & exclude_flagged())
-            .when(k == "exclcat", include_created() & exclude_category(category) & exclude_flagged())
-            .otherwise(include_created() & exclude_flagged()))
+CLAUSES = {
+    "include_category": include_category,
+    "include_created": lambda category: include_created(),
+    "exclude_category": exclude_category,
+    "exclude_flagged": lambda category: exclude_flagged(),
+}
+
+
+def clauses_predicate(clauses, category: str = "category") -> Column:
+    """All clauses of one filter; an unknown clause is an error."""
+    unknown = set(clauses) - set(CLAUSES)
+    if unknown or not clauses:
+        raise ValueError(f"unknown or no filter clauses: {sorted(unknown)}")
+    return reduce(and_, [CLAUSES[c](category) for c in clauses])
+
+
+def kind_predicate(kind: str = "kind", category: str = "category", specs=C.FILTER_SPECS) -> Column:
+    """The clauses of each filter kind, on attached attributes; rows of a
+    kind without a spec fail the job."""
+    bad = F.raise_error(F.concat(F.lit("no filter spec named "), F.coalesce(F.col(kind), F.lit("null"))))
+    out = F
+    for s in specs:
+        out = out.when(F.col(kind) == s["name"], clauses_predicate(s["clauses"], category))
+    return out.otherwise(bad.cast("boolean"))
+
+
+def kinds_with(clause: str, specs=C.FILTER_SPECS) -> list[str]:
+    return [s["name"] for s in specs if clause in s["clauses"]]
 
 
 def item_filter_category(cands, items, interactions, category="category"):

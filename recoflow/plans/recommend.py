@@ -140,7 +140,8 @@ def cold_candidates(req: DataFrame, interactions: DataFrame, items: DataFrame,
               .withColumn("seg_level", F.when(F.col("__known"), F.col("seg_level")).otherwise(3))
               .drop("__known"))
     used = items.select(F.col("Category").alias("category"), F.lit(True).alias("__used")).distinct()
-    stray = (F.col("kind") == "exclcat") & F.col("__used").isNull()
+    stray = (F.col("kind").isin(cd.kinds_with("exclude_category"))
+             & ~F.col("kind").isin(cd.kinds_with("include_category")) & F.col("__used").isNull())
     seg = (seg.join(used, "category", "left")
            .withColumn("category", F.when(~stray, F.col("category"))).drop("__used"))
     combo_cols = segkey + ["kind", "category"]
@@ -150,7 +151,7 @@ def cold_candidates(req: DataFrame, interactions: DataFrame, items: DataFrame,
               .withColumn("score", F.lit(C.AFFINITY_WEIGHT) * F.col("popularity")
                           + F.lit(C.FRESHNESS_WEIGHT) * F.coalesce("fresh", F.lit(0))))
     scored = cd.with_item_attributes(scored, items).alias("p")
-    by_category = F.coalesce(F.col("kind") == "category", F.lit(False))
+    by_category = F.coalesce(F.col("kind").isin(cd.kinds_with("include_category")), F.lit(False))
     same = _nullsafe("cb", "p", segkey)
     lists = [combos.filter(by_category).alias("cb").join(
                  scored, [*same, F.col("cb.category") == F.col("p.item_category")]),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from recoflow import constants as C
 from recoflow.operators import candidates as cd
 from recoflow.operators import settings as st
 from tests.conftest import S, rows
@@ -118,3 +119,17 @@ def test_requests_without_backend_get_empty_replies(spark):
     assert ranked.count() == 0 and rows.count() == 0
     replies = recommend.reply_assembly(rows, req).collect()
     assert len(replies) == req.count() and all('"recommendations":[]' in r.reply for r in replies)
+
+
+def test_a_fourth_filter_follows_its_clauses_and_an_unknown_one_fails(spark):
+    import pytest
+    c = spark.createDataFrame(
+        [("flagged", "a", "x", 1, 5), ("flagged", "b", "x", 0, 5), ("unread", "c", "x", 0, 0)],
+        "kind string, item_id string, item_category string, item_exclude int, item_created long"
+    ).withColumn("category", F.lit("x"))
+    specs = [*C.FILTER_SPECS, {"name": "flagged", "clauses": ("exclude_flagged",)}]
+    assert rows(c.filter(cd.kind_predicate(specs=specs)), "item_id") == S([("b",)])
+    with pytest.raises(Exception, match="no filter spec named flagged"):
+        c.filter(cd.kind_predicate()).collect()
+    with pytest.raises(ValueError):
+        cd.clauses_predicate(("include_everything",))
