@@ -6,10 +6,11 @@ tokens (min-hashes): two sets share a sampled token with the probability
 of their Jaccard similarity. A run is a tree: level by level every bucket
 larger than ``limit`` is split on the next sampled token, so that members
 of a bucket share a path of tokens; small buckets are leaves, compared by
-brute force, and buckets that no token splits are compared in bounded
-blocks. ``runs`` independent trees reach the target recall: a pair at the
-threshold that leaves a tree after one split is missed by all with
-probability ``(1 - t) ** runs``.
+brute force, and what is still large after ``DEPTH`` splits is compared
+in bounded blocks. Every run has min-hashes of its own, so the trees are
+independent: all of them miss a pair at the threshold with probability
+``(1 - t ** d) ** runs`` after ``d`` splits, at most 8e-8 at ``DEPTH``,
+however large the buckets are.
 
 A pair that shares leaves of several runs is compared in the first one
 only. A leaf compares the sampled tokens; only documents with a promising
@@ -37,9 +38,9 @@ from .textscan import Words, mix
 
 WORDS = 5
 SIMILARITY = 0.8
-RUNS = 10
-DEPTH = 4
-TOKENS = 64
+RUNS = 16
+DEPTH = 2
+TOKENS = 64  # of which the runs' trees split on DEPTH each
 LEAF = 192
 #: Equal sampled tokens below which a pair at the threshold is met less than once in a billion.
 _PROMISING = 30
@@ -94,12 +95,15 @@ def _embedder(n: int):
 
 
 def _paths(runs: int, depth: int):
-    """Keys of the nodes of every run's tree that a class would pass."""
+    """Keys of the nodes of every run's tree that a class would pass; no two runs split on the same token."""
+    if runs * depth > TOKENS:
+        raise ValueError(f"{runs} runs of {depth} splits need more than {TOKENS} sampled tokens")
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, TOKENS).astype(np.uint64)
             for run in range(runs):
-                chosen = np.random.default_rng(1000 + run).permutation(TOKENS)[:depth]
+                chosen = range(run * depth, (run + 1) * depth)
                 key, keys = np.full(len(tokens), run, np.uint64), []
                 for level in chosen:
                     key = mix(mix(key, 41) ^ tokens[:, level], 42)

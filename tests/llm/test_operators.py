@@ -257,3 +257,15 @@ def test_jaccard_join(docs, rows, nothing):
     first = sorted((x[0] for x in want if x[0] == x[1]), key=repr)
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == first
     assert jaccard_join.jaccard_join(nothing).count() == 0
+
+
+def test_jaccard_join_of_many_variants(spark):
+    # every two of them share 90 of 110 5-grams, or 95 of 105: all are linked
+    base = [f"w{k}" for k in range(104)]
+    variants = []
+    for k in range(3000):
+        at = 4 + k % 96
+        variants.append((k, " ".join([*base[:at], f"v{k}", *base[at + 1:]])))
+    table = spark.createDataFrame(variants, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.jaccard_join(table).collect()}
+    assert found == {k: (0, 2999) for k, _ in variants}
