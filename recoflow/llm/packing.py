@@ -57,6 +57,9 @@ class Encoder:
     (the tests hold the ids against ``tokenizers`` itself). A token never
     crosses from a word to the space after it: words with the space before
     them are encoded one by one, frequent ones from a bounded cache.
+
+    As in ``tokenizers``, an added token of the file that stands in a text is
+    one id, and what lies between added tokens is encoded alone.
     """
 
     def __init__(self, path: str):
@@ -64,9 +67,15 @@ class Encoder:
         import tiktoken
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
-        special = {x["content"] for x in told.get("added_tokens", ())}
+        added = told.get("added_tokens") or ()
+        for x in added:
+            if x["single_word"] or x["lstrip"] or x["rstrip"]:
+                raise ValueError(f"added token {x['content']!r}: single_word, lstrip and rstrip are not supported")
+        self.added = {x["content"]: np.array([x["id"]], "<u4").tobytes() for x in added}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if added else None
         to_byte = byte_alphabet()
-        ranks = {bytes(to_byte[c] for c in token): i for token, i in told["model"]["vocab"].items() if token not in special}
+        ranks = {bytes(to_byte[c] for c in token): i for token, i in told["model"]["vocab"].items() if token not in self.added}
         self.engine = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.cache: dict[str, bytes] = {}
 
@@ -80,6 +89,11 @@ class Encoder:
         return ids
 
     def __call__(self, text: str) -> bytes:
+        if self.cuts is None or not self.cuts.search(text):
+            return self._plain(text)
+        return b"".join([self.added[x] if k % 2 else self._plain(x) for k, x in enumerate(self.cuts.split(text))])
+
+    def _plain(self, text: str) -> bytes:
         if "  " in text or "\n " in text or " \n" in text or text[-1:] == " " or _RARE.search(text):
             return self.whole(text)
         get, word = self.cache.get, self._word

@@ -102,6 +102,18 @@ def test_packing(docs, rows, nothing):
     assert packing.pack(nothing, path).count() == 0
 
 
+def test_packing_reads_added_tokens_like_the_library(spark):
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)  # with its default setting
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", end, f"{end}{end} one two", f"one two  {end}  three\n{end}\n", f" {end} ", "<|endoftext| >", f"<{end}>", f"é日本 {end}😀"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 50256, 65]
+    found = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, with_ids=True).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in found} == {k: [*ids, 0] for k, ids in enumerate(want)}
+
+
 def test_quality_rules(spark, docs, rows, nothing):
     labels = spark.createDataFrame([(i, int(i < 50), 0) for i, _ in rows if i is not None] + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
     model = quality.fit(docs, labels)
