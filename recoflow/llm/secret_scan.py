@@ -4,7 +4,9 @@ Base rules find assignments, access keys and long hexadecimal runs. Parts
 of a credential that are too weak to report alone (identifiers, key-like
 strings, endpoints) are gathered too; an interval join on (document, bin
 of ``scope`` characters) puts each beside the parts around it, and it is
-reported only if complementary parts lie within ``scope`` characters. The
+reported only if complementary parts lie within ``scope`` characters, from
+the end of one to the start of the other. A part stands in every bin from
+its start to its end; a pair counts in the first bin that both share. The
 bins bound the join by the characters of a scope, not of a document.
 
 Spans are in code points, end exclusive, ordered by start, then by kind as
@@ -95,12 +97,14 @@ def link_parts(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     parts = some.select("_id", "_th", F.inline(F.concat("base", "weak"))).distinct()
     # access: identifier; id: identifier; assign, hex, key: secret
     role = F.when(F.col("kind").isin(1, 3), "identifier").when(F.col("kind").isin(0, 2, 4), "secret")
+    bins = lambda start, end: F.sequence(F.floor(start / scope), F.floor(end / scope))
     near = parts.withColumn("role", role).where("role IS NOT NULL").select(
-        "_id", "_th", F.floor(F.col("start") / scope).alias("bin"), F.col("start").alias("at"), "role")
-    weak = parts.where(F.col("kind") >= 3).withColumn("bin", F.explode(F.sequence(
-        F.floor((F.col("start") - scope) / scope), F.floor((F.col("end") + scope) / scope))))
+        "_id", "_th", F.col("start").alias("from"), F.col("end").alias("to"), "role", F.explode(bins(F.col("start"), F.col("end"))).alias("bin"))
+    weak = parts.where(F.col("kind") >= 3).withColumn("bin", F.explode(bins(F.col("start") - scope, F.col("end") + scope)))
+    first = F.floor(F.greatest(F.col("from"), F.col("start") - scope) / scope)
     beside = weak.join(near, ["_id", "_th", "bin"]).where(
-        (F.col("at") >= F.col("start") - scope) & (F.col("at") <= F.col("end") + scope) & (F.col("at") != F.col("start")))
+        (F.col("from") <= F.col("end") + scope) & (F.col("to") >= F.col("start") - scope) & (F.col("from") != F.col("start"))
+        & (F.col("bin") == first))
     seen = beside.groupBy("_id", "_th", "start", "kind", "end").agg(
         F.max(F.col("role") == "identifier").alias("identifier"), F.max(F.col("role") == "secret").alias("secret"))
     good = F.when(F.col("kind") == 3, F.col("secret")).when(F.col("kind") == 4, F.col("identifier")).otherwise(F.col("identifier") & F.col("secret"))

@@ -208,6 +208,19 @@ def test_secret_scan(spark, nothing):
     assert secret_scan.secret_spans(nothing).count() == 0
 
 
+def test_secret_parts_longer_than_the_scope(spark):
+    long, key = "token=" + "x" * 400, "zZ9" * 150
+    gap = lambda n: "  " + ", " * ((n - 2) // 2)
+    texts = [f"{long} user: bob7", f"user: bob7 {long}", f"{long}{gap(200)}user: bob7", f"{long}{gap(202)}user: bob7",
+             f"{key} user: bob7", f"user: bob7 {key}", f"{long} https://db.example.com/x user: bob7"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in secret_scan.secret_spans(table).collect()}
+    assert found == {0: "assign:0:406,id:407:417", 1: "id:0:10,assign:11:417", 2: "assign:0:406,id:606:616", 3: "assign:0:406",
+                     4: "key:0:450,id:451:461", 5: "id:0:10,key:11:461", 6: "assign:0:406,endpoint:407:431,id:432:442"}
+    told = {r.doc_id: r.text for r in secret_scan.redact(table).collect()}
+    assert told[0] == told[1] == told[4] == told[5] == "[SECRET] [SECRET]"
+
+
 def test_line_dedup(docs, rows, nothing):
     found = {(r.doc_id, r.n_lines, r.n_removed, r.kept_sha256) for r in line_dedup.dedup_lines(docs).collect()}
     seen, want = {}, set()
