@@ -28,8 +28,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of lines go from the texts."""
-    return _count_chars(line_dedup.drop_repeated_lines(docs))
+    """Later copies of runs of lines go from the texts, long lines alone too."""
+    return _count_chars(line_dedup.drop_repeated_lines(docs, words=line_dedup.LONG))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,11 @@ make up the longest runs. A run that stands earlier (smaller id, or same
 document, earlier line) is deleted where it stands later; blank lines
 inside it go with it, all others stay.
 
+Runs of ``run`` lines are the rule of ``dedup_lines`` and of its SQL. On
+demand (``words``) shorter runs count too, down to single lines, where they
+have at least so many words: then every repeated run of that many words is
+deleted, in however few lines it stands.
+
 A line or window that many documents share is counted once a document
 before it is shuffled, and no pairs of its occurrences are formed.
 
@@ -28,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import discard, doc_key, materialize
 
 RUN = 3
+LONG = 20  # words from which a shorter run counts too, as many as a window of substring_dedup
 _FILLED = r"[^\x20\x09-\x0D]"
 
 
@@ -35,8 +41,8 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _windows(rows: DataFrame, run: int) -> DataFrame:
-    """(_id, _th, first, last, start, fingerprint, place, low, high) of every window of non-blank lines."""
+def _windows(rows: DataFrame, run: int, words: int = 0) -> DataFrame:
+    """(_id, _th, first, last, start, fingerprint, place, low, high) of every window of non-blank lines with so many words."""
     kept = F.filter(F.transform(_lines(F.col("_text")), lambda line, i: F.struct(i.alias("at"), line.alias("line"))),
                     lambda s: s["line"].rlike(_FILLED))
     lines = rows.select("_id", "_th", kept.alias("kept")).where(F.size("kept") >= run)
@@ -44,6 +50,8 @@ def _windows(rows: DataFrame, run: int) -> DataFrame:
                          F.transform("kept.line", lambda x: F.xxhash64(x)).alias("hash"))
     each = lines.withColumn("start", F.explode(F.sequence(F.lit(0), F.size("line") - run)))
     part = each.withColumn("some", F.slice("line", F.col("start") + 1, run)).withColumn("hashes", F.slice("hash", F.col("start") + 1, run))
+    if words:
+        part = part.where(F.regexp_count(F.array_join("some", "\n"), F.lit(_FILLED + "+")) >= words)
     return part.select(
         "_id", "_th", "start", F.col("at")[F.col("start")].alias("first"), F.col("at")[F.col("start") + run - 1].alias("last"),
         F.array_min("hashes").alias("fingerprint"),
@@ -51,10 +59,13 @@ def _windows(rows: DataFrame, run: int) -> DataFrame:
         F.xxhash64("some").alias("low"), F.xxhash64(F.lit(1), "some").alias("high"))
 
 
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN) -> DataFrame:
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, words: int | None = None) -> DataFrame:
     """(_id, _th, runs): per document the line intervals (a, b, inclusive) that stand earlier elsewhere."""
     rows = docs.select(*doc_key(id_col, text_col), F.col(text_col).alias("_text"))
-    windows = materialize(_windows(rows, run), "windows")
+    windows = _windows(rows, run)
+    for fewer in range(1, run if words else 1):
+        windows = windows.unionByName(_windows(rows, fewer, words))
+    windows = materialize(windows, "windows")
     selected = windows.groupBy("_id", "_th", "place", "fingerprint").agg(F.count("*").alias("held"))
     again = materialize(selected.groupBy("fingerprint").agg(F.count("*").alias("times")).where("times > 1").select("fingerprint"), "again")
     # the windows around the positions of repeated fingerprints, once a document
@@ -88,19 +99,19 @@ def _cut(text: Column, runs: Column) -> Column:
     return F.when(runs.isNull(), text).otherwise(F.array_join(left, "\n"))
 
 
-def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, words: int | None = None) -> DataFrame:
     """``docs`` with later repeated runs of lines deleted from the text; all rows and columns stay."""
     columns = docs.columns
-    runs = repeated_runs(docs, id_col, text_col, run)
+    runs = repeated_runs(docs, id_col, text_col, run, words)
     keyed = docs.select(*(F.col(c).alias(f"_in_{i}") for i, c in enumerate(columns)), *doc_key(id_col, text_col))
     rows = keyed.join(runs.hint("merge"), ["_id", "_th"], "left")  # one plan at every size
     return rows.select(*((_cut(F.col(f"_in_{i}"), F.col("runs")) if c == text_col else F.col(f"_in_{i}")).alias(c) for i, c in enumerate(columns)))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, words: int | None = None) -> DataFrame:
     """(id, n_lines, n_removed, kept_sha256) of every row; null text: no lines, the hash of nothing."""
     rows = docs.select(*doc_key(id_col, text_col), F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-    rows = rows.join(repeated_runs(docs, id_col, text_col, run).hint("merge"), ["_id", "_th"], "left")  # one plan at every size
+    rows = rows.join(repeated_runs(docs, id_col, text_col, run, words).hint("merge"), ["_id", "_th"], "left")  # one plan at every size
     removed = F.aggregate(F.coalesce("runs", F.array().cast("array<struct<a:int,b:int>>")), F.lit(0), lambda acc, r: acc + r["b"] - r["a"] + 1)
     return rows.select(
         F.col("_doc").alias(id_col), F.coalesce(F.size(_lines(F.col("_text"))), F.lit(0)).cast("long").alias("n_lines"),
