@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (embedding_dedup, jaccard_join, line_dedup, lm_score, packing, quality, secret_scan, sentencepiece_lattice,
+from . import (conversation_repair, embedding_dedup, jaccard_join, line_dedup, lm_score, packing, quality, secret_scan, sentencepiece_lattice,
                substring_dedup, url_filter)
 from .common import ship
 
@@ -65,10 +65,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damage(_table(spark, sf_dir, "conversations"))
+    summary, repaired = conversation_repair.repair(rows, present_col="present")
+    hashes = conversation_repair.digests(repaired).withColumnRenamed("conv_id", "c")
+    return summary.join(hashes, F.col("conv_id").eqNullSafe(F.col("c")), "left").drop("c").withColumn(
+        "repaired_sha256", F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_sentencepiece, op2_substring_dedup, op3_best_fit_packing, op4_quality_rules, op5_embedding_dedup, op6_lm_score,
-        op7_secret_scan, op8_line_dedup, op9_url_filter, op10_jaccard_join)}
+        op7_secret_scan, op8_line_dedup, op9_url_filter, op10_jaccard_join, op12_conversation_repair)}
 
 
 _OP2 = r"""
