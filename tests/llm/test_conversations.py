@@ -8,10 +8,11 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from recoflow.llm import conversation_repair, queries
+from recoflow.llm import conversation_repair, modular, prefix_trie, queries
 
 FULL = re.compile("[^\x20\x09-\x0D]")
 EXTRA = ", c long, t long, d string, copy int, _code long, `present` string"
@@ -175,3 +176,70 @@ def test_repaired_rows_are_legal(talks):
     shapes = rows.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", F.substring("role", 1, 1).alias("r")))),
                                                                   lambda x: x["r"]), "").alias("shape"))
     assert shapes.where(~F.col("shape").rlike("^s?(ua)+$")).count() == 0
+
+
+def trie(talk, group=100, longest=5) -> set[tuple]:
+    """The nodes by plain recursion over rebuilt conversations."""
+    own = collections.defaultdict(list)
+    for conv, turn, role, text in talk:
+        if conv is not None:
+            own[conv].append((turn, role or "", text or ""))
+    for rows in own.values():
+        rows.sort(key=_order)
+    whole = {}
+    for c, rows in own.items():
+        h = zlib.crc32(str(c).encode()) % (longest + 1)
+        base = c - (abs(c) % group) * (1 if c >= 0 else -1)
+        whole[c] = [r[1:] for r in own.get(base, [])[:h]] + [r[1:] for r in rows[h:]]
+    members = collections.defaultdict(list)
+    for c, turns in whole.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children, leaves, saved = collections.Counter(), collections.Counter(), collections.Counter()
+    for path in members:
+        children[path[:-1]] += len(path) > 0
+    for path, ids in members.items():
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += not children[path]
+            saved[path[:d]] += (len(ids) - 1) * len(path[-1][1]) if path else 0
+    return {(min(ids), len(path), min(members[path[:-1]]) if path else None, len(ids), children[path], leaves[path], saved[path],
+             hashlib.sha256(",".join(str(c) for c in sorted(ids) if len(whole[c]) == len(path)).encode()).hexdigest())
+            for path, ids in members.items()}
+
+
+NODE = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+@pytest.mark.parametrize("cells, longest, partitions", [(1 << 20, 5, 4), (8, 5, 19), (64, 0, 3)])
+def test_trie(spark, talks, talk, cells, longest, partitions):
+    """Also with sketches far too small, which prove almost nothing single, and over many ranges."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        convs, prefixes = prefix_trie.shared_heads(prefix_trie.turn_digests(talks), longest=longest)
+        found = [tuple(r[c] for c in NODE) for r in prefix_trie.prefix_trie(convs, prefixes, most_cells=cells).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = trie(talk, longest=longest)
+    assert len(found) == len(want) and set(found) == want
+    assert any(r[3] > 1 and r[1] > 5 for r in want)
+
+
+def test_trie_of_nothing(talks):
+    for table in (talks.where("false"), talks.where("conv_id IS NULL")):
+        convs, prefixes = prefix_trie.shared_heads(prefix_trie.turn_digests(table))
+        assert prefix_trie.prefix_trie(convs, prefixes).count() == 0
+
+
+def test_arithmetic_modulo_the_prime():
+    rng = random.Random(2)
+    p = modular.PRIME
+    a = [0, 1, p - 1, p - 2, *(rng.randrange(p) for _ in range(500))]
+    b = [p - 1, p - 1, p - 1, 2, *(rng.randrange(p) for _ in range(500))]
+    x, y = np.array(a, np.uint64), np.array(b, np.uint64)
+    assert modular.multiply(x, y).tolist() == [i * j % p for i, j in zip(a, b)]
+    assert modular.subtract(x, y).tolist() == [(i - j) % p for i, j in zip(a, b)]
+    assert modular.running_sums(x).tolist() == [sum(a[:k]) % p for k in range(len(a) + 1)]
+    assert modular.powers(12345, 70, 3).tolist() == [pow(12345, 3 + k, p) for k in range(70)]
