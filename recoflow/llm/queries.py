@@ -158,8 +158,8 @@ FROM documents LEFT JOIN least ON least.a = doc_id LEFT JOIN counted ON counted.
 """
 
 
-_CRC32 = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({0}, ''), x -> CAST(ord(x) AS BIGINT))),
-  (crc, byte) -> list_reduce(list_prepend(xor(crc, byte), [CAST(0 AS BIGINT) FOR i IN range(8)]), (r, z) -> xor(r >> 1, (r & 1) * 3988292384)))"""
+_CRC32 = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({0}, ''), lambda x: CAST(ord(x) AS BIGINT))),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [CAST(0 AS BIGINT) FOR i IN range(8)]), lambda r, z: xor(r >> 1, (r & 1) * 3988292384)))"""
 
 _OP13 = f"""
 WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
