@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (conversation_repair, embedding_dedup, jaccard_join, line_dedup, lm_score, packing, prefix_trie, quality, secret_scan, sentencepiece_lattice,
-               substring_dedup, url_filter)
+               substring_dedup, toxicity, url_filter)
 from .common import ship
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -65,6 +65,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels"))).drop("kinds")
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversation_repair.damage(_table(spark, sf_dir, "conversations"))
     summary, repaired = conversation_repair.repair(rows, present_col="present")
@@ -81,7 +86,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_sentencepiece, op2_substring_dedup, op3_best_fit_packing, op4_quality_rules, op5_embedding_dedup, op6_lm_score,
-        op7_secret_scan, op8_line_dedup, op9_url_filter, op10_jaccard_join, op12_conversation_repair, op13_prefix_trie)}
+        op7_secret_scan, op8_line_dedup, op9_url_filter, op10_jaccard_join, op11_toxicity, op12_conversation_repair, op13_prefix_trie)}
 
 
 _OP2 = r"""
