@@ -103,8 +103,8 @@ def link_parts(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     weak = parts.where(F.col("kind") >= 3).withColumn("bin", F.explode(bins(F.col("start") - scope, F.col("end") + scope)))
     first = F.floor(F.greatest(F.col("from"), F.col("start") - scope) / scope)
     beside = weak.join(near, ["_id", "_th", "bin"]).where(
-        (F.col("from") <= F.col("end") + scope) & (F.col("to") >= F.col("start") - scope) & (F.col("from") != F.col("start"))
-        & (F.col("bin") == first))
+        (F.col("from") <= F.col("end") + scope) & (F.col("to") >= F.col("start") - scope) & (F.col("bin") == first)
+        & ((F.col("from") >= F.col("end")) | (F.col("to") <= F.col("start"))))  # what overlaps is the same string, no complement
     seen = beside.groupBy("_id", "_th", "start", "kind", "end").agg(
         F.max(F.col("role") == "identifier").alias("identifier"), F.max(F.col("role") == "secret").alias("secret"))
     good = F.when(F.col("kind") == 3, F.col("secret")).when(F.col("kind") == 4, F.col("identifier")).otherwise(F.col("identifier") & F.col("secret"))
