@@ -98,25 +98,34 @@ def _numeric(df: DataFrame, c: str) -> bool:
     return df.schema[c].dataType.typeName() in ("long", "integer", "short", "byte")
 
 
-def fanout(df: DataFrame, active: DataFrame, target: str, alias: str) -> DataFrame:
+def targets(active: DataFrame, target: str) -> list[str]:
+    """The active backends' targets, in order; backends without one are left out. Settings
+    hold a row per deployed backend."""
+    return [r[0] for r in active.select(target).where(F.col(target).isNotNull()).orderBy(target).collect()]
+
+
+def fanout(df: DataFrame, active: DataFrame | list[str], target: str, alias: str) -> DataFrame:
     """52/53: every row once per active backend target.
 
-    The target list is a scalar subquery (one array value computed once and
-    shipped with the plan) exploded per row: the output is the required
+    The target list (given, or a scalar subquery over the active settings: one array value
+    computed once and shipped with the plan) is exploded per row: the output is the required
     product, generated locally in each task without a join.  Without an active
     backend the batch fails: its rows would be lost.
     """
-    targets = active.select(F.array_sort(F.collect_list(F.col(target)))).scalar()
+    if isinstance(active, list):
+        found = F.array(*(F.lit(t) for t in active)).cast("array<string>")
+    else:
+        found = active.select(F.array_sort(F.collect_list(F.col(target)))).scalar()
     none = F.raise_error(F.lit("no active backend to deliver to")).cast("array<string>")
-    return df.withColumn(alias, F.explode(F.when(F.size(targets) > 0, targets).otherwise(none)))
+    return df.withColumn(alias, F.explode(F.when(F.size(found) > 0, found).otherwise(none)))
 
 
-def fanout_events(events: DataFrame, active: DataFrame) -> DataFrame:
+def fanout_events(events: DataFrame, active: DataFrame | list[str]) -> DataFrame:
     """52: valid events x active trackers."""
     return fanout(events, active, "eventTrackerId", "trackingId")
 
 
-def fanout_items(items: DataFrame, active: DataFrame) -> DataFrame:
+def fanout_items(items: DataFrame, active: DataFrame | list[str]) -> DataFrame:
     """53: valid items x active item datasets."""
     return fanout(items, active, "datasetArn", "datasetArn_target")
 

@@ -619,6 +619,14 @@ def queries() -> dict[str, str]:
 
     # 2.8
     q["stream_events"] = q["fanout_events"]
+    q["deliver_events"] = with_(EVENTS_FLAT, VALIDATED_EVENTS, SETTINGS) + (
+        ", pairs AS (SELECT sp_event_id, \"eventTrackerId\" AS target, \"eventTrackerId\" = (SELECT "
+        "min(\"eventTrackerId\") FROM settings WHERE status = 'active') AND CAST(regexp_extract("
+        "sp_event_id, '[0-9]+') AS BIGINT) % 3 = 0 AS refused FROM validated_events CROSS JOIN settings "
+        "WHERE skip_reason IS NULL AND status = 'active' AND \"eventTrackerId\" IS NOT NULL)\n"
+        "SELECT target, count(*) FILTER (WHERE NOT refused) AS success, count(*) FILTER (WHERE refused) AS fail, "
+        "count(*) FILTER (WHERE NOT refused) AS records, count(DISTINCT sp_event_id) FILTER (WHERE NOT refused) "
+        "AS events FROM pairs GROUP BY target")
     q["stream_content"] = with_(ITEMS_FLAT, CONTENT_FLAT, ITEM_RECORDS) + (
         "SELECT \"itemId\", updated_ts, record_id, properties FROM (SELECT *, row_number() OVER "
         "(PARTITION BY \"itemId\" ORDER BY updated_ts DESC, record_id DESC) AS rn FROM item_records) "

@@ -27,7 +27,7 @@ from recoflow.operators.validate import split, validate_content, validate_datase
 from recoflow.plans import etl, monitoring, recommend
 from recoflow.session import ensure_checkpoint_dir, materialize, prepare
 from recoflow.sources import fixtures as fx
-from recoflow.sources import readers, stream, writers
+from recoflow.sources import delivery, readers, stream, writers
 from recoflow.streaming import ingest
 
 AS_OF = fx.AS_OF
@@ -614,6 +614,32 @@ def q_stream_events(spark, sf):
     return spark.read.parquet(f"{base}/out/records").drop("batch_id")
 
 
+REFUSE_EVERY = 3
+
+
+@register("deliver_events")
+def q_deliver_events(spark, sf):
+    """75, 57: the event stream delivered to its trackers, the first of which refuses
+    every third record; what each target took and refused over all batches."""
+    base = scratch(spark, "deliver-events")
+    fx.stream_event_json(spark, sf).repartition(4).write.json(f"{base}/in")
+    fx.settings(spark, sf).write.parquet(f"{base}/settings")
+    src = stream.read_record_stream(spark, f"{base}/in", max_files_per_trigger=2)
+    settings = spark.read.parquet(f"{base}/settings")
+    hard = st.targets(readers.scan_active_settings(settings), "eventTrackerId")[0]
+    writer = ingest.event_batch_writer(
+        lambda: settings, f"{base}/out", F.lit(INGEST_EPOCH), client="recoflow.sources.delivery:RefuseEvery",
+        client_options={"refuse_every": REFUSE_EVERY, "refuse_target": hard})
+    ingest.run_stream(src, writer, f"{base}/ckpt").awaitTermination()
+    out = ingest.delivery_path(f"{base}/out")
+    took = delivery.delivered(spark, out, "trackingId string, eventId string").groupBy(
+        F.col("trackingId").alias("target")).agg(F.count(F.lit(1)).alias("records"), F.countDistinct("eventId").alias("events"))
+    counts = delivery.outcome(spark, out).groupBy("target").agg(
+        F.sum("success").alias("success"), F.sum("fail").alias("fail"))
+    return counts.join(took, "target", "left").select(
+        "target", "success", "fail", F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("events", F.lit(0)).alias("events"))
+
+
 @register("stream_content")
 def q_stream_content(spark, sf):
     """76: file stream of article records; item state (74) over the sink."""

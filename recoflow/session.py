@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -76,3 +78,20 @@ def materialize(df):
     if not ensure_checkpoint_dir(df.sparkSession):
         return df  # no shared folder configured: keep the lineage
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Make the package importable in Python workers (data sources, stateful
+    streams). Submitted with ``--py-files`` it is there already."""
+    sc = spark.sparkContext
+    if getattr(sc, "_recoflow_shipped", False):
+        return spark
+    root = Path(__file__).resolve().parent
+    if ".zip" not in str(root):
+        target = Path(tempfile.mkdtemp(prefix="recoflow-ship-")) / "recoflow.zip"
+        with zipfile.ZipFile(target, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, Path("recoflow") / file.relative_to(root))
+        sc.addPyFile(str(target))
+    sc._recoflow_shipped = True
+    return spark

@@ -7,11 +7,10 @@ the active backends (52/53, settings re-read per micro-batch) -> write.
 Replays are safe: a micro-batch writes to folders keyed by its
 ``batch_id`` with ``overwrite``, so a re-run after a failure replaces the
 partial output instead of duplicating it; the checkpoint records which
-batches are done.  Counters (57) are collected with ``observe`` on the
-same pass that writes the records.  The content job also keeps the item
-state (74) as one snapshot per batch: ``state_b = upsert(state_{b-1},
-updates_b)`` — a replay of batch b recomputes the same snapshot from
-``state_{b-1}``, never from a half-updated current state.
+batches are done.  Valid and skipped records (57) are counted with ``observe``
+on the same pass that writes the records; with a delivery sink
+(``sources/delivery``) success and fail are the targets' own answers. The
+content job also keeps the item state (74), see ``item_state``.
 """
 
 from __future__ import annotations
@@ -24,17 +23,20 @@ from pyspark.sql import functions as F
 from recoflow.functions import records as rec
 from recoflow.operators import settings as st
 from recoflow.operators.validate import split, validate_content, validate_events
+from recoflow.session import materialize
+from recoflow.sources import delivery
 from recoflow.sources.readers import scan_active_settings
 from recoflow.sources.stream import decode_stream_content, decode_stream_events
+from recoflow.streaming.item_state import ITEM_STATE_COLUMNS, ItemState, upsert_items
 
-ITEM_STATE_COLUMNS = ("itemId", "updated_ts", "record_id", "properties")
+__all__ = ["upsert_items", "ITEM_STATE_COLUMNS"]
 
 
 def ingest_time_now():
     return F.unix_timestamp(F.current_timestamp())
 
 
-def _events_out(validated: DataFrame, active: DataFrame, ingest_time) -> DataFrame:
+def _events_out(validated: DataFrame, active, ingest_time) -> DataFrame:
     valid, _ = split(validated)
     r = valid.select(rec.event_record(ingest_time).alias("r"))
     flat = r.select(F.col("r.sessionId").alias("sessionId"), F.col("r.userId").alias("userId"),
@@ -42,7 +44,7 @@ def _events_out(validated: DataFrame, active: DataFrame, ingest_time) -> DataFra
     return st.fanout_events(flat, active)
 
 
-def _items_out(validated: DataFrame, active: DataFrame, ingest_time) -> DataFrame:
+def _items_out(validated: DataFrame, active, ingest_time) -> DataFrame:
     valid, _ = split(validated)
     r = valid.select(F.col("record_id"), rec.item_record(ingest_time).alias("r"),
                      rec.item_properties(ingest_time)["CREATION_TIMESTAMP"].alias("updated_ts"))
@@ -63,12 +65,17 @@ def item_records(decoded: DataFrame, active: DataFrame, ingest_time=None) -> Dat
     return _items_out(validate_content(decoded), active, ingest_time)
 
 
-def ingest_counters(validated: DataFrame, n_targets) -> DataFrame:
-    """57 (batch form): success (deliveries: valid x targets), fail, skip."""
-    return validated.agg(
-        (F.count_if(F.col("skip_reason").isNull()) * n_targets).cast("long").alias("success"),
-        F.lit(0).cast("long").alias("fail"),
-        F.count_if(F.col("skip_reason").isNotNull()).cast("long").alias("skip"))
+def ingest_counters(validated: DataFrame, n_targets, refused: DataFrame | None = None) -> DataFrame:
+    """57 (batch form): success (deliveries: valid x targets less the refused ones), fail, skip.
+
+    ``n_targets``: number of targets that records are fanned out to.
+    ``refused``: one row per delivery that a target did not take.
+    """
+    fail = F.lit(0) if refused is None else refused.agg(F.count(F.lit(1))).scalar()
+    valid = F.count_if(F.col("skip_reason").isNull())
+    return validated.agg(valid.alias("valid"), F.count_if(F.col("skip_reason").isNotNull()).alias("skip")).select(
+        (F.col("valid") * n_targets - fail).cast("long").alias("success"), fail.cast("long").alias("fail"),
+        F.col("skip").cast("long"))
 
 
 def observed(validated: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -78,29 +85,11 @@ def observed(validated: DataFrame, name: str) -> tuple[DataFrame, Observation]:
                              F.count_if(F.col("skip_reason").isNotNull()).alias("skip")), obs
 
 
-def _write_counters(spark: SparkSession, obs: Observation, n_targets: int, batch_id: int,
-                    path: str) -> None:
-    m = obs.get
-    row = (batch_id, int(m["valid"]) * n_targets, 0, int(m["skip"]))
-    (spark.createDataFrame([row], "batch_id long, success long, fail long, skip long")
+def _write_counters(spark: SparkSession, batch_id: int, success: int, fail: int, skip: int, path: str) -> None:
+    (spark.createDataFrame([(batch_id, success, fail, skip)], "batch_id long, success long, fail long, skip long")
      .write.mode("overwrite").parquet(path))
 
 
-def upsert_items(current: DataFrame | None, updates: DataFrame, key: str = "itemId",
-                 version: tuple[str, ...] = ("updated_ts", "record_id")) -> DataFrame:
-    """74: newest properties per item win.
-
-    ``max(struct(version..., payload))`` per key is an ordinary aggregate,
-    so it is combined map-side: a key updated a million times costs one
-    row per map task in the shuffle, not a million.
-    """
-    rows = updates if current is None else current.unionByName(updates)
-    payload = [c for c in rows.columns if c != key and c not in version]
-    best = F.max(F.struct(*[F.col(v) for v in version], *[F.col(c) for c in payload]))
-    return rows.groupBy(key).agg(best.alias("b")).select(
-        key, *[F.col(f"b.{c}").alias(c) for c in (*version, *payload)])
-
-
 def dedupe_events(records: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Optional redelivery guard for the event stream (default off).
 
@@ -117,56 +106,77 @@ def dedupe_events(records: DataFrame, watermark: str = "1 hour") -> DataFrame:
             .dropDuplicatesWithinWatermark(["sp_event_id"]).drop("__event_time"))
 
 
+def delivery_path(sink: str) -> str:
+    """Where the event stream's delivery sink is."""
+    return f"{sink}/delivered"
+
+
+def _deliver(records: DataFrame, obs: Observation, sink: str, batch_id: int, n_targets: int,
+             target: str, key: str, client: str | None, options: dict | None) -> None:
+    """Write the records of a batch, to the targets themselves where a client is named, then its counters."""
+    spark, out = records.sparkSession, delivery_path(sink)
+    counters = f"{sink}/counters/batch_id={batch_id}"
+    if client is None:
+        records.write.mode("overwrite").parquet(f"{sink}/records/batch_id={batch_id}")
+        m = obs.get
+        _write_counters(spark, batch_id, int(m["valid"]) * n_targets, 0, int(m["skip"]), counters)
+        return
+    if delivery.is_delivered(spark, out, batch_id):  # a retry: only the counters may lack
+        skip = spark.read.json(f"{sink}/skipped/batch_id={batch_id}").first()["skip"]
+    else:
+        kept = materialize(records)  # one pass that counts, before anything is delivered
+        skip = int(obs.get["skip"])
+        (spark.createDataFrame([(skip,)], "skip long").coalesce(1).write.mode("overwrite")
+         .json(f"{sink}/skipped/batch_id={batch_id}"))
+        delivery.deliver(kept, out, batch_id, target, key, client, options)
+    got = delivery.outcome(spark, out, batch_id).agg(
+        F.coalesce(F.sum("success"), F.lit(0)).alias("s"), F.coalesce(F.sum("fail"), F.lit(0)).alias("f")).first()
+    _write_counters(spark, batch_id, got.s, got.f, skip, counters)
+
+
 def event_batch_writer(settings_reader: Callable[[], DataFrame], sink: str,
-                       ingest_time=None, decoded: bool = False) -> Callable[[DataFrame, int], None]:
+                       ingest_time=None, decoded: bool = False,
+                       client: str | None = None, client_options: dict | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch body of the event stream (75).  ``decoded``: the stream
-    was already decoded upstream (e.g. by ``dedupe_events``)."""
+    was already decoded upstream (e.g. by ``dedupe_events``). ``client``: delivers
+    to the trackers by ``sources/delivery`` instead of writing a table of records."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        active = scan_active_settings(settings_reader())
-        n_targets = active.count()
+        targets = st.targets(scan_active_settings(settings_at(settings_reader, batch_id)), "eventTrackerId")
         rows = batch if decoded else decode_stream_events(batch)
         validated, obs = observed(validate_events(rows), "events")
         t = ingest_time if ingest_time is not None else ingest_time_now()
-        _events_out(validated, active, t).write.mode("overwrite").parquet(
-            f"{sink}/records/batch_id={batch_id}")
-        _write_counters(spark, obs, n_targets, batch_id, f"{sink}/counters/batch_id={batch_id}")
+        _deliver(_events_out(validated, targets, t), obs, sink, batch_id, len(targets), "trackingId", "eventId",
+                 client, client_options)
     return write
 
 
-def state_path(sink: str, batch_id: int) -> str:
-    return f"{sink}/state/batch_id={batch_id}"
-
-
-def _read_state(spark: SparkSession, path: str) -> DataFrame:
-    """A snapshot that must be there: a lost one fails the batch instead of
-    restarting the state empty."""
-    return spark.read.parquet(path).select(*ITEM_STATE_COLUMNS)
-
-
 def content_batch_writer(settings_reader: Callable[[], DataFrame], sink: str,
                          ingest_time=None,
                          initial_state: str | None = None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body of the content stream (76): records, counters and
-    the item-state snapshot of this batch (74)."""
+    """foreachBatch body of the content stream (76): records, the item state's
+    run of this batch (74) and counters."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        active = scan_active_settings(settings_reader())
-        n_targets = active.count()
+        targets = st.targets(scan_active_settings(settings_at(settings_reader, batch_id)), "datasetArn")
         validated, obs = observed(validate_content(decode_stream_content(batch)), "content")
         t = ingest_time if ingest_time is not None else ingest_time_now()
         rec_path = f"{sink}/records/batch_id={batch_id}"
-        _items_out(validated, active, t).write.mode("overwrite").parquet(rec_path)
-        # state: previous snapshot + this batch's updates (one row per item)
-        prev = _read_state(spark, state_path(sink, batch_id - 1)) if batch_id > 0 else (
-            _read_state(spark, initial_state) if initial_state else None)
-        updates = spark.read.parquet(rec_path).select(*ITEM_STATE_COLUMNS).distinct()
-        upsert_items(prev, updates).write.mode("overwrite").parquet(state_path(sink, batch_id))
-        # last: a batch with counters has its snapshot
-        _write_counters(spark, obs, n_targets, batch_id, f"{sink}/counters/batch_id={batch_id}")
+        _items_out(validated, targets, t).write.mode("overwrite").parquet(rec_path)
+        m = obs.get
+        updates = spark.read.parquet(rec_path).select(*ITEM_STATE_COLUMNS)
+        ItemState(spark, f"{sink}/state", initial_state).apply(updates, batch_id)
+        # last: a batch with counters has its state
+        _write_counters(spark, batch_id, int(m["valid"]) * len(targets), 0, int(m["skip"]),
+                        f"{sink}/counters/batch_id={batch_id}")
     return write
 
 
+def settings_at(reader: Callable, batch_id: int) -> DataFrame:
+    """The settings for a micro-batch: ``reader(batch_id)`` where it takes one (see
+    ``operators/settings_log``), else ``reader()``."""
+    return reader(batch_id) if getattr(reader, "by_batch", False) else reader()
+
+
 def run_stream(records: DataFrame, writer: Callable[[DataFrame, int], None], checkpoint: str,
                available_now: bool = True, processing_time: str | None = None):
     """Start the foreachBatch query (``availableNow`` drains what is there)."""
@@ -177,8 +187,5 @@ def run_stream(records: DataFrame, writer: Callable[[DataFrame, int], None], che
 
 
 def items_state(spark: SparkSession, sink: str, batch_id: int | None = None) -> DataFrame:
-    """The item state after ``batch_id`` (default: the last finished query's
-    last batch, given by ``query.lastProgress`` / the caller)."""
-    if batch_id is None:
-        batch_id = (spark.read.parquet(f"{sink}/counters").agg(F.max("batch_id")).first()[0])
-    return spark.read.parquet(state_path(sink, batch_id)).select(*ITEM_STATE_COLUMNS)
+    """The item state after ``batch_id`` (default: the last complete batch)."""
+    return ItemState(spark, f"{sink}/state").read(batch_id)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from recoflow import jobs, schemas
 from recoflow.sources import fixtures as fx
 from recoflow.sources import writers
+from recoflow.streaming import ingest
 from tests.conftest import SMALL
 
 
@@ -66,5 +67,5 @@ def test_stream_and_monitor_jobs(spark):
     a = run("monitor", "--metrics", f"{base}/metrics", "--out", f"{base}/mon")
     a.fn(spark, a)
     assert spark.read.parquet(f"{base}/evout/records").count() > 0
-    assert spark.read.parquet(f"{base}/ctout/state").count() > 0
+    assert ingest.items_state(spark, f"{base}/ctout").count() > 0
     assert spark.read.parquet(f"{base}/mon/alarms").count() > 0
