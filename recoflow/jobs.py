@@ -8,6 +8,7 @@
     python -m recoflow.jobs recommend --requests ... --interactions ... --items ... \\
         --metadata ... --images ... --settings ... --as-of ... --out ...
     python -m recoflow.jobs monitor --metrics ... --out ...
+    python -m recoflow.jobs alarm-stream --metrics ... --out ... --checkpoint ...
 
 Each runner is a thin argument layer over the package functions; the
 session comes from ``spark-submit`` (cluster settings, shared checkpoint
@@ -22,12 +23,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from recoflow import schemas
+from recoflow.functions import columns
 from recoflow.operators import settings as st
 from recoflow.operators.validate import split, validate_dataset
 from recoflow.plans import etl, monitoring, recommend
 from recoflow.session import materialize, prepare
 from recoflow.sources import readers, stream, writers
-from recoflow.streaming import ingest
+from recoflow.streaming import alarms, ingest, progress
 
 
 def _read(spark: SparkSession, path: str, fmt: str = "parquet"):
@@ -64,20 +66,33 @@ def _stream_source(spark, a):
     return stream.read_record_stream(spark, a.records, a.max_files_per_trigger)
 
 
+def _watched(spark, a, name: str, decoded, event_time: str):
+    """The decoded stream, its progress written as metric rows where ``--metrics-out`` says."""
+    if not a.metrics_out:
+        return decoded, None
+    listener = progress.MetricsListener(a.metrics_out, {name: name})
+    spark.streams.addListener(listener)
+    return progress.observe_arrivals(decoded, columns.epoch_batch(event_time)), listener
+
+
+def _drain(spark, a, name: str, records, writer, listener) -> None:
+    ingest.run_stream(records, writer, a.checkpoint, available_now=not a.continuous, name=name).awaitTermination()
+    if listener:
+        spark.streams.removeListener(listener)
+
+
 def run_events_stream(spark, a) -> None:
     src = _stream_source(spark, a)
-    if a.dedupe_watermark:
-        src = ingest.dedupe_events(src, a.dedupe_watermark)
-    w = ingest.event_batch_writer(lambda: _read(spark, a.settings), a.sink,
-                                  decoded=bool(a.dedupe_watermark))
-    ingest.run_stream(src, w, a.checkpoint, available_now=not a.continuous).awaitTermination()
+    src = ingest.dedupe_events(src, a.dedupe_watermark) if a.dedupe_watermark else stream.decode_stream_events(src)
+    src, listener = _watched(spark, a, "PutEvents", src, "sp_derived_tstamp")
+    w = ingest.event_batch_writer(lambda: _read(spark, a.settings), a.sink, decoded=True, client=a.client)
+    _drain(spark, a, "PutEvents", src, w, listener)
 
 
 def run_content_stream(spark, a) -> None:
-    w = ingest.content_batch_writer(lambda: _read(spark, a.settings), a.sink,
-                                    initial_state=a.initial_state)
-    ingest.run_stream(_stream_source(spark, a), w, a.checkpoint,
-                      available_now=not a.continuous).awaitTermination()
+    src, listener = _watched(spark, a, "PutContent", stream.decode_stream_content(_stream_source(spark, a)), "UpdatedDate")
+    w = ingest.content_batch_writer(lambda: _read(spark, a.settings), a.sink, initial_state=a.initial_state, decoded=True)
+    _drain(spark, a, "PutContent", src, w, listener)
 
 
 def run_recommend(spark, a) -> None:
@@ -96,7 +111,18 @@ def run_recommend(spark, a) -> None:
 
 
 def run_monitor(spark, a) -> None:
-    m = _read(spark, a.metrics)
+    """Metric rows from any of: metric tables, the progress of streams, their counters, the events that used a
+    recommendation; rolled up, with alarms, TPS and use rate."""
+    m = _read(spark, a.metrics).select("ts", "metric", "value")
+    for path in a.progress or []:
+        m = m.unionByName(progress.read_metrics(spark, path))
+    for stream_name, path in (c.split("=", 1) for c in a.counters or []):
+        counters = spark.read.parquet(path)
+        m = m.unionByName(monitoring.counter_samples(counters, stream_name, F.unix_timestamp(F.col("_metadata.file_modification_time"))))
+    if a.used:
+        rate = monitoring.recommendation_use_rate(m, monitoring.recommendations_used(_read(spark, a.used)))
+        m = m.unionByName(monitoring.use_rate_samples(rate))
+    m = materialize(m)
     r = monitoring.metric_rollup(m)
     r.write.mode("overwrite").parquet(f"{a.out}/rollup")
     monitoring.alarm_rule(r, monitoring.alarm_rules(spark)).write.mode("overwrite").parquet(
@@ -104,6 +130,14 @@ def run_monitor(spark, a) -> None:
     monitoring.tps(m).write.mode("overwrite").parquet(f"{a.out}/tps")
 
 
+def run_alarm_stream(spark, a) -> None:
+    """Roll-ups and alarms of a running stream of metric rows (JSON files)."""
+    src = spark.readStream.schema(progress.METRIC_SCHEMA).json(a.metrics)
+    out = alarms.alarm_stream(alarms.rollup_stream(src, a.delay), monitoring.alarm_rules(spark))
+    w = out.writeStream.format("parquet").option("path", a.out).option("checkpointLocation", a.checkpoint).outputMode("append")
+    (w.trigger(processingTime="1 minute") if a.continuous else w.trigger(availableNow=True)).start().awaitTermination()
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="recoflow.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -139,10 +173,12 @@ def parser() -> argparse.ArgumentParser:
         j.add_argument("--checkpoint", required=True)
         j.add_argument("--max-files-per-trigger", type=int, default=100)
         j.add_argument("--continuous", action="store_true")
+        j.add_argument("--metrics-out", help="folder for metric rows of the stream's progress")
         if name == "content-stream":
             j.add_argument("--initial-state")
         else:
             j.add_argument("--dedupe-watermark", help="e.g. '1 hour'; off by default")
+            j.add_argument("--client", help="deliver to the trackers by this client (module:factory)")
         j.set_defaults(fn=fn)
 
     j = sub.add_parser("recommend")
@@ -153,8 +189,19 @@ def parser() -> argparse.ArgumentParser:
 
     j = sub.add_parser("monitor")
     j.add_argument("--metrics", required=True)
+    j.add_argument("--progress", action="append", help="folder written by --metrics-out of a stream")
+    j.add_argument("--counters", action="append", help="<prefix>=<counters folder of a stream's sink>, e.g. PutEvents=...")
+    j.add_argument("--used", help="events with ts and page_rid, for the use rate")
     j.add_argument("--out", required=True)
     j.set_defaults(fn=run_monitor)
+
+    j = sub.add_parser("alarm-stream")
+    j.add_argument("--metrics", required=True)
+    j.add_argument("--out", required=True)
+    j.add_argument("--checkpoint", required=True)
+    j.add_argument("--delay", default="10 minutes")
+    j.add_argument("--continuous", action="store_true")
+    j.set_defaults(fn=run_alarm_stream)
     return p
 
 

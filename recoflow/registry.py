@@ -28,7 +28,7 @@ from recoflow.plans import etl, monitoring, recommend
 from recoflow.session import ensure_checkpoint_dir, materialize, prepare
 from recoflow.sources import fixtures as fx
 from recoflow.sources import delivery, readers, stream, writers
-from recoflow.streaming import ingest
+from recoflow.streaming import alarms, ingest, progress
 
 AS_OF = fx.AS_OF
 # Fixed ingest clock for the stream rules' "unparsable time -> now" fallback
@@ -519,6 +519,38 @@ def q_alarm_rule(spark, sf):
     return a.select("alarm", "period", r6("value").alias("value"), "breaching", "in_alarm")
 
 
+@register("stream_alarms")
+def q_stream_alarms(spark, sf):
+    """59, 60 on a stream: the samples in three runs of the stream, each a third of the time; the alarms
+    of all periods that the watermark closed."""
+    base, m = scratch(spark, "stream-alarms"), metrics_table(spark, sf)
+    lo, hi = m.agg(F.min("ts"), F.max("ts")).first()
+    rules = monitoring.alarm_rules(spark)
+    for k in range(3):
+        part = m.where((F.col("ts") >= lo + (hi + 1 - lo) * k // 3) & (F.col("ts") < lo + (hi + 1 - lo) * (k + 1) // 3))
+        part.write.mode("append").json(f"{base}/in")
+        src = spark.readStream.schema(progress.METRIC_SCHEMA).json(f"{base}/in")
+        out = alarms.alarm_stream(alarms.rollup_stream(src), rules)
+        out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck").outputMode(
+            "append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(alarms.ALARM_SCHEMA).parquet(f"{base}/out").select(
+        "alarm", "period", r6("value").alias("value"), "breaching", "in_alarm")
+
+
+@register("metric_sketch")
+def q_metric_sketch(spark, sf):
+    """59 by sketches: hourly rows merged from 5-minute ones; ``p95_within``: the sketch's 95th percentile
+    has a rank within 1.33 % among all samples of its hour."""
+    m = metrics_table(spark, sf)
+    hourly = monitoring.sketch_rollup(monitoring.merge_sketches(monitoring.metric_sketch(m), 3600))
+    ranked = m.withColumn("period", monitoring.period_start("ts", 3600)).join(hourly.select("metric", "period", "p95"), ["metric", "period"])
+    ranks = ranked.groupBy("metric", "period").agg((F.count_if(F.col("value") < F.col("p95")) / F.count(F.lit(1))).alias("below"),
+                                                   (F.count_if(F.col("value") <= F.col("p95")) / F.count(F.lit(1))).alias("upto"))
+    return hourly.join(ranks, ["metric", "period"]).select(
+        "metric", "period", r6("sum").alias("sum"), r6("maximum").alias("maximum"), r6("average").alias("average"), "samples",
+        ((F.col("below") <= 0.95 + 0.0133) & (F.col("upto") >= 0.95 - 0.0133)).alias("p95_within"))
+
+
 @register("tps")
 def q_tps(spark, sf):
     t = monitoring.tps(metrics_table(spark, sf))

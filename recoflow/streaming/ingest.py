@@ -151,14 +151,15 @@ def event_batch_writer(settings_reader: Callable[[], DataFrame], sink: str,
 
 
 def content_batch_writer(settings_reader: Callable[[], DataFrame], sink: str,
-                         ingest_time=None,
-                         initial_state: str | None = None) -> Callable[[DataFrame, int], None]:
+                         ingest_time=None, initial_state: str | None = None,
+                         decoded: bool = False) -> Callable[[DataFrame, int], None]:
     """foreachBatch body of the content stream (76): records, the item state's
     run of this batch (74) and counters."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         targets = st.targets(scan_active_settings(settings_at(settings_reader, batch_id)), "datasetArn")
-        validated, obs = observed(validate_content(decode_stream_content(batch)), "content")
+        rows = batch if decoded else decode_stream_content(batch)
+        validated, obs = observed(validate_content(rows), "content")
         t = ingest_time if ingest_time is not None else ingest_time_now()
         rec_path = f"{sink}/records/batch_id={batch_id}"
         _items_out(validated, targets, t).write.mode("overwrite").parquet(rec_path)
@@ -178,9 +179,10 @@ def settings_at(reader: Callable, batch_id: int) -> DataFrame:
 
 
 def run_stream(records: DataFrame, writer: Callable[[DataFrame, int], None], checkpoint: str,
-               available_now: bool = True, processing_time: str | None = None):
-    """Start the foreachBatch query (``availableNow`` drains what is there)."""
+               available_now: bool = True, processing_time: str | None = None, name: str | None = None):
+    """Start the foreachBatch query (``availableNow`` drains what is there); ``name``: as listeners know it."""
     w = records.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
+    w = w.queryName(name) if name else w
     w = w.trigger(availableNow=True) if available_now else w.trigger(
         processingTime=processing_time or "10 seconds")
     return w.start()

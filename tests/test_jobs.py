@@ -59,13 +59,27 @@ def test_stream_and_monitor_jobs(spark):
     fx.metrics_from_events(fx.read(spark, SMALL, "events")).write.parquet(f"{base}/metrics")
     run = lambda *a: jobs.parser().parse_args(list(a))
     a = run("events-stream", "--records", f"{base}/ev", "--settings", f"{base}/settings",
-            "--sink", f"{base}/evout", "--checkpoint", f"{base}/evck", "--dedupe-watermark", "1 hour")
+            "--sink", f"{base}/evout", "--checkpoint", f"{base}/evck", "--dedupe-watermark", "1 hour",
+            "--metrics-out", f"{base}/progress")
     a.fn(spark, a)
     a = run("content-stream", "--records", f"{base}/ct", "--settings", f"{base}/settings",
-            "--sink", f"{base}/ctout", "--checkpoint", f"{base}/ctck")
+            "--sink", f"{base}/ctout", "--checkpoint", f"{base}/ctck", "--metrics-out", f"{base}/progress")
     a.fn(spark, a)
-    a = run("monitor", "--metrics", f"{base}/metrics", "--out", f"{base}/mon")
+    events = fx.events_flat(spark, SMALL).select("page_rid", F.unix_timestamp(F.col("timestamp").cast("timestamp")).alias("ts"))
+    events.write.parquet(f"{base}/used")
+    a = run("monitor", "--metrics", f"{base}/metrics", "--progress", f"{base}/progress", "--counters", f"PutEvents={base}/evout/counters",
+            "--counters", f"PutContent={base}/ctout/counters", "--used", f"{base}/used", "--out", f"{base}/mon")
     a.fn(spark, a)
+    rolled = {r.metric: r for r in spark.read.parquet(f"{base}/mon/rollup").groupBy("metric").agg(
+        F.sum("sum").alias("total"), F.max("maximum").alias("most")).collect()}
+    n = fx.read(spark, SMALL, "events").count()
+    counters = spark.read.parquet(f"{base}/evout/counters").agg(F.sum("success"), F.sum("skip")).first()
+    assert (rolled["PutEventsSuccess"].total, rolled["PutEventsSkipped"].total) == counters[:]
+    assert rolled["PutEventsRecords"].total == n and rolled["PutEventsInputRows"].total == n
+    assert rolled["PutEventsIteratorAge"].most > 10000 and rolled["PutContentIteratorAge"].most > 0
+    assert "RecommendationUseRate" in rolled and rolled["PutContentSkipped"].total > 0
+    late = spark.read.parquet(f"{base}/mon/alarms").where("alarm = 'ContentIteratorAge' AND in_alarm")
+    assert late.count() > 0
     assert spark.read.parquet(f"{base}/evout/records").count() > 0
     assert ingest.items_state(spark, f"{base}/ctout").count() > 0
     assert spark.read.parquet(f"{base}/mon/alarms").count() > 0
