@@ -155,7 +155,13 @@ ALARM_RULES = (
 # Stream consumer lag threshold (milliseconds).
 LAG_ALARM_MS = 10000
 
-# Scoring definitions (our own; the source system delegates scoring).
+# Exploration: share of a list's places for fresh items, and their greatest age.
+EXPLORATION_WEIGHT = 0.3
+EXPLORATION_AGE_SECONDS = 86400
+
+# ---------------------------------------------------------------------------
+# OWN DEFINITIONS of scoring (the source system delegates it)
+# ---------------------------------------------------------------------------
 SIMILAR_TOP_K = 10
 AFFINITY_WEIGHT = 0.7
 FRESHNESS_WEIGHT = 0.3

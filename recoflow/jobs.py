@@ -28,7 +28,7 @@ from recoflow.operators import settings as st
 from recoflow.operators.validate import split, validate_dataset
 from recoflow.plans import etl, monitoring, recommend
 from recoflow.session import materialize, prepare
-from recoflow.sources import readers, stream, writers
+from recoflow.sources import readers, shards, stream, writers
 from recoflow.streaming import alarms, ingest, progress
 
 
@@ -63,6 +63,8 @@ def run_publish(spark, a) -> None:
 def _stream_source(spark, a):
     if a.kafka_servers:
         return stream.read_kafka_record_stream(spark, a.kafka_servers, a.records)
+    if a.shards:
+        return shards.read_shard_stream(spark, a.records, f"{a.checkpoint.rstrip('/')}-shards", a.start)
     return stream.read_record_stream(spark, a.records, a.max_files_per_trigger)
 
 
@@ -168,6 +170,8 @@ def parser() -> argparse.ArgumentParser:
         j = sub.add_parser(name)
         j.add_argument("--records", required=True, help="folder of JSON records, or Kafka topic")
         j.add_argument("--kafka-servers")
+        j.add_argument("--shards", action="store_true", help="the records are a sharded log (use with --continuous)")
+        j.add_argument("--start", default="latest", choices=("latest", "earliest"))
         j.add_argument("--settings", required=True)
         j.add_argument("--sink", required=True)
         j.add_argument("--checkpoint", required=True)

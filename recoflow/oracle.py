@@ -381,6 +381,7 @@ def queries() -> dict[str, str]:
         "SELECT 'items', count(*) FROM items")
     q["decode_stream_events"] = ev + "SELECT sp_event_id AS record_id, " + ", ".join(
         f'{k} AS "{fx.STREAM_NAME.get(k, k)}"' for k in fx.STREAM_EVENT_KEYS) + " FROM events_flat"
+    q["shard_stream"] = q["decode_stream_events"]
     q["decode_stream_content"] = with_(ITEMS_FLAT, CONTENT_FLAT) + (
         "SELECT CAST(doc_id AS VARCHAR) AS record_id, \"ContentId\", \"Category\", \"Section\", "
         "\"ContentText\", \"ContentType\", \"UpdatedDate\", \"Published\", \"Sponsored\", "
@@ -652,6 +653,30 @@ def queries() -> dict[str, str]:
     q["user_personalization"] = pers_w + (
         "SELECT user_id, item_id, round(affinity, 6) AS affinity, fresh, round(score, 6) AS score "
         "FROM pers")
+    def u(*parts: str) -> str:
+        text = " || '|' || ".join(["'2024-01-31'", *parts])
+        return f"((CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
+
+    ids = ("CAST(request_id AS VARCHAR)", "CAST(p AS VARCHAR)", "CAST(pool AS VARCHAR)")
+    q["explore_items"] = with_(EVENTS_FLAT, INTERACTIONS_CTE, ITEMS_FLAT, ITEM_ROWS, ITEMS, SIMS, PERS, REQUESTS_FLAT) + (
+        f", new_items AS (SELECT DISTINCT \"ITEM_ID\" AS item_id FROM items WHERE {epoch_midnight(0)} - \"CREATION_TIMESTAMP\" <= 86400 "
+        "AND coalesce(\"Exclude\", 0) <> 1),\n"
+        "ranked AS (SELECT * FROM (SELECT request_id, item_id, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, item_id) "
+        "AS rank FROM requests_flat JOIN pers ON user_id = visitor_id) WHERE rank <= 25),\n"
+        f"reqs AS (SELECT request_id, visitor_id, CAST(floor({u(chr(39) + 'pool' + chr(39), ids[0])} * 64) AS INTEGER) AS pool FROM requests_flat),\n"
+        f"places AS (SELECT request_id, p, row_number() OVER (PARTITION BY request_id ORDER BY p) AS nth FROM reqs, "
+        f"(SELECT unnest(range(1, 26)) AS p) WHERE {u(chr(39) + 'place' + chr(39), ids[0], ids[1])} < 0.3),\n"
+        f"keyed AS (SELECT pool, item_id, -ln(-ln({u(chr(39) + 'item' + chr(39), ids[2], 'item_id')})) AS g FROM new_items, "
+        "(SELECT unnest(range(0, 64)) AS pool)),\n"
+        "blocked AS (SELECT request_id, item_id FROM ranked UNION SELECT request_id, \"ITEM_ID\" FROM requests_flat JOIN interactions "
+        "ON \"USER_ID\" = visitor_id),\n"
+        "chosen AS (SELECT request_id, item_id, row_number() OVER (PARTITION BY request_id ORDER BY g DESC, item_id) AS nth "
+        "FROM reqs JOIN keyed USING (pool) ANTI JOIN blocked USING (request_id, item_id)),\n"
+        "new AS (SELECT request_id, p, item_id FROM chosen JOIN places USING (request_id, nth)),\n"
+        "rest AS (SELECT request_id, p, row_number() OVER (PARTITION BY request_id ORDER BY p) AS rank FROM (SELECT request_id, p FROM "
+        "reqs, (SELECT unnest(range(1, 26)) AS p)) ANTI JOIN new USING (request_id, p))\n"
+        "SELECT request_id, CAST(p AS INTEGER) AS position, item_id, true AS explored FROM new UNION ALL "
+        "SELECT request_id, CAST(p AS INTEGER), item_id, false FROM ranked JOIN rest USING (request_id, rank)")
     q["personalized_ranking"] = with_(EVENTS_FLAT, INTERACTIONS_CTE, ITEMS_FLAT, ITEM_ROWS, ITEMS,
                                       SIMS, PERS, REQUESTS_FLAT, HCAND) + (
         "SELECT request_id, item_id, round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY "

@@ -12,13 +12,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recoflow import schemas
 from recoflow.functions import columns as fn
 from recoflow.functions import records as rec
 from recoflow.operators import candidates as cd
+from recoflow.operators import exploration
 from recoflow.operators import filters as flt
 from recoflow.operators import projections as pj
 from recoflow.operators import scoring
@@ -27,7 +28,7 @@ from recoflow.operators.validate import split, validate_content, validate_datase
 from recoflow.plans import etl, monitoring, recommend
 from recoflow.session import ensure_checkpoint_dir, materialize, prepare
 from recoflow.sources import fixtures as fx
-from recoflow.sources import delivery, readers, stream, writers
+from recoflow.sources import delivery, readers, shards, stream, writers
 from recoflow.streaming import alarms, ingest, progress
 
 AS_OF = fx.AS_OF
@@ -174,6 +175,21 @@ def q_decode_stream_events(spark, sf):
     return decoded_events(spark, sf)
 
 
+@register("shard_stream")
+def q_shard_stream(spark, sf):
+    """6: the events as a sharded log, read from its first record in batches of 100, two a shard."""
+    base = scratch(spark, "shards")
+    shards.write_log(fx.stream_event_json(spark, sf).repartition(16), f"{base}/log")
+    src = shards.read_shard_stream(spark, f"{base}/log", f"{base}/ck-shards", start="earliest")
+    q = stream.decode_stream_events(src).writeStream.format("parquet").option("path", f"{base}/out").option(
+        "checkpointLocation", f"{base}/ck").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.parquet(f"{base}/out")
+
+
 @register("decode_stream_content")
 def q_decode_stream_content(spark, sf):
     """7: base64 JSON article records decoded."""
@@ -718,6 +734,22 @@ def q_user_personalization(spark, sf):
                     r6("score").alias("score"))
 
 
+EXPLORE_SEED, EXPLORE_POOLS, EXPLORE_PLACES = "2024-01-31", 64, 25
+
+
+@register("explore_items")
+def q_explore_items(spark, sf):
+    """79: every request's first 25 by score, with three tenths of the places for items of the last day."""
+    inter, it = interactions(spark, sf), materialize(items(spark, sf))
+    req = fx.requests(spark, sf).select("request_id", F.col("visitor_id").alias("user_id"), F.lit(EXPLORE_PLACES).alias("k"))
+    scores = scoring.user_personalization(inter, it, AS_OF)
+    w = Window.partitionBy("request_id").orderBy(F.col("score").desc(), "item_id")
+    ranked = materialize(req.join(scores, "user_id").withColumn("rank", F.row_number().over(w)).where(
+        F.col("rank") <= EXPLORE_PLACES).select("request_id", "item_id", "rank"))
+    viewed = inter.select(F.col("USER_ID").alias("user_id"), F.col("ITEM_ID").alias("item_id")).distinct()
+    return exploration.explore(req, ranked, exploration.fresh_items(it, AS_OF), viewed, EXPLORE_SEED, pools=EXPLORE_POOLS)
+
+
 @register("personalized_ranking")
 def q_personalized_ranking(spark, sf):
     scores = scoring.user_personalization(interactions(spark, sf), items(spark, sf), AS_OF)
