@@ -75,8 +75,11 @@ def similar_items(interactions: DataFrame, k: int = C.SIMILAR_TOP_K,
     Output: ``item_id, similar_item_id, sim, rank``.
     """
     views = distinct_views(interactions)
-    n = item_users(views)
-    c = co_view_counts(views, block_items)
+    return top_similar(co_view_counts(views, block_items), item_users(views), k)
+
+
+def top_similar(c: DataFrame, n: DataFrame, k: int = C.SIMILAR_TOP_K) -> DataFrame:
+    """78 from counts: ``c`` (i, j, c_ij) for i != j, ``n`` (i, n_i)."""
     scored = (c.join(n, "i")
               .join(n.select(F.col("i").alias("j"), F.col("n_i").alias("n_j")), "j")
               .select("i", "j", (F.col("c_ij").cast("double")

@@ -650,6 +650,11 @@ def queries() -> dict[str, str]:
     q["similar_items"] = with_(EVENTS_FLAT, INTERACTIONS_CTE, SIMS) + (
         "SELECT item_id, similar_item_id, round(sim, 6) AS sim, rank FROM sims")
     pers_w = with_(EVENTS_FLAT, INTERACTIONS_CTE, ITEMS_FLAT, ITEM_ROWS, ITEMS, SIMS, PERS)
+    since = epoch_midnight(5)
+    q["similar_items_incremental"] = with_(
+        EVENTS_FLAT, INTERACTIONS_CTE.replace("interactions AS", "every_interaction AS", 1),
+        f"interactions AS (SELECT * FROM every_interaction WHERE \"TIMESTAMP\" >= {since})", SIMS) + (
+        "SELECT item_id, similar_item_id, round(sim, 6) AS sim, rank FROM sims")
     q["user_personalization"] = pers_w + (
         "SELECT user_id, item_id, round(affinity, 6) AS affinity, fresh, round(score, 6) AS score "
         "FROM pers")

@@ -9,6 +9,7 @@ places) so they compare across engines.
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Callable
 
@@ -19,7 +20,7 @@ from recoflow import schemas
 from recoflow.functions import columns as fn
 from recoflow.functions import records as rec
 from recoflow.operators import candidates as cd
-from recoflow.operators import exploration
+from recoflow.operators import coviews, exploration
 from recoflow.operators import filters as flt
 from recoflow.operators import projections as pj
 from recoflow.operators import scoring
@@ -727,6 +728,17 @@ def q_similar_items(spark, sf):
     return s.select("item_id", "similar_item_id", r6("sim").alias("sim"), "rank")
 
 
+@register("similar_items_incremental")
+def q_similar_items_incremental(spark, sf):
+    """78 kept up: the window's older days at once, then its last days in while the first go out."""
+    views = materialize(coviews.day_views(interactions(spark, sf, materialized=False)))
+    last = (datetime.date.fromisoformat(AS_OF) - datetime.date(1970, 1, 1)).days
+    state = coviews.CoViews(spark, scratch(spark, "coviews"))
+    state.step(0, views.where(F.col("day") < last - 3), views.where("false"))
+    state.step(1, views.where(F.col("day") >= last - 3), views.where(F.col("day") < last - 5))
+    return state.similar_items().select("item_id", "similar_item_id", r6("sim").alias("sim"), "rank")
+
+
 @register("user_personalization")
 def q_user_personalization(spark, sf):
     p = scoring.user_personalization(interactions(spark, sf), items(spark, sf), AS_OF)

@@ -9,8 +9,9 @@ import tempfile
 
 import pytest
 
-from recoflow.streaming import item_state
-from recoflow.streaming.item_state import ItemState, Run, plan_merges
+from recoflow.streaming import runs as runs_module
+from recoflow.streaming.item_state import ItemState
+from recoflow.streaming.runs import Run, plan_merges
 
 SCHEMA = "itemId string, updated_ts long, record_id string, properties string"
 
@@ -78,7 +79,7 @@ def test_replays_around_a_merge(spark, monkeypatch, fails_in):
                     m.setattr(ItemState, "_manifest", _breaking(ItemState._manifest, b))
                 else:
                     m.setattr(ItemState, "_merge", _stop)
-                    m.setattr(item_state, "plan_merges", lambda runs: 0)
+                    m.setattr(runs_module, "plan_merges", lambda runs: 0)
                 try:
                     state.apply(df, b)
                 except RuntimeError:
