@@ -682,6 +682,22 @@ def queries() -> dict[str, str]:
         "reqs, (SELECT unnest(range(1, 26)) AS p)) ANTI JOIN new USING (request_id, p))\n"
         "SELECT request_id, CAST(p AS INTEGER) AS position, item_id, true AS explored FROM new UNION ALL "
         "SELECT request_id, CAST(p AS INTEGER), item_id, false FROM ranked JOIN rest USING (request_id, rank)")
+    q["next_items"] = ev + (
+        f", v AS (SELECT sp_domain_sessionid AS session, {epoch_iso('sp_derived_tstamp')} AS ts, CAST(sp_event_id AS BIGINT) AS id, "
+        "content_contentid AS item FROM events_flat WHERE sp_event_name = 'page_view'),\n"
+        "o AS (SELECT *, lag(item) OVER w AS b, lag(item, 2) OVER w AS a, row_number() OVER (PARTITION BY session ORDER BY ts DESC, id DESC) "
+        "AS back FROM v WHERE session IS NOT NULL AND ts IS NOT NULL AND id IS NOT NULL AND item IS NOT NULL WINDOW w AS (PARTITION BY "
+        "session ORDER BY ts, id)),\n"
+        "want AS (SELECT DISTINCT b AS a, item AS b FROM o WHERE back = 1),\n"
+        "st AS (SELECT a, b, item AS x FROM o WHERE b IS NULL OR b <> item),\n"
+        "n3 AS (SELECT *, sum(n) OVER (PARTITION BY a, b) AS t FROM (SELECT a, b, x, count(*) AS n FROM st WHERE a IS NOT NULL GROUP BY a, b, x)),\n"
+        "n2 AS (SELECT *, sum(n) OVER (PARTITION BY b) AS t FROM (SELECT b, x, count(*) AS n FROM st WHERE b IS NOT NULL GROUP BY b, x)),\n"
+        "n1 AS (SELECT *, sum(n) OVER () AS t FROM (SELECT x, count(*) AS n FROM st GROUP BY x)),\n"
+        "sc AS (SELECT w.a, w.b, n1.x, CASE WHEN n3.n > 0 THEN 2 WHEN n2.n > 0 THEN 1 ELSE 0 END AS ord, CASE WHEN n3.n > 0 THEN "
+        "1.0 * n3.n / n3.t WHEN n2.n > 0 THEN CAST(0.4 AS DOUBLE) * n2.n / n2.t ELSE CAST(0.16 AS DOUBLE) * n1.n / n1.t END AS score FROM want w "
+        "CROSS JOIN n1 LEFT JOIN n3 ON n3.a = w.a AND n3.b = w.b AND n3.x = n1.x LEFT JOIN n2 ON n2.b = w.b AND n2.x = n1.x)\n"
+        "SELECT a, b, x AS item_id, ord AS \"order\", round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY a, b ORDER BY "
+        "round(score, 12) DESC, ord DESC, x) AS INTEGER) AS rank FROM sc QUALIFY rank <= 10")
     q["personalized_ranking"] = with_(EVENTS_FLAT, INTERACTIONS_CTE, ITEMS_FLAT, ITEM_ROWS, ITEMS,
                                       SIMS, PERS, REQUESTS_FLAT, HCAND) + (
         "SELECT request_id, item_id, round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY "

@@ -23,7 +23,7 @@ from recoflow.operators import candidates as cd
 from recoflow.operators import coviews, exploration
 from recoflow.operators import filters as flt
 from recoflow.operators import projections as pj
-from recoflow.operators import scoring
+from recoflow.operators import scoring, sequences
 from recoflow.operators import settings as st
 from recoflow.operators.validate import split, validate_content, validate_dataset, validate_events
 from recoflow.plans import etl, monitoring, recommend
@@ -762,6 +762,18 @@ def q_explore_items(spark, sf):
     return exploration.explore(req, ranked, exploration.fresh_items(it, AS_OF), viewed, EXPLORE_SEED, pools=EXPLORE_POOLS)
 
 
+@register("next_items")
+def q_next_items(spark, sf):
+    """79: after every session's last two views, the ten likeliest next items."""
+    views = flat_events(spark, sf).where("sp_event_name = 'page_view'").select(
+        F.col("sp_domain_sessionid").alias("session"), fn.epoch_batch("sp_derived_tstamp").alias("ts"),
+        F.col("sp_event_id").cast("long").alias("id"), F.col("content_contentid").alias("item")).dropna()
+    ctx = materialize(sequences.contexts(views))
+    last = ctx.groupBy("session").agg(F.max(F.struct("ts", "id", "b", "item")).alias("l")).select(
+        F.col("l.b").alias("a"), F.col("l.item").alias("b"))
+    return sequences.next_items(ctx, last).select("a", "b", "item_id", "order", r6("score").alias("score"), "rank")
+
+
 @register("personalized_ranking")
 def q_personalized_ranking(spark, sf):
     scores = scoring.user_personalization(interactions(spark, sf), items(spark, sf), AS_OF)
