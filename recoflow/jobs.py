@@ -28,7 +28,7 @@ from recoflow.operators import settings as st
 from recoflow.operators.validate import split, validate_dataset
 from recoflow.plans import etl, monitoring, recommend
 from recoflow.session import materialize, prepare
-from recoflow.sources import readers, shards, stream, writers
+from recoflow.sources import readers, shards, snapshots, stream, writers
 from recoflow.streaming import alarms, ingest, progress
 
 
@@ -51,13 +51,15 @@ def run_items(spark, a) -> None:
 def run_publish(spark, a) -> None:
     """Both datasets are checked against the import contract; rows that do
     not conform go to ``<dest>/_rejects`` with their reason."""
-    version, valid = writers.new_version(), {}
+    version, valid = snapshots.claim_version(spark, a.dest), {}
     for name, path, fields in (("interactions", a.interactions, schemas.INTERACTIONS_FIELDS),
                                ("items", a.items, schemas.ITEMS_FIELDS)):
         rows = writers.read_csv(spark, path, schemas.text_schema(fields))
         valid[name], rejected = split(validate_dataset(rows, fields))
         rejected.write.mode("overwrite").json(f"{a.dest}/_rejects/{name}/v={version}")
-    writers.refresh_snapshot(spark, valid, a.dest, version)
+    snapshots.publish(spark, valid, a.dest, version=version)
+    if a.keep:
+        snapshots.retain(spark, a.dest, a.keep)
 
 
 def _stream_source(spark, a):
@@ -164,6 +166,7 @@ def parser() -> argparse.ArgumentParser:
     j.add_argument("--interactions", required=True)
     j.add_argument("--items", required=True)
     j.add_argument("--dest", required=True)
+    j.add_argument("--keep", type=int, help="versions to keep besides those in use; all by default")
     j.set_defaults(fn=run_publish)
 
     for name, fn in (("events-stream", run_events_stream), ("content-stream", run_content_stream)):

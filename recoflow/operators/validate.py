@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recoflow import constants as C
 from recoflow.functions.columns import is_blank
@@ -74,17 +75,22 @@ def validate_dataset(df: DataFrame, fields) -> DataFrame:
     Each declared field is cast with ``try_cast`` (a value that does not
     fit becomes NULL instead of failing the job); a required field that is
     missing or does not cast gives ``skip_reason``.  Extra columns are
-    dropped; ``fields`` are (name, spark type, nullable) triples.
+    dropped; ``fields``: a schema, whose fields' flags (metadata) the
+    result keeps, or (name, spark type, nullable) triples.
     """
+    if isinstance(fields, T.StructType):
+        declared = [(f.name, f.dataType.simpleString(), f.nullable, f.metadata) for f in fields]
+    else:
+        declared = [(*f, None) for f in fields]
     cols, checks = [], []
-    for name, typ, nullable in fields:
+    for name, typ, nullable, metadata in declared:
         if name in df.columns:
             v = F.col(name).try_cast(typ)
             bad_cast = F.col(name).isNotNull() & v.isNull()
         else:
             v = F.lit(None).cast(typ)
             bad_cast = F.lit(False)
-        cols.append(v.alias(name))
+        cols.append(v.alias(name, metadata=metadata) if metadata else v.alias(name))
         checks.append((bad_cast, f"bad {name}"))
         if not nullable:
             checks.append((v.isNull(), f"missing {name}"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from recoflow import constants as C
+from recoflow import schemas
 from recoflow.sources import fixtures as fx
 
 AS_OF = _dt.date(2024, 1, 31)
@@ -395,6 +396,18 @@ def queries() -> dict[str, str]:
         "CREATION_TIMESTAMP IS NULL THEN 'missing CREATION_TIMESTAMP' WHEN WordCount IS NOT NULL AND "
         "TRY_CAST(WordCount AS INTEGER) IS NULL THEN 'bad WordCount' END AS skip_reason FROM item_rows")
 
+    fields = " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, '{f}' AS field, '{'bigint' if t == 'long' else t}' AS type, "
+        + (f"'{schemas.FIELD_FLAGS[f]}'" if f in schemas.FIELD_FLAGS else "CAST(NULL AS VARCHAR)") + " AS flag"
+        for name, declared in (("interactions", schemas.INTERACTIONS_FIELDS), ("items", schemas.ITEMS_FIELDS)) for f, t, _ in declared)
+    q["dataset_flags"] = with_(EVENTS_FLAT, INTERACTIONS_CTE, ITEMS_FLAT, ITEM_ROWS) + (
+        f", fields AS ({fields}), sizes AS (SELECT 'interactions' AS dataset, count(*) AS n FROM interactions UNION ALL SELECT 'items', count(*) "
+        "FROM item_rows WHERE ITEM_ID IS NOT NULL AND CREATION_TIMESTAMP IS NOT NULL AND (WordCount IS NULL OR TRY_CAST(WordCount AS "
+        "INTEGER) IS NOT NULL)) SELECT dataset, n, field, type, flag FROM fields JOIN sizes USING (dataset)")
+    q["validate_interactions"] = ev + (
+        f"SELECT *, CASE WHEN USER_ID IS NULL THEN 'missing USER_ID' WHEN ITEM_ID IS NULL THEN 'missing ITEM_ID' WHEN \"TIMESTAMP\" IS NULL "
+        f"THEN 'missing TIMESTAMP' WHEN EVENT_TYPE IS NULL THEN 'missing EVENT_TYPE' END AS skip_reason FROM ({INTERACTIONS_SELECT})")
+
     # 2.2
     q["pivot_attributes"] = ev + "SELECT " + ", ".join(
         fx.BATCH_ATTRIBUTE_KEYS + ["timestamp", "datetime_collector_local", "eventdate",
@@ -513,6 +526,11 @@ def queries() -> dict[str, str]:
     q["fanout_items"] = with_(ITEMS_FLAT, CONTENT_FLAT, ITEM_RECORDS, SETTINGS) + (
         "SELECT r.*, s.\"datasetArn\" AS \"datasetArn_target\" FROM item_records r CROSS JOIN "
         "settings s WHERE s.status = 'active'")
+    q["settings_as_of"] = with_(EVENTS_FLAT, VALIDATED_EVENTS, SETTINGS) + (
+        f", e AS (SELECT sp_event_id, {epoch_iso('sp_derived_tstamp')} AS happened FROM validated_events WHERE skip_reason IS NULL)\n"
+        "SELECT sp_event_id, happened, \"eventTrackerId\" AS \"trackingId\" FROM e JOIN settings ON \"eventTrackerId\" IS NOT NULL AND happened >= 0 AND "
+        "CASE WHEN happened < epoch(DATE '2024-01-11') THEN status = 'active' WHEN happened < epoch(DATE '2024-01-21') THEN status = 'active' AND "
+        "\"eventTrackerId\" <> (SELECT min(\"eventTrackerId\") FROM settings WHERE status = 'active') ELSE true END")
     q["context_lookup"] = req_w + "SELECT request_id, backend, filter_name, kind FROM resolved"
     q["assign_backend"] = with_(REQUESTS_FLAT, SETTINGS, PARSED, SPANS, ASSIGNED) + (
         "SELECT request_id, backend FROM assigned")

@@ -214,6 +214,17 @@ def image_fields(images: DataFrame) -> DataFrame:
         F.lit(True).alias("has_images"))
 
 
+def enrich_metadata(rows: DataFrame, content_meta: DataFrame, item: str = "item_id") -> DataFrame:
+    """49: inner join with the articles' metadata, named as in the reply (``content_id`` is the item)."""
+    return rows.join(metadata_fields(content_meta), F.col(item) == F.col("content_id"))
+
+
+def enrich_images(rows: DataFrame, images: DataFrame, item: str = "item_id") -> DataFrame:
+    """50: left join with the images' urls; ``has_images`` is null for an article without a row."""
+    urls = image_fields(images).withColumnRenamed("content_id", "__image_of")
+    return rows.join(urls, F.col(item) == F.col("__image_of"), "left").drop("__image_of")
+
+
 def recommend_batch(inp: Inputs, as_of) -> tuple[DataFrame, DataFrame, DataFrame]:
     """81: (reply rows, resolved requests, ranked candidates).
 
@@ -222,12 +233,9 @@ def recommend_batch(inp: Inputs, as_of) -> tuple[DataFrame, DataFrame, DataFrame
     """
     req, ranked = recommend_candidates(inp, as_of)
     ranked = materialize(ranked)  # the reply rows and the coverage read it
-    meta = metadata_fields(inp.content_meta)
-    imgs = image_fields(inp.images)
-    rows = (ranked.select("request_id", "item_id", "rank", "score", "backup", "num_results")
-            .join(meta, F.col("item_id") == F.col("content_id"))          # 49 inner
-            .join(imgs, "content_id", "left")                               # 50 left
-            .join(req.select("request_id", "last_content_ids"), "request_id"))
+    rows = ranked.select("request_id", "item_id", "rank", "score", "backup", "num_results")
+    rows = enrich_images(enrich_metadata(rows, inp.content_meta), inp.images)
+    rows = rows.join(req.select("request_id", "last_content_ids"), "request_id")
     rows = drop_last_content(rows, "content_id", "last_content_ids")
     w = F.row_number().over(Window.partitionBy("request_id").orderBy("rank"))
     rows = rows.withColumn("position", w).filter(F.col("position") <= F.col("num_results") - 1)

@@ -25,11 +25,12 @@ from recoflow.operators import filters as flt
 from recoflow.operators import projections as pj
 from recoflow.operators import scoring, sequences
 from recoflow.operators import settings as st
+from recoflow.operators import settings_log
 from recoflow.operators.validate import split, validate_content, validate_dataset, validate_events
 from recoflow.plans import etl, monitoring, recommend
 from recoflow.session import ensure_checkpoint_dir, materialize, prepare
 from recoflow.sources import fixtures as fx
-from recoflow.sources import delivery, readers, shards, stream, writers
+from recoflow.sources import delivery, readers, shards, snapshots, stream, writers
 from recoflow.streaming import alarms, ingest, progress
 
 AS_OF = fx.AS_OF
@@ -146,7 +147,7 @@ def q_scan_content(spark, sf):
 @register("write_interactions")
 def q_write_interactions(spark, sf):
     """3: interactions written as CSV and read back."""
-    path = writers.write_interactions(interactions(spark, sf), scratch(spark, "interactions"))
+    path = writers.write_interactions(interactions(spark, sf, materialized=False), scratch(spark, "interactions"))
     return writers.read_csv(spark, path, schemas.interactions_csv_schema())
 
 
@@ -159,15 +160,37 @@ def q_write_items(spark, sf):
 
 @register("refresh_snapshot")
 def q_refresh_snapshot(spark, sf):
-    """5: publish both datasets, switch the pointer, read both back."""
+    """5: publish both datasets twice, the first time half of them; read both back from one version, checked."""
     dest = scratch(spark, "snapshot")
-    writers.refresh_snapshot(spark, {"interactions": interactions(spark, sf),
-                                     "items": items(spark, sf)}, dest)
-    a = writers.current_snapshot(spark, dest, "interactions", schemas.interactions_csv_schema())
-    b = writers.current_snapshot(spark, dest, "items", schemas.items_csv_schema())
-    return (a.groupBy().agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit("interactions"))
-            .unionByName(b.groupBy().agg(F.count(F.lit(1)).alias("rows"))
-                         .withColumn("dataset", F.lit("items"))))
+    inter, it = interactions(spark, sf, materialized=False), items(spark, sf)
+    snapshots.publish(spark, {"interactions": inter.where("length(USER_ID) % 2 = 0"), "items": it}, dest)
+    snapshots.publish(spark, {"interactions": inter, "items": it}, dest)
+    got = snapshots.read(spark, dest, {"interactions": schemas.interactions_csv_schema(), "items": schemas.items_csv_schema()})
+    count = lambda name: got[name].agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit(name))
+    return count("interactions").unionByName(count("items"))
+
+
+@register("dataset_flags")
+def q_dataset_flags(spark, sf):
+    """10: the fields of both datasets with their flags, after checks, a write and a read; and how many rows pass."""
+    base, out = scratch(spark, "flags"), None
+    for name, rows, schema in (("interactions", interactions(spark, sf, materialized=False), schemas.INTERACTIONS),
+                               ("items", etl.to_items(mapped_items(spark, sf)), schemas.ITEMS)):
+        valid, _ = split(validate_dataset(rows, schema))
+        valid.write.parquet(f"{base}/{name}")
+        back = spark.read.parquet(f"{base}/{name}")
+        fields = F.inline(F.array(*(F.struct(F.lit(f.name).alias("field"), F.lit(f.dataType.simpleString()).alias("type"),
+                                             F.lit(schemas.flag_of(f)).alias("flag")) for f in back.schema.fields)))
+        part = back.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("dataset"), "n", fields)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("validate_interactions")
+def q_validate_interactions(spark, sf):
+    """10: raw click rows against the interactions' schema (users and items may lack)."""
+    rows = etl.to_interactions(flat_events(spark, sf))
+    return validate_dataset(rows, schemas.INTERACTIONS)
 
 
 @register("decode_stream_events")
@@ -441,20 +464,17 @@ def q_drop_last_content(spark, sf):
 
 @register("enrich_metadata")
 def q_enrich_metadata(spark, sf):
-    meta = recommend.metadata_fields(fx.content_meta(spark, sf))
     c = history_candidates(spark, sf).select("request_id", "item_id")
-    return c.join(meta, c["item_id"] == meta["content_id"]).select(
+    return recommend.enrich_metadata(c, fx.content_meta(spark, sf)).select(
         "request_id", "item_id", "title", "byline", "url", "section_meta_title",
         F.col("word_count").cast("double").alias("word_count"))
 
 
 @register("enrich_images")
 def q_enrich_images(spark, sf):
-    imgs = recommend.image_fields(fx.images(spark, sf))
     c = history_candidates(spark, sf).select("request_id", "item_id")
-    j = c.join(imgs, c["item_id"] == imgs["content_id"], "left")
-    return j.select("request_id", "item_id", "author_url220", "picture_url220",
-                    F.coalesce("has_images", F.lit(False)).alias("has_images"))
+    return recommend.enrich_images(c, fx.images(spark, sf)).select(
+        "request_id", "item_id", "author_url220", "picture_url220", F.coalesce("has_images", F.lit(False)).alias("has_images"))
 
 
 @register("exclude_viewed")
@@ -475,6 +495,21 @@ def q_fanout_items(spark, sf):
                                F.lit(INGEST_EPOCH))
 
 
+@register("settings_as_of")
+def q_settings_as_of(spark, sf):
+    """52 by version: valid events to the trackers that were active at their time. The settings have three
+    versions: as given, without the first active tracker from the 11th on, all active from the 21st on."""
+    log, now = settings_log.SettingsLog(spark, scratch(spark, "settings")), fx.settings(spark, sf)
+    first = st.targets(readers.scan_active_settings(now), "eventTrackerId")[0]
+    day = lambda d: 1704067200 + (d - 1) * 86400  # noqa: E731 - a day of January 2024
+    log.append(now, 0)
+    log.append(now.withColumn("status", F.when(F.col("eventTrackerId") == first, "retired").otherwise(F.col("status"))), day(11))
+    log.append(now.withColumn("status", F.lit("active")), day(21))
+    valid, _ = split(validate_events(decoded_events(spark, sf)))
+    events = valid.select("sp_event_id", fn.epoch_batch("sp_derived_tstamp").alias("happened"))
+    return settings_log.fanout_as_of(events, log, "happened", "eventTrackerId", "trackingId")
+
+
 @register("context_lookup")
 def q_context_lookup(spark, sf):
     return resolved_requests(spark, sf).select("request_id", "backend", "filter_name", "kind")
@@ -602,7 +637,7 @@ def q_reply_assembly(spark, sf):
 
 @register("sorted_interactions")
 def q_sorted_interactions(spark, sf):
-    return etl.sorted_interactions(interactions(spark, sf))
+    return etl.sorted_interactions(interactions(spark, sf, materialized=False))
 
 
 @register("topk_per_request")

@@ -64,6 +64,20 @@ ITEMS_FIELDS = (
     ("Exclude", "int", True),
 )
 
+# Flags of fields for the import: how the downstream service uses them.
+FIELD_FLAGS = {
+    "visitor_type": "categorical",
+    "visitor_countrycode": "categorical",
+    "device_detector_visitorplatform": "categorical",
+    "device_detector_brandname": "categorical",
+    "device_detector_browserfamily": "categorical",
+    "ContentText": "textual",
+    "Category": "categorical",
+}
+
+# ---------------------------------------------------------------------------
+
+_FLAG_NAMES = ("categorical", "textual")
 _AVRO_TO_SPARK = {"string": "string", "long": "bigint", "int": "int", "boolean": "boolean",
                   "double": "double", "float": "float"}
 _SPARK_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "long": T.LongType(),
@@ -82,8 +96,26 @@ def avro_fields(schema_json: dict) -> tuple[tuple[str, str, bool], ...]:
     return tuple(out)
 
 
-def struct_of(fields) -> T.StructType:
-    return T.StructType([T.StructField(n, _SPARK_TYPES[t], nl) for n, t, nl in fields])
+def struct_of(fields, flags=None) -> T.StructType:
+    """Fields (name, type, nullable) as a schema; ``flags``: name -> flag, kept as the field's metadata."""
+    flags = FIELD_FLAGS if flags is None else flags
+    return T.StructType([T.StructField(n, _SPARK_TYPES[t], nl, {flags[n]: True} if n in flags else None) for n, t, nl in fields])
+
+
+def dataset_schema(schema_json: dict) -> T.StructType:
+    """A declared dataset schema (record JSON) as a Spark schema; a field's flags become its metadata."""
+    out = T.StructType()
+    for field, (name, typ, nullable) in zip(schema_json["fields"], avro_fields(schema_json)):
+        out.add(name, _SPARK_TYPES[typ], nullable, {k: True for k in _FLAG_NAMES if field.get(k)} or None)
+    return out
+
+
+def flag_of(field: T.StructField) -> str | None:
+    return next((k for k in _FLAG_NAMES if field.metadata.get(k)), None)
+
+
+INTERACTIONS = struct_of(INTERACTIONS_FIELDS)
+ITEMS = struct_of(ITEMS_FIELDS)
 
 
 def text_schema(fields) -> T.StructType:

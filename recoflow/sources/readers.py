@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recoflow.functions.columns import as_of_date
-
 
 def rolling_month_predicate(as_of, year: str = "year", month: str = "month",
                             day: str = "day") -> Column:
     """Dates in (as_of - 1 month, as_of], stated on the partition columns.
 
-    The predicate references only ``year/month/day``, so on a partitioned
-    Parquet/catalog source Spark evaluates it against partition values
-    (``PartitionFilters`` in the plan) and never lists the other folders.
-    Using a real date range also covers January (previous December) and
-    months of different length.
+    ``as_of`` is a date (text or ``datetime.date``), so the range is known when the
+    plan is made and becomes plain comparisons of year, month and day with
+    literals, which a metastore evaluates on its partition list and Spark on folder names
+    (``PartitionFilters``); other partitions are not even listed. A real date range
+    also covers January (previous December) and months of different length.
     """
-    d = F.make_date(F.col(year), F.col(month), F.col(day))
-    end = as_of_date(as_of)
-    return (d > F.add_months(end, -1)) & (d <= end)
+    end = as_of if isinstance(as_of, datetime.date) else datetime.date.fromisoformat(str(as_of))
+    last_month = end.replace(day=1) - datetime.timedelta(days=1)
+    start = last_month.replace(day=min(end.day, last_month.day))  # excluded, as add_months has it
+    y, m, d = F.col(year), F.col(month), F.col(day)
+    old = (y == start.year) & (m == start.month) & (d > start.day)
+    new = (y == end.year) & (m == end.month) & (d <= end.day)
+    return old | new
 
 
 def scan_rolling_month(df: DataFrame, as_of) -> DataFrame:

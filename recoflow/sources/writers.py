@@ -2,52 +2,35 @@
 
 Datasets are written as CSV with a header (the import format of the
 downstream service).  Article text holds newlines and quotes, so quotes
-are escaped by doubling and readers must use ``multiLine``.  Writes go to
-a fresh versioned folder and a small pointer table is switched last, so a
-failed or retried job never leaves a half-written dataset visible.
+are escaped by doubling and readers must use ``multiLine``.  A dataset is
+written beside its folder and put in its place when it is complete, so a
+failed job leaves the old one; snapshots are in ``snapshots``.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
-
-
-def write_csv(df: DataFrame, path: str, partitions: int | None = None) -> str:
-    """Overwrite ``path`` with ``df`` as CSV.  ``partitions`` optionally
-    coalesces the output (1 = one file, only sensible for small outputs)."""
-    out = df if partitions is None else df.coalesce(partitions)
-    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
-    return path
-
+from recoflow.sources import snapshots
+from recoflow.sources.csvio import CSV_OPTIONS, read_csv, write_csv
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a dataset written by ``write_csv``.
-
-    The writer emits NULL as an empty field and '' as a quoted empty
-    string.  With the reader's default ``nullValue`` ('') both would come
-    back NULL, so the reader's null marker is set to a character that
-    never occurs in the data: unquoted empty fields still read as NULL and
-    quoted empty strings stay ''.
-    """
-    return (spark.read.options(**CSV_OPTIONS).option("multiLine", "true")
-            .option("nullValue", "\u0000").schema(schema).csv(path))
+__all__ = ["CSV_OPTIONS", "read_csv", "write_csv"]
 
 
 def write_interactions(df: DataFrame, path: str, partitions: int | None = None,
                        table: str | None = None) -> str:
-    """3: interactions dataset as CSV (optionally registered as a table)."""
+    """3: interactions dataset as CSV (optionally registered as an external table; a
+    managed table of that name is refused, its data would be lost)."""
+    spark = df.sparkSession
+    known = bool(table) and spark.catalog.tableExists(table)
+    if known and spark.catalog.getTable(table).tableType != "EXTERNAL":
+        raise ValueError(f"{table} is not an external table")
     write_csv(df, path, partitions)
-    if table:
-        spark = df.sparkSession
-        if spark.catalog.tableExists(table):  # an earlier run's entry: the data is in its folder, not in the entry
-            spark.sql(f"DROP TABLE {table}")
+    if known:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    elif table:
         spark.catalog.createTable(table, path=path, source="csv", schema=df.schema,
                                   **CSV_OPTIONS, multiLine="true")
     return path
@@ -58,37 +41,12 @@ def write_items(df: DataFrame, path: str, partitions: int | None = None) -> str:
     return write_csv(df, path, partitions)
 
 
-def new_version() -> str:
-    return time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + "-" + uuid.uuid4().hex[:8]
-
-
 def refresh_snapshot(spark: SparkSession, sources: dict[str, DataFrame], dest: str,
-                     version: str | None = None) -> dict[str, str]:
-    """5: publish new snapshots of several datasets under ``dest``.
-
-    Each dataset is written to ``dest/<name>/v=<version>``; only after all
-    writes succeed is one row per dataset appended to the version log
-    ``dest/_versions``.  Appends never delete, and the commit protocol
-    makes the appended rows visible at once, so a reader always resolves a
-    complete snapshot (the previous one until the append commits); a
-    failed publish leaves only an unreferenced folder.
-    """
-    version = version or new_version()
-    paths = {}
-    for name, df in sources.items():
-        p = f"{dest}/{name}/v={version}"
-        write_csv(df, p)
-        paths[name] = p
-    log = spark.createDataFrame([(n, p, version) for n, p in paths.items()],
-                                "dataset string, path string, version string")
-    log.coalesce(1).write.mode("append").json(f"{dest}/_versions")
-    return paths
+                     version: str | None = None) -> int:
+    """5: publish several datasets as one version under ``dest`` (``version``: a name for its folders)."""
+    return snapshots.publish(spark, sources, dest, label=version)
 
 
 def current_snapshot(spark: SparkSession, dest: str, name: str, schema: T.StructType) -> DataFrame:
-    """Resolve the newest published version of one dataset and read it."""
-    log = spark.read.schema("dataset string, path string, version string").json(
-        f"{dest}/_versions")
-    path = (log.filter(F.col("dataset") == name)
-            .agg(F.max_by("path", "version").alias("path")).first()["path"])
-    return read_csv(spark, path, schema)
+    """One dataset of the newest published version; several at once: ``snapshots.read``."""
+    return snapshots.read(spark, dest, {name: schema})[name]
