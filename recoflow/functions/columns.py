@@ -115,7 +115,7 @@ def parse_limit(c) -> Column:
 
 def num_results(limit) -> Column:
     """Ask for one more than the limit (the current article may come back),
-    never more than the service cap."""
+    never more than the service cap. Zero or a negative limit asks for no rows and gets an empty list."""
     return F.least(col(limit).cast("long") + 1, F.lit(C.MAX_RESULTS).cast("long")).cast("int")
 
 

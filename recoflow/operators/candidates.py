@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recoflow import constants as C
-from recoflow.functions.columns import midnight_epoch
+from recoflow.operators import filters
 
 
 def item_attributes(items: DataFrame) -> DataFrame:
@@ -103,6 +103,12 @@ def kind_predicate(kind: str = "kind", category: str = "category", specs=C.FILTE
     return out.otherwise(bad.cast("boolean"))
 
 
+def known_kind(kind: str = "kind", specs=C.FILTER_SPECS) -> Column:
+    """True; rows of a kind without a spec fail the job."""
+    bad = F.raise_error(F.concat(F.lit("no filter spec named "), F.coalesce(F.col(kind), F.lit("null"))))
+    return F.when(F.col(kind).isin([s["name"] for s in specs]), True).otherwise(bad.cast("boolean"))
+
+
 def kinds_with(clause: str, specs=C.FILTER_SPECS) -> list[str]:
     return [s["name"] for s in specs if clause in s["clauses"]]
 
@@ -126,9 +132,9 @@ def item_filter_exclcat(cands, items, interactions, category="category"):
     return exclude_viewed(c, interactions)
 
 
-def passes_age(as_of, days: int = C.ITEM_AGE_FILTER_DAYS) -> Column:
-    """46 as a flag: not (created < midnight(as_of - days))."""
-    return _no(F.col("item_created") < midnight_epoch(as_of, days))
+def passes_age(as_of) -> Column:
+    """46 on attached attributes."""
+    return filters.passes_age(as_of, created="item_created")
 
 
 def topk_per_request(cands: DataFrame, n: str | int, key: str = "request_id",
@@ -161,6 +167,28 @@ def ranked_lists(cands: DataFrame, cap: int = C.MAX_RESULTS, key: str = "lkey")
     return top(cands, False).unionByName(top(cands.filter("age_ok"), True)).join(counts, key)
 
 
+def best_by_category(scored: DataFrame, segment: list[str], as_of, specs=C.FILTER_SPECS, cap: int = C.MAX_RESULTS) -> DataFrame:
+    """For every filter kind that takes no category in: the best ``cap`` rows of each segment and item category, of all
+    rows and of those that pass the age clause. A list without one category is the merge of the others, so it reads
+    these rows only, however many categories are left out in turn; cutting at ``cap`` is exact as in ``ranked_lists``.
+    """
+    out = None
+    for s in specs:
+        if "include_category" in s["clauses"]:
+            continue
+        fixed = [c for c in s["clauses"] if c != "exclude_category"]
+        rows = scored.filter(clauses_predicate(fixed)) if fixed else scored
+        rows = rows.withColumn("kind", F.lit(s["name"]))
+        out = rows if out is None else out.unionByName(rows)
+    out = out.withColumn("age_ok", passes_age(as_of))
+    w = Window.partitionBy(*segment, "kind", "item_category").orderBy(F.col("score").desc(), "item_id")
+
+    def top(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= cap).drop("__rank")
+
+    return top(out).unionByName(top(out.filter("age_ok"))).distinct()
+
+
 def serve_lists(keyed: DataFrame, lists: DataFrame, key: str = "lkey") -> DataFrame:
     """69 per request: the dated list unless it is empty, its first ``num_results`` rows.
 

@@ -9,7 +9,7 @@ a file source.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recoflow import constants as C
@@ -91,13 +91,15 @@ def drop_incomplete_items(df: DataFrame) -> DataFrame:
     return df.na.drop(subset=list(ITEM_REQUIRED))
 
 
+def passes_age(as_of, days: int = C.ITEM_AGE_FILTER_DAYS, created: str = "CREATION_TIMESTAMP") -> Column:
+    """46 as a flag: not (created < midnight(as_of - days)); a NULL time is not below it."""
+    return ~F.coalesce(F.col(created) < midnight_epoch(as_of, days), F.lit(False))
+
+
 def item_filter_age(df: DataFrame, as_of, ts: str = "CREATION_TIMESTAMP",
                     days: int = C.ITEM_AGE_FILTER_DAYS) -> DataFrame:
-    """46: the dated filters' extra clause, EXCLUDE creation < midnight(as_of - 3d).
-
-    A NULL creation time does not satisfy ``<`` and is therefore not excluded.
-    """
-    return df.filter(~F.coalesce(F.col(ts) < midnight_epoch(as_of, days), F.lit(False)))
+    """46: the dated filters' extra clause, EXCLUDE creation < midnight(as_of - 3d)."""
+    return df.filter(passes_age(as_of, days, ts))
 
 
 def drop_last_content(df: DataFrame, item: str = "content_id",

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from recoflow import constants as C
 from recoflow.functions.columns import midnight_epoch
+from recoflow.session import materialize
 
 DEFAULT_BLOCK_ITEMS = 2048
 
@@ -135,8 +136,9 @@ def user_personalization(interactions: DataFrame, items: DataFrame, as_of,
     if users is not None:
         hist = hist.join(users, "u", "left_semi")
     s = sims.select(F.col("item_id").alias("i"), F.col("similar_item_id").alias("j"), "sim")
-    aff = (hist.join(s, "i").groupBy("u", "j")
-           .agg(F.sum(F.col("w") * F.col("sim")).alias("raw")))
+    # read twice: by the maximum per user and by the join with it
+    aff = materialize(hist.join(s, "i").groupBy("u", "j")
+                      .agg(F.sum(F.col("w") * F.col("sim")).alias("raw")))
     top = aff.groupBy("u").agg(F.max("raw").alias("mx"))
     fresh = freshness(items, as_of)
     out = (aff.join(top, "u")

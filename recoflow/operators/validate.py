@@ -31,17 +31,17 @@ def event_checks(app_id: str = C.APP_ID, host_denylist=C.HOST_DENYLIST):
     """The ten ordered stream checks of a click event."""
     c = F.col
     return [
-        (c("sp_event_id").isNull(), "invalid sp_event_id"),
-        (is_blank("sp_derived_tstamp"), "invalid sp_derived_tstamp"),
-        (c("sp_app_id").isNull() | (c("sp_app_id") != app_id), "invalid sp_app_id"),
-        (is_blank("content_contentId"), "invalid content_contentId"),
-        (c("page_type").isNull() | (c("page_type") != C.ARTICLE), "invalid page_type"),
+        (c("sp_event_id").isNull(), "NO_EVENT_ID"),
+        (is_blank("sp_derived_tstamp"), "NO_TIME"),
+        (c("sp_app_id").isNull() | (c("sp_app_id") != app_id), "OTHER_APP"),
+        (is_blank("content_contentId"), "NO_ITEM"),
+        (c("page_type").isNull() | (c("page_type") != C.ARTICLE), "NOT_AN_ARTICLE"),
         (c("device_detector_visitorPlatform") == C.BOT_PLATFORM,
-         "invalid device_detector_visitorPlatform"),
-        (c("sp_page_urlhost").isin(list(host_denylist)), "invalid sp_page_urlhost"),
-        (c("sp_event_name").isNull() | (c("sp_event_name") != C.PAGE_VIEW), "invalid sp_event_name"),
-        (c("sp_domain_sessionid").isNull(), "invalid sp_domain_sessionid"),
-        (is_blank("sp_user_id") & is_blank("sp_domain_userid"), "invalid user id"),
+         "BOT"),
+        (c("sp_page_urlhost").isin(list(host_denylist)), "DENIED_HOST"),
+        (c("sp_event_name").isNull() | (c("sp_event_name") != C.PAGE_VIEW), "NOT_A_PAGE_VIEW"),
+        (c("sp_domain_sessionid").isNull(), "NO_SESSION"),
+        (is_blank("sp_user_id") & is_blank("sp_domain_userid"), "NO_USER"),
     ]
 
 
@@ -53,9 +53,9 @@ def validate_events(events: DataFrame, app_id: str = C.APP_ID) -> DataFrame:
 def content_checks():
     c = F.col
     return [
-        (c("ContentId").isNull() | c("Category").isNull(), "invalid ContentId or Category"),
-        (~F.coalesce(c("Published") == F.lit(True), F.lit(False)), "invalid Published"),
-        (c("ContentText").isNull(), "invalid ContentText"),
+        (c("ContentId").isNull() | c("Category").isNull(), "NO_ID_OR_CATEGORY"),
+        (~F.coalesce(c("Published") == F.lit(True), F.lit(False)), "NOT_PUBLISHED"),
+        (c("ContentText").isNull(), "NO_TEXT"),
     ]
 
 

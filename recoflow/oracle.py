@@ -134,18 +134,18 @@ def blank(c: str) -> str:
 
 
 EVENT_SKIP = (
-    "CASE WHEN sp_event_id IS NULL THEN 'invalid sp_event_id' "
-    f"WHEN {blank('sp_derived_tstamp')} THEN 'invalid sp_derived_tstamp' "
-    f"WHEN sp_app_id IS NULL OR sp_app_id <> '{C.APP_ID}' THEN 'invalid sp_app_id' "
-    f"WHEN {blank('content_contentid')} THEN 'invalid content_contentId' "
-    "WHEN page_type IS NULL OR page_type <> 'article' THEN 'invalid page_type' "
+    "CASE WHEN sp_event_id IS NULL THEN 'NO_EVENT_ID' "
+    f"WHEN {blank('sp_derived_tstamp')} THEN 'NO_TIME' "
+    f"WHEN sp_app_id IS NULL OR sp_app_id <> '{C.APP_ID}' THEN 'OTHER_APP' "
+    f"WHEN {blank('content_contentid')} THEN 'NO_ITEM' "
+    "WHEN page_type IS NULL OR page_type <> 'article' THEN 'NOT_AN_ARTICLE' "
     "WHEN COALESCE(device_detector_visitorplatform = 'Bot', false) "
-    "THEN 'invalid device_detector_visitorPlatform' "
+    "THEN 'BOT' "
     f"WHEN COALESCE(sp_page_urlhost IN ({_list(C.HOST_DENYLIST)}), false) "
-    "THEN 'invalid sp_page_urlhost' "
-    "WHEN sp_event_name IS NULL OR sp_event_name <> 'page_view' THEN 'invalid sp_event_name' "
-    "WHEN sp_domain_sessionid IS NULL THEN 'invalid sp_domain_sessionid' "
-    f"WHEN {blank('sp_user_id')} AND {blank('sp_domain_userid')} THEN 'invalid user id' END")
+    "THEN 'DENIED_HOST' "
+    "WHEN sp_event_name IS NULL OR sp_event_name <> 'page_view' THEN 'NOT_A_PAGE_VIEW' "
+    "WHEN sp_domain_sessionid IS NULL THEN 'NO_SESSION' "
+    f"WHEN {blank('sp_user_id')} AND {blank('sp_domain_userid')} THEN 'NO_USER' END")
 VALIDATED_EVENTS = f"validated_events AS (SELECT *, {EVENT_SKIP} AS skip_reason FROM events_flat)"
 
 PROPS = ("json_object('visitor_type', visitor_type, 'visitor_countryCode', visitor_countrycode, "
@@ -154,9 +154,9 @@ PROPS = ("json_object('visitor_type', visitor_type, 'visitor_countryCode', visit
          "'device_detector_browserFamily', device_detector_browserfamily)::VARCHAR")
 
 CONTENT_SKIP = (
-    "CASE WHEN \"ContentId\" IS NULL OR \"Category\" IS NULL THEN 'invalid ContentId or Category' "
-    "WHEN NOT COALESCE(\"Published\" = true, false) THEN 'invalid Published' "
-    "WHEN \"ContentText\" IS NULL THEN 'invalid ContentText' END")
+    "CASE WHEN \"ContentId\" IS NULL OR \"Category\" IS NULL THEN 'NO_ID_OR_CATEGORY' "
+    "WHEN NOT COALESCE(\"Published\" = true, false) THEN 'NOT_PUBLISHED' "
+    "WHEN \"ContentText\" IS NULL THEN 'NO_TEXT' END")
 EXCLUDE_STREAM = (
     "CASE WHEN COALESCE(\"Sponsored\", false) OR COALESCE(\"Section\" = 'life/horoscopes', false) "
     "OR COALESCE(list_contains(\"Keywords\", 'omit'), false) "

@@ -154,8 +154,11 @@ def cold_candidates(req: DataFrame, interactions: DataFrame, items: DataFrame,
     by_category = F.coalesce(F.col("kind").isin(cd.kinds_with("include_category")), F.lit(False))
     same = _nullsafe("cb", "p", segkey)
     lists = [combos.filter(by_category).alias("cb").join(
-                 scored, [*same, F.col("cb.category") == F.col("p.item_category")]),
-             combos.filter(~by_category).alias("cb").join(scored, same)]
+                 scored, [*same, F.col("cb.category") == F.col("p.item_category")])]
+    # a category left out: the segment's best rows of every other category
+    best = cd.best_by_category(scored.drop("kind", "category"), segkey, as_of).alias("p")
+    lists.append(combos.filter(~by_category).filter(cd.known_kind()).alias("cb").join(
+        best, [*same, F.col("cb.kind") == F.col("p.kind")]))
     attributes = ["item_id", "score", "item_category", "item_exclude", "item_created"]
     one, other = (x.select(*[F.col(f"cb.{c}").alias(c) for c in combo_cols], *attributes)
                   for x in lists)

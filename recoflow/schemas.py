@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 
 S = T.StringType()
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES: field names of the stream payloads
+# ---------------------------------------------------------------------------
 STREAM_EVENT = T.StructType([
     T.StructField(n, S) for n in (
         "sp_event_id", "sp_user_id", "sp_domain_userid", "sp_derived_tstamp",
@@ -34,6 +37,8 @@ STREAM_CONTENT = T.StructType([
     T.StructField("WordCount", T.LongType()),
 ])
 
+# ---------------------------------------------------------------------------
+
 # Raw stream record as it arrives: an id and base64 text.
 STREAM_RECORD = T.StructType([
     T.StructField("record_id", S),

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recoflow.constants import RAW_MAIN_COLUMNS
+from recoflow.constants import APP_ID, RAW_MAIN_COLUMNS
 
 # -- events_flat: one row per click event, every attribute a string --------
 EVENTS_FLAT = [
@@ -33,7 +33,7 @@ EVENTS_FLAT = [
      "ELSE 'doc' || regexp_extract(props, '[0-9]+', 0) END", "content_contentid"),
     ("CASE WHEN event_type IN ('view', 'click') THEN 'page_view' ELSE event_type END",
      "sp_event_name"),
-    ("CASE WHEN event_id % 37 = 0 THEN 'other-app' ELSE 'theglobeandmail-website' END",
+    (f"CASE WHEN event_id % 37 = 0 THEN 'other-app' ELSE '{APP_ID}' END",
      "sp_app_id"),
     ("CASE WHEN event_id % 11 = 0 THEN 'section' ELSE 'article' END", "page_type"),
     ("CASE WHEN user_id % 3 = 0 THEN 'Anonymous' WHEN user_id % 3 = 1 THEN 'Registered' "
@@ -48,7 +48,7 @@ EVENTS_FLAT = [
     ("CASE WHEN event_id % 17 = 0 THEN 'Googlebot' WHEN event_id % 3 = 0 THEN NULL "
      "ELSE 'Bell' END", "sp_ip_isp"),
     ("CASE WHEN event_id % 19 = 0 THEN 'localhost' WHEN event_id % 4 = 0 THEN NULL "
-     "ELSE 'www.theglobeandmail.com' END", "sp_page_urlhost"),
+     "ELSE 'www.example.com' END", "sp_page_urlhost"),
     ("CASE WHEN event_id % 43 = 0 THEN NULL ELSE 's' || CAST(user_id AS STRING) END",
      "sp_domain_sessionid"),
     ("CASE WHEN event_id % 10 = 0 THEN 'r' || CAST(event_id AS STRING) END", "page_rid"),

@@ -72,9 +72,9 @@ def test_validate_events_first_failure_wins(spark):
                                                   sp_page_urlhost=None)]
     df = spark.createDataFrame(data, ", ".join(f"{c} string" for c in EVENT_COLS))
     got = [r.skip_reason for r in validate_events(df).collect()]
-    assert got == [None, "invalid sp_event_id", "invalid sp_derived_tstamp",
-                   "invalid content_contentId", "invalid device_detector_visitorPlatform",
-                   "invalid sp_page_urlhost", "invalid user id", None, None]
+    assert got == [None, "NO_EVENT_ID", "NO_TIME",
+                   "NO_ITEM", "BOT",
+                   "DENIED_HOST", "NO_USER", None, None]
 
 
 def test_validate_content(spark):
@@ -82,8 +82,8 @@ def test_validate_content(spark):
     data = [("a", "c", True, "t"), (None, "c", True, "t"), ("a", "c", None, "t"),
             ("a", "c", False, "t"), ("a", "c", True, None)]
     got = [r.skip_reason for r in validate_content(spark.createDataFrame(data, ddl)).collect()]
-    assert got == [None, "invalid ContentId or Category", "invalid Published",
-                   "invalid Published", "invalid ContentText"]
+    assert got == [None, "NO_ID_OR_CATEGORY", "NOT_PUBLISHED",
+                   "NOT_PUBLISHED", "NO_TEXT"]
 
 
 def test_validate_dataset_casts_and_rejects(spark):
