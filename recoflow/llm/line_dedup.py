@@ -3,10 +3,12 @@
 The non-blank lines of a document are a sequence. In every window of
 ``run`` lines the line with the smallest hash is selected as fingerprint,
 so two equal runs of that many lines are guaranteed to share one.
-Fingerprints are counted over the corpus; around the positions of those
-that occur again, matches are extended both ways: every window that holds
-the position is compared as a whole, and overlapping matched windows
-make up the longest runs. A run that stands earlier (smaller id, or same
+A first pass counts fingerprints over the corpus, by their positions; nothing else of it
+is kept. A second pass keeps the windows whose fingerprint was selected at two
+positions or more, with the fingerprint's place and the lines beside the window. Positions are
+joined to the earliest one with the same window (one partner each, no pairs of all occurrences),
+each match is extended both ways by the lines beside it that agree with the partner's, and what
+touches makes up the longest runs. A run that stands earlier (smaller id, or same
 document, earlier line) is deleted where it stands later; blank lines
 inside it go with it, all others stay.
 
@@ -15,14 +17,13 @@ demand (``words``) shorter runs count too, down to single lines, where they
 have at least so many words: then every repeated run of that many words is
 deleted, in however few lines it stands.
 
-A line or window that many documents share is counted once a document
-before it is shuffled, and no pairs of its occurrences are formed.
+A window that many documents share is grouped once a document before it is shuffled.
 
 Cases: null text has no lines and stays null. Null ids are the smallest.
 Rows with the same id and text are one document; rows with one id and
 different texts are different documents of which neither is earlier. Lines
-end at a newline; of equally small hashes the first counts. Columns but id
-and text are passed on unchanged by ``drop_repeated_lines``.
+end at a newline; of equally small hashes the first counts. An empty table gives no
+rows. Columns but id and text are passed on unchanged by ``drop_repeated_lines``.
 """
 
 from __future__ import annotations
@@ -41,51 +42,80 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _windows(rows: DataFrame, run: int, words: int = 0) -> DataFrame:
-    """(_id, _th, first, last, start, fingerprint, place, low, high) of every window of non-blank lines with so many words."""
+_WINDOW = ("struct<run:int,start:int,first:int,last:int,fingerprint:bigint,place:int,low:bigint,high:bigint,"
+           "before:struct<at:int,low:bigint,high:bigint>,after:struct<at:int,low:bigint,high:bigint>>")
+
+
+def _windows(rows: DataFrame, run: int, words: int | None) -> DataFrame:
+    """(_id, _th, windows): every window of ``run`` non-blank lines, and of fewer with so many words; a text is split once."""
     kept = F.filter(F.transform(_lines(F.col("_text")), lambda line, i: F.struct(i.alias("at"), line.alias("line"))),
                     lambda s: s["line"].rlike(_FILLED))
-    lines = rows.select("_id", "_th", kept.alias("kept")).where(F.size("kept") >= run)
-    lines = lines.select("_id", "_th", F.col("kept.at").alias("at"), F.col("kept.line").alias("line"),
-                         F.transform("kept.line", lambda x: F.xxhash64(x)).alias("hash"))
-    each = lines.withColumn("start", F.explode(F.sequence(F.lit(0), F.size("line") - run)))
-    part = each.withColumn("some", F.slice("line", F.col("start") + 1, run)).withColumn("hashes", F.slice("hash", F.col("start") + 1, run))
-    if words:
-        part = part.where(F.regexp_count(F.array_join("some", "\n"), F.lit(_FILLED + "+")) >= words)
-    return part.select(
-        "_id", "_th", "start", F.col("at")[F.col("start")].alias("first"), F.col("at")[F.col("start") + run - 1].alias("last"),
-        F.array_min("hashes").alias("fingerprint"),
-        (F.col("start") + F.array_position("hashes", F.array_min("hashes")) - 1).alias("place"),
-        F.xxhash64("some").alias("low"), F.xxhash64(F.lit(1), "some").alias("high"))
+    count = (lambda line: F.regexp_count(line, F.lit(_FILLED + "+"))) if words else (lambda line: F.lit(0))
+    hashed = F.transform(kept, lambda s: F.struct(
+        s["at"].alias("at"), count(s["line"]).alias("words"), F.xxhash64(s["line"]).alias("low"), F.xxhash64(F.lit(1), s["line"]).alias("high")))
+    lines = rows.select("_id", "_th", hashed.alias("kept")).withColumn("low", F.col("kept.low"))
+
+    def beside(k: Column) -> Column:
+        found = F.get("kept", k)
+        return F.when(found.isNotNull(), F.struct(found["at"].alias("at"), found["low"].alias("low"), found["high"].alias("high")))
+
+    def window(k: Column, size: int) -> Column:
+        some = F.slice("low", k + 1, size)
+        least, whole = F.array_min(some), F.slice("kept", k + 1, size)
+        pairs = F.transform(whole, lambda s: F.struct(s["low"].alias("low"), s["high"].alias("high")))
+        return F.struct(F.lit(size).alias("run"), k.alias("start"), F.get("kept", k)["at"].alias("first"), F.get("kept", k + size - 1)["at"].alias("last"),
+                        least.alias("fingerprint"), (k + F.array_position(some, least) - 1).cast("int").alias("place"),
+                        F.xxhash64(pairs).alias("low"), F.xxhash64(F.lit(1), pairs).alias("high"),
+                        beside(k - 1).alias("before"), beside(k + size).alias("after")).cast(_WINDOW)
+
+    def every(size: int) -> Column:
+        starts = F.sequence(F.lit(0), F.size("kept") - size)
+        if size < run:
+            starts = F.filter(starts, lambda k: F.aggregate(F.slice("kept", k + 1, size), F.lit(0), lambda acc, s: acc + s["words"]) >= words)
+        found = F.transform(starts, lambda k: window(k, size))
+        return F.when(F.size("kept") >= size, found).otherwise(F.array().cast(f"array<{_WINDOW}>"))
+
+    return lines.select("_id", "_th", F.concat(*(every(size) for size in range(1 if words else run, run + 1))).alias("windows"))
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, words: int | None = None) -> DataFrame:
     """(_id, _th, runs): per document the line intervals (a, b, inclusive) that stand earlier elsewhere."""
-    rows = docs.select(*doc_key(id_col, text_col), F.col(text_col).alias("_text"))
-    windows = _windows(rows, run)
-    for fewer in range(1, run if words else 1):
-        windows = windows.unionByName(_windows(rows, fewer, words))
-    windows = materialize(windows, "windows")
-    selected = windows.groupBy("_id", "_th", "place", "fingerprint").agg(F.count("*").alias("held"))
-    again = materialize(selected.groupBy("fingerprint").agg(F.count("*").alias("times")).where("times > 1").select("fingerprint"), "again")
-    # the windows around the positions of repeated fingerprints, once a document
-    around = windows.join(again, "fingerprint")
-    spans = materialize(around.groupBy("low", "high", "_id", "_th").agg(
-        F.sort_array(F.collect_set(F.struct("start", "first", "last"))).alias("spans")), "spans")
-    earliest = spans.groupBy("low", "high").agg(
-        F.min("_id").alias("first_id"), F.count("*").alias("docs"), F.max(F.size("spans")).alias("most")).where("docs > 1 OR most > 1")
-    earliest = materialize(earliest.select("low", "high", "first_id"), "earliest")
-    later = spans.join(earliest, ["low", "high"]).select(
-        "_id", "_th", F.explode(F.when(F.col("_id") > F.col("first_id"), F.col("spans")).otherwise(F.slice("spans", 2, F.size("spans")))).alias("s"))
-    gone = later.select("_id", "_th", F.col("s.first").alias("a"), F.col("s.last").alias("b"))
-    # matched windows that touch are one run
+    windows = _windows(docs.select(*doc_key(id_col, text_col), F.col(text_col).alias("_text")), run, words)
+    # the positions of fingerprints, each once, however many windows next to each other selected it
+    def moved(w: Column, i: Column) -> Column:
+        before = F.get("windows", i - 1)
+        return (i == 0) | (before["place"] != w["place"]) | (before["run"] != w["run"])
+
+    # "outer": without it Spark filters on the arrays first, and makes them anew for every use in the filter
+    selected = windows.select(F.inline_outer(F.transform(F.filter("windows", moved), lambda w: F.struct(
+        w["run"].alias("run"), w["fingerprint"].alias("fingerprint"))))).where("run IS NOT NULL")
+    again = materialize(selected.groupBy("run", "fingerprint").agg(F.count("*").alias("times")).where("times > 1").select("run", "fingerprint"), "again")
+    around = windows.select("_id", "_th", F.inline_outer("windows")).join(again, ["run", "fingerprint"])
+    spans = materialize(around.groupBy("run", "low", "high", "_id", "_th").agg(
+        F.sort_array(F.collect_set(F.struct("start", "first", "last", "before", "after"))).alias("spans")), "spans")
+    earliest = spans.groupBy("run", "low", "high").agg(
+        F.min(F.struct("_id", "_th", F.col("spans")[0].alias("span"))).alias("earliest"), F.count("*").alias("docs"), F.max(F.size("spans")).alias("most"))
+    earliest = materialize(earliest.where("docs > 1 OR most > 1").select(
+        "run", "low", "high", F.col("earliest._id").alias("first_id"), F.col("earliest.span").alias("first_span")), "earliest")
+    # every later position with its partner: the earliest of all, or of its own document
+    elsewhere = F.col("_id") > F.col("first_id")
+    pairs = spans.join(earliest, ["run", "low", "high"]).select(
+        "_id", "_th", F.when(elsewhere, F.col("first_span")).otherwise(F.col("spans")[0]).alias("p"),
+        F.explode(F.when(elsewhere, F.col("spans")).otherwise(F.slice("spans", 2, F.size("spans")))).alias("s"))
+    # a line beside the match that agrees with the partner's belongs to it, with the blank lines between
+    def reaches(side: str, end: str) -> Column:
+        mine, theirs = F.col(f"s.{side}"), F.col(f"p.{side}")
+        return F.when((mine["low"] == theirs["low"]) & (mine["high"] == theirs["high"]), mine["at"]).otherwise(F.col(f"s.{end}"))
+
+    gone = pairs.select("_id", "_th", reaches("before", "first").alias("a"), reaches("after", "last").alias("b"))
+    # matches that touch are one run
     before = Window.partitionBy("_id", "_th").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("_id", "_th").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, 0)
     opened = gone.withColumn("_before", F.max("b").over(before)).withColumn(
         "_new", (F.col("_before").isNull() | (F.col("a") > F.col("_before"))).cast("int"))
     runs = opened.withColumn("_run", F.sum("_new").over(upto)).groupBy("_id", "_th", "_run").agg(F.min("a").alias("a"), F.max("b").alias("b"))
     out = materialize(runs.groupBy("_id", "_th").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs")), "runs")
-    for done in (windows, again, spans, earliest):
+    for done in (again, spans, earliest):
         discard(done)
     return out
 
