@@ -3,6 +3,12 @@
 Each stage is a function (spark, docs, sf_dir) -> DataFrame. All but the
 last return the columns of ``documents``; each works on all that its
 predecessor kept, written as Parquet in between.
+
+Cases, for every stage: an empty table gives an empty one; other columns pass unchanged, whatever
+their names; null ids are documents like others; repeated rows of one document meet the same fate, but
+for the join, of which one row stays. Null and empty texts have no words and are rejected by the
+first stage; a stage that gets them all the same: line dedup drops them, the join keeps them apart,
+the mask leaves them, and the packing packs an empty document as its end token alone.
 """
 
 from __future__ import annotations
@@ -16,6 +22,9 @@ from recoflow.llm.common import materialize, ship
 from recoflow.llm.queries import BYTE_VOCABULARY
 
 
+WORD = r"[^\x20\x09-\x0D]"
+
+
 def _count_chars(docs: DataFrame) -> DataFrame:
     """``n_chars`` after a change of the text."""
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
@@ -28,8 +37,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of lines go from the texts, long lines alone too."""
-    return _count_chars(line_dedup.drop_repeated_lines(docs, words=line_dedup.LONG))
+    """Later copies of runs of lines go from the texts, long lines alone too; documents without a word left go."""
+    left = line_dedup.drop_repeated_lines(docs, words=line_dedup.LONG)
+    return _count_chars(left.where(F.col("text").rlike(WORD)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
