@@ -2,10 +2,12 @@
 
 Vectors are rotated at random by three rounds of sign flips and a fast
 Hadamard transform; the hash is the nearest vertex of the cross-polytope,
-that is the largest coordinate and its sign. A table joins two such
-hashes, within a label. Each vector stands in the bucket of its hash and,
-as further probes, in those of its next nearest vertices. Vectors that
-meet in a bucket, one of them by its own hash, are compared exactly, in
+that is the largest coordinate and its sign. A table joins several such
+hashes, within a label: as many as it takes for a vector to meet about one other by
+chance (``joined_hashes``: the width's logarithm of the number of different vectors, two at least), so buckets do
+not grow with the table. Each vector stands in the bucket of its hash and,
+as further probes, in all those that take the second nearest vertex in any of the joined
+hashes, and there are more tables with more hashes, so that recall stays (README). Vectors that meet in a bucket, one of them by its own hash, are compared exactly, in
 bounded blocks.
 
 Equal vectors of a label are one class, compared once. A pair that meets
@@ -33,8 +35,8 @@ from .components import components
 from .textscan import mix
 
 COSINE = 0.93
-TABLES = 14
-PROBES = 3
+TABLES = 7        # tables for each hash joined
+MOST_JOINED = 6   # hashes joined at most (64 probes a table; beyond some 10**11 vectors of 64 dimensions buckets grow again, results do not change)
 BLOCK = 192
 
 
@@ -48,36 +50,39 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(width)
 
 
-def vertices(x: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest and second nearest vertex (2 * coordinate + sign), and the loss of taking the second."""
+def vertices(x: np.ndarray, seed: int) -> np.ndarray:
+    """(rows, 2): nearest and second nearest vertex (2 * coordinate + sign)."""
     rng = np.random.default_rng(seed)
     for _ in range(3):
         x = hadamard(x * rng.choice([-1.0, 1.0], x.shape[1]))
     size = np.abs(x)
     best = np.argsort(-size, axis=1, kind="stable")[:, :2]
     at = np.arange(len(x))[:, None]
-    return 2 * best + (x[at, best] < 0), size[at, best[:, :1]][:, 0] - size[at, best[:, 1:2]][:, 0]
+    return 2 * best + (x[at, best] < 0)
 
 
-def keys_of(x: np.ndarray, label: np.ndarray, tables: int) -> np.ndarray:
-    """(rows, tables, 1 + PROBES) bucket keys; the vector's own first."""
+def joined_hashes(vectors: int, dimensions: int) -> int:
+    """Hashes that a table joins: with width w, two vectors meet by chance in about vectors / w**joined buckets."""
+    width = max(2, 1 << max(0, int(dimensions - 1).bit_length()))
+    return min(MOST_JOINED, max(2, int(np.ceil(np.log(max(1, vectors)) / np.log(width)))))
+
+
+def keys_of(x: np.ndarray, label: np.ndarray, tables: int, joined: int = 2) -> np.ndarray:
+    """(rows, tables, 2 ** joined) bucket keys; the vector's own first, then with every choice of second vertices."""
     width = max(2, 1 << max(0, int(x.shape[1] - 1).bit_length()))
     x = np.pad(x, ((0, 0), (0, width - x.shape[1])))
-    out = np.empty((len(x), tables, 1 + PROBES), np.int64)
+    out = np.empty((len(x), tables, 1 << joined), np.int64)
     for t in range(tables):
-        (a, loss_a), (b, loss_b) = (vertices(x, 7000 + 2 * t + k) for k in (0, 1))
-        first = np.where(loss_a <= loss_b, 0, 1)  # the cheaper change comes first; both changes last
-        codes = [(a[:, 0], b[:, 0]),
-                 (np.where(first == 0, a[:, 1], a[:, 0]), np.where(first == 0, b[:, 0], b[:, 1])),
-                 (np.where(first == 0, a[:, 0], a[:, 1]), np.where(first == 0, b[:, 1], b[:, 0])),
-                 (a[:, 1], b[:, 1])]
-        for p, (u, v) in enumerate(codes[: 1 + PROBES]):
-            code = ((u * 2 * width + v) * tables + t).astype(np.uint64)
-            out[:, t, p] = mix(mix(code, 51) ^ mix(label, 52) ^ np.uint64(width), 53).view(np.int64)
+        chosen = [vertices(x, 7000 + MOST_JOINED * t + k) for k in range(joined)]
+        for p in range(1 << joined):
+            code = mix(label, 52) ^ np.uint64(width)
+            for k, vertex in enumerate(chosen):
+                code = mix(code ^ mix(vertex[:, p >> k & 1].astype(np.uint64), 51 + k), 60)
+            out[:, t, p] = mix(code + np.uint64(t), 53).view(np.int64)
     return out
 
 
-def _hash_rows(tables: int):
+def _hash_rows(tables: int, joined: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(2).to_pylist()
@@ -86,7 +91,7 @@ def _hash_rows(tables: int):
                 rows = np.flatnonzero([len(v) == size for v in lists])
                 x = np.array([lists[i] for i in rows], np.float64)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
-                keys = keys_of(x, label[rows], tables)
+                keys = keys_of(x, label[rows], tables, joined)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(keys.reshape(len(rows), -1).tolist(), pa.list_(pa.int64()))],
                                                  names=["node", "keys"])
     return run
@@ -107,7 +112,7 @@ def _met(keys: np.ndarray, bucket: int, i: np.ndarray, j: np.ndarray) -> np.ndar
 
 
 def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", label_col: str = "label", vector_col: str = "embedding",
-                     cosine: float = COSINE, tables: int = TABLES, limit: int = BLOCK) -> DataFrame:
+                     cosine: float = COSINE, limit: int = BLOCK) -> DataFrame:
     """(id, n_links, component_id, kept) of every row."""
     x = F.col(vector_col)
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
@@ -122,9 +127,15 @@ def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", label_col: str
         rows.where("_class IS NOT NULL").groupBy("_class").agg(
             F.min("_id").alias("_id"), F.count("*").alias("members"), F.first("_label").alias("_label"), F.first("_x").alias("_x"))
         .withColumn("node", F.monotonically_increasing_id()), "vectors")
-    keyed = materialize(classes.select("node", "_label", "_x").mapInArrow(_hash_rows(tables), "node long, keys array<long>"), "keys")
+    # by the largest group of vectors that can meet: of one label and length
+    groups = classes.groupBy("_label", F.size("_x").alias("size")).count()
+    need = F.log("count") / F.log(F.greatest(F.lit(2), F.col("size")).cast("double"))
+    most = groups.agg(F.max(F.struct(need.alias("need"), "count", "size")).alias("of")).first().of
+    joined = joined_hashes(most["count"], most["size"]) if most else 2
+    tables = TABLES * joined
+    keyed = materialize(classes.select("node", "_label", "_x").mapInArrow(_hash_rows(tables, joined), "node long, keys array<long>"), "keys")
     entries = keyed.select("node", F.posexplode("keys").alias("slot", "bucket"))
-    own = (F.col("slot") % (1 + PROBES) == 0).cast("int")
+    own = (F.col("slot") % (1 << joined) == 0).cast("int")
     counts = entries.groupBy("bucket").agg(F.count("*").alias("size"), F.sum(own).alias("own")).where("size > 1 AND own > 0").drop("own")
     met = entries.select("node", "bucket").distinct().join(counts, "bucket")
     spread = dealt(met, limit).join(classes.select("node", "members", "_x").join(keyed, "node"), "node")
@@ -143,7 +154,7 @@ def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", label_col: str
         norm = np.sqrt((v * v).sum(axis=1))
         near = (v @ v.T)[i, j] / (norm[i] * norm[j]) >= cosine
         i, j = i[near], j[near]
-        keys = np.array(table.column("keys").to_pylist(), np.int64).reshape(len(lists), tables, 1 + PROBES)
+        keys = np.array(table.column("keys").to_pylist(), np.int64).reshape(len(lists), tables, 1 << joined)
         first = _met(keys, table.column("bucket")[0].as_py(), i, j)
         return link_rows(table.column("node").to_numpy(), table.column("members").to_numpy().astype(float), i[first], j[first])
 

@@ -165,6 +165,24 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.dedup_embeddings(table.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("dimensions", [64, 256])
+@pytest.mark.parametrize("joined", [2, 3, 4])
+def test_embedding_recall_does_not_fall_with_the_hashes_joined(dimensions, joined):
+    rng = np.random.default_rng(joined)
+    a = rng.normal(size=(4000, dimensions))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.normal(size=a.shape)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.93 * a + math.sqrt(1 - 0.93 ** 2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    label = np.zeros(len(a), np.uint64)
+    x, y = (embedding_dedup.keys_of(v, label, embedding_dedup.TABLES * joined, joined) for v in (a, b))
+    met = ((x[:, :, :1] == y).any(axis=(1, 2))) | ((y[:, :, :1] == x).any(axis=(1, 2)))
+    assert met.mean() >= 0.9995
+    chance = (x[:-1, :, :1] == x[1:]).any(axis=2).mean()  # strangers meet in a table
+    assert chance <= 3 * 2 ** joined / (2.0 * dimensions) ** joined + 3e-4
+    assert embedding_dedup.joined_hashes(10 ** 4, 64) == 3 and embedding_dedup.joined_hashes(10 ** 7, 64) == 4 and embedding_dedup.joined_hashes(0, 64) == 2
+
+
 def test_lm_scores(docs, rows, nothing):
     found = sorted((tuple(r) for r in lm_score.score_documents(docs).collect()), key=repr)
     tokens = [[x.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for x in words(t)] + ["\0"] for _, t in rows]
