@@ -13,7 +13,7 @@ bounded blocks.
 Equal vectors of a label are one class, compared once. A pair that meets
 in several buckets is counted in the first.
 
-Cases: vectors that are null, empty, zero or hold null or non-finite
+Cases: an empty table gives no rows; vectors that are null, empty, zero or hold null or non-finite
 numbers link with nothing, as do those with a null label; vectors of
 different lengths are never compared. Repeated rows are separate vectors
 of one class; a null id is the smallest. Only id, label and vector are

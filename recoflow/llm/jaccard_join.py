@@ -16,7 +16,7 @@ A pair that shares leaves of several runs is compared in the first one
 only. A leaf compares the sampled tokens; only documents with a promising
 partner there bring their text, and similarity is then exact.
 
-Cases: null or wordless texts have no n-grams and no links. Texts shorter
+Cases: an empty table gives no rows; null or wordless texts have no n-grams and no links. Texts shorter
 than ``n`` words have one n-gram, the whole text. Repeated rows are
 separate documents of one class. Null ids are the smallest. Only id and
 text are read.

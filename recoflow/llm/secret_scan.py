@@ -10,7 +10,7 @@ its start to its end; a pair counts in the first bin that both share. The
 bins bound the join by the characters of a scope, not of a document.
 
 Spans are in code points, end exclusive, ordered by start, then by kind as
-listed in ``KINDS``. Cases: null text is empty and has no spans. Rows with
+listed in ``KINDS``. Cases: an empty table gives no rows; null text is empty and has no spans. Rows with
 the same id and text have the same spans; a null id is an id of its own.
 Only id and text are read by ``secret_spans``; ``redact`` keeps every
 column and type and replaces the text alone.
@@ -18,6 +18,8 @@ column and type and replaces the text alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,20 +38,38 @@ KINDS = ("assign", "access", "hex", *WEAK)
 SCOPE = 200
 MASK = "[SECRET]"
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
+_BLOCK = 256   # matches that a fold holds
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` made once a row: put into a lambda as it is, it would be made at every call."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(items: Column) -> Column:
+    """An array in parts of ``_BLOCK``: folds that append copy what they hold, so they hold one part only."""
+    return _let(items, lambda held: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(held) - 1) / _BLOCK).cast("int")), lambda k: F.slice(held, k * _BLOCK + 1, _BLOCK)))
 
 
 def _spans(text: Column, pattern: str, kind: int, least: int = 0) -> Column:
     """Spans of all matches. The text between two matches and the matches
     themselves, counted on, give the places; ``least``: of group 2."""
-    between = F.split(text, pattern, -1)
     hit = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2 if least else 0))
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hit))
+    sizes = F.zip_with(F.zip_with(gaps, hit, lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h).alias("size"))), value,
+                       lambda x, v: F.struct(x["gap"].alias("gap"), x["size"].alias("size"), (F.length(v) >= least).alias("good")))
     none = F.array().cast(_SPAN)
-    step = F.aggregate(
-        F.sequence(F.lit(0), F.size(hit) - 1),
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, i: _advance(acc, F.length(between[i]), F.length(hit[i]), F.length(value[i]) >= least, kind))
-    return F.when(F.size(hit) > 0, step["out"]).otherwise(none)
+
+    def places(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda acc, x: acc + x["gap"] + x["size"]))
+        starts = F.aggregate(totals, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda acc, t: F.struct(
+            (acc["at"] + t).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")))
+        return _let(starts["out"], lambda begin: F.flatten(F.transform(blocks, lambda b, k: F.aggregate(
+            b, F.struct(F.get(begin, k).alias("at"), none.alias("out")), lambda acc, x: _advance(acc, x["gap"], x["size"], x["good"], kind))["out"])))
+
+    return F.when(F.size(hit) > 0, _let(_blocks(sizes), places)).otherwise(none)
 
 
 def _advance(acc: Column, gap: Column, size: Column, good: Column, kind: int) -> Column:
@@ -138,12 +158,21 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scop
     text = F.col(f"_in_{columns.index(text_col)}")
     every = F.array_sort(F.concat(base_spans(F.coalesce(text, F.lit(""))), F.coalesce("linked", F.array().cast(_SPAN))))
     rows = rows.withColumn("_spans", every)
-    masked = F.aggregate(
-        "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(MASK)))
-            .otherwise(acc["out"]).alias("out")),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    between = "array<struct<from:int,to:int>>"
+
+    def step(acc: Column, s: Column) -> Column:
+        part = F.struct(acc["at"].alias("from"), s["start"].alias("to"))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                        F.when(s["start"] >= acc["at"], F.array_append(acc["out"], part)).otherwise(acc["out"]).alias("out"))
+
+    def block(acc: Column, spans: Column) -> Column:
+        inner = F.aggregate(spans, F.struct(acc["at"].alias("at"), F.array().cast(between).alias("out")), step)
+        return _let(inner, lambda x: F.struct(x["at"].alias("at"), F.array_append(acc["out"], x["out"]).alias("out")))
+
+    # what stays, up to each mask
+    stays = F.aggregate(_blocks(F.col("_spans")), F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{between}>").alias("out")), block)
+    masked = _let(stays, lambda x: F.concat(
+        F.array_join(F.transform(F.flatten(x["out"]), lambda p: F.concat(F.substring(text, p["from"] + 1, p["to"] - p["from"]), F.lit(MASK))), ""),
+        F.substring(text, x["at"] + 1, F.length(text))))
     changed = F.when(F.size("_spans") > 0, masked).otherwise(text)
     return rows.select(*((changed if c == text_col else F.col(f"_in_{i}")).alias(c) for i, c in enumerate(columns)))

@@ -15,7 +15,7 @@ frequent units (a fixed bound) are broadcast, all others are joined by
 document. Units over ``LONGEST`` characters, too long for the fold's bit
 set, are encoded by the same rules in a function.
 
-Cases: null text has no ids (null); an empty one an empty list. Rows with
+Cases: an empty table gives no rows; null text has no ids (null); an empty one an empty list. Rows with
 the same id and text are one document, each gets its ids; null ids are an
 id of their own. U+2581 counts as a space, as in the library. Only id and
 text are read. The model file's normaliser must be the identity.

@@ -12,7 +12,7 @@ across documents a window goes to the smallest id. Each window counts
 once per document and task before any shuffle, and a window that a third
 of all documents hold is a skewed join that adaptive execution splits.
 
-Cases: null text has no words. Null ids are the smallest. Rows with the
+Cases: an empty table gives no rows; null text has no words. Null ids are the smallest. Rows with the
 same id and text are one document (each gets its result); rows with one id
 and different texts are different documents of which neither is earlier
 (told apart by 32 bits of a hash of the text).

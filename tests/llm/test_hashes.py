@@ -90,3 +90,17 @@ def test_a_string_does_not_complement_itself(spark):
     rows = [(1, f"user: {key}"), (2, "user: 0123456789abcdef01234567"), (3, f"user: bob7 {key}")]
     found = {r.doc_id: r.spans for r in secret_scan.secret_spans(_docs(spark, rows)).collect()}
     assert found[1] == "" and found[2] == "hex:6:30" and found[3] == f"id:0:10,key:11:{11 + len(key)}"
+
+
+def test_secrets_in_a_text_of_many_matches(spark):
+    """Places and masks of 50,000 matches, found in a time that follows the matches."""
+    import re
+    n = 50_000
+    text = "".join(f"é token=abc{k:06d} " for k in range(n))
+    docs = _docs(spark, [(1, text), (2, "token=abcdef" * 3), (3, "x"), (4, "token=abcdef  token=ab password: 'hunter2x'")])
+    found = {r.doc_id: r for r in secret_scan.secret_spans(docs).collect()}
+    assert found[1].n_assign == n
+    assert found[1].spans == ",".join(f"assign:{m.start()}:{m.end()}" for m in re.finditer(r"token=\w+", text))
+    masked = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert masked[1] == f"é {secret_scan.MASK} " * n and masked[3] == "x"
+    assert masked[4] == f"{secret_scan.MASK}  token=ab {secret_scan.MASK}'"

@@ -146,7 +146,8 @@ def test_embedding_dedup(spark):
     vectors = [(k, (base[k % 40] + rng.normal(size=24) * 0.05 * (k // 40)).tolist(), k % 2) for k in range(240)]
     vectors += [(900, vectors[3][1], 1), (901, vectors[3][1], 1), (902, vectors[3][1], 0), (903, None, 1), (904, [0.0] * 24, 1),
                 (905, [float("nan")] * 24, 1), (906, vectors[3][1], None), (None, vectors[3][1], 1), (907, [1.0, None], 1), (908, [], 1), (909, [2.0, 1.0], 1)]
-    table = spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int")
+    table = spark.createDataFrame([(*v, 1, "x", 2, "y", 3) for v in vectors], "vec_id long, embedding array<float>, label int, " +
+                                  "_id long, _x string, node long, _class string, members int")
     found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.dedup_embeddings(table, limit=16).collect()}
     fine = [(i, np.array(v, np.float32).astype(float), c) for i, v, c in vectors if v and c is not None and None not in v and np.isfinite(v).all() and any(v)]
     links = {i: set() for i, *_ in vectors}
