@@ -8,11 +8,13 @@ builds the session used by tests and the bench.
 
 from __future__ import annotations
 
+import importlib
 import os
 import tempfile
 import zipfile
 from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 
@@ -80,9 +82,13 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def ship(spark: SparkSession) -> SparkSession:
+def ship(spark: SparkSession, *modules: str) -> SparkSession:
     """Make the package importable in Python workers (data sources, stateful
-    streams). Submitted with ``--py-files`` it is there already."""
+    streams). Submitted with ``--py-files`` it is there already. The workers that
+    plan a stream on the driver do not see added files: what they need from ``modules``
+    travels with the pickled objects instead."""
+    for name in modules:
+        cloudpickle.register_pickle_by_value(importlib.import_module(name))
     sc = spark.sparkContext
     if getattr(sc, "_recoflow_shipped", False):
         return spark

@@ -193,7 +193,7 @@ def deliver(records: DataFrame, sink: str, batch_id: int, target: str, key: str,
     """Deliver a batch unless it is delivered already; returns its outcome (batch_id, target, success, fail)."""
     spark = records.sparkSession
     if not is_delivered(spark, sink, batch_id):
-        ship(spark)
+        ship(spark, __name__)
         spark.dataSource.register(DeliverySource)
         writer = records.write.format(FORMAT).mode("append").option("sink", sink).option("batch_id", batch_id)
         writer = writer.option("target", target).option("key", key)

@@ -181,7 +181,7 @@ def read_shard_stream(spark: SparkSession, path: str, progress: str, start: str
     """The log as a stream of (shard, sequence, record_id, data). ``progress``: a folder beside the query's checkpoint.
 
     Under ``availableNow`` a run takes one micro-batch; a query that is to drain the log uses a processing-time trigger."""
-    ship(spark)
+    ship(spark, __name__, "recoflow.sources.delivery")
     spark.dataSource.register(ShardSource)
     return (spark.readStream.format(FORMAT).option("path", path).option("progress", progress).option("start", start)
             .option("records_per_batch", records_per_batch).option("batches_per_shard", batches_per_shard).load())

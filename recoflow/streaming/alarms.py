@@ -120,7 +120,7 @@ class AlarmProcessor(StatefulProcessor):
 def alarm_stream(rollup: DataFrame, rules: DataFrame, seconds: int = PERIOD) -> DataFrame:
     """60 on a stream: ``rollup`` from ``rollup_stream``; ``rules`` as for ``monitoring.alarm_rule`` (a few rows of
     configuration). Metrics without a rule are left out. Write it in append mode."""
-    spark = ship(rollup.sparkSession)
+    spark = ship(rollup.sparkSession, __name__)
     use_rocksdb(spark)
     by_metric: dict[str, list[tuple]] = {}
     for r in rules.select("alarm", "metric", "stat", "threshold", "periods", "missing").collect():
