@@ -5,7 +5,8 @@ have a sequence number within their shard and are appended as immutable
 segments ``shard=<name>/<first sequence>-<records>.jsonl``, so a listing alone
 tells where every shard ends. A micro-batch takes from each shard at most
 ``batches_per_shard`` batches of ``records_per_batch`` consecutive records; a batch is
-one input partition, read in order. The start is LATEST (records appended after the
+read in order, by one input partition of its own or with others (``batches_per_task``,
+for logs of many shards: a task costs more than a hundred records). The start is LATEST (records appended after the
 query's first start) or EARLIEST.
 
 Offsets are the next sequence per shard. Spark asks a Python source for its
@@ -14,6 +15,9 @@ end of every planned batch in ``progress``, a folder beside the query's
 checkpoint: after a restart Spark first plans the batch that it had logged (and the
 note is written again), or asks for the next one, which then begins at the note. Shards
 that appear later are read from their first record.
+
+A micro-batch takes a fixed number of records from each shard, so how many it takes to
+drain a log follows its longest shard: a log that grows gets more shards (``shards_for``).
 """
 
 from __future__ import annotations
@@ -38,6 +42,9 @@ SCHEMA = "shard string, sequence long, record_id string, data string"
 RECORDS_PER_BATCH = 100
 BATCHES_PER_SHARD = 2
 SEGMENT_RECORDS = 1000
+#: A log is given a shard for so many records, and no fewer than MIN_SHARDS.
+SHARD_RECORDS = 4000
+MIN_SHARDS = 16
 _SEGMENT = re.compile(r"(\d+)-(\d+)\.jsonl$")
 
 
@@ -72,6 +79,11 @@ def append(path: str, shard: str, records: list[tuple[str, str]], first: int | N
     return first + len(records)
 
 
+def shards_for(records: int) -> int:
+    """Shards for a log of so many records: the micro-batches that drain it do not grow with it."""
+    return max(MIN_SHARDS, -(-records // SHARD_RECORDS))
+
+
 def write_log(records: DataFrame, path: str, prefix: str = "s", segment: int = SEGMENT_RECORDS) -> None:
     """A new log from (record_id, data): a shard per partition, segments written as rows come."""
     ship(records.sparkSession)
@@ -99,12 +111,20 @@ class Batch(InputPartition):
     files: list[tuple[int, str]]
 
 
+@dataclass
+class Batches(InputPartition):
+    """Batches that one task reads, one after the other."""
+
+    batches: list[Batch]
+
+
 class ShardReader(DataSourceStreamReader):
     def __init__(self, options: dict):
         o = {k.lower(): v for k, v in options.items()}
         self.path, self.progress = o["path"], o["progress"]
         self.size = int(o.get("records_per_batch", RECORDS_PER_BATCH))
         self.batches = int(o.get("batches_per_shard", BATCHES_PER_SHARD))
+        self.per_task = int(o.get("batches_per_task", 1))
         self.earliest = o.get("start", "latest").lower() == "earliest"
         self.planned: dict[str, int] | None = None
 
@@ -145,23 +165,31 @@ class ShardReader(DataSourceStreamReader):
         most = self.size * self.batches
         return {shard: min(end, self.planned.get(shard, 0) + most) for shard, end in self._ends().items()}
 
-    def partitions(self, start: dict, end: dict) -> list[Batch]:
+    def partitions(self, start: dict, end: dict) -> list[Batch | Batches]:
         held, out = segments(self.path), []
         for shard in sorted(end):
             for first in range(start.get(shard, 0), end[shard], self.size):
                 last = min(first + self.size, end[shard])
                 out.append(Batch(shard, first, last, [(a, f) for a, b, f in held[shard] if a < last and b > first]))
         self._note(end)
+        if self.per_task > 1:
+            return [Batches(out[at: at + self.per_task]) for at in range(0, len(out), self.per_task)]
         return out
 
-    def read(self, partition: Batch) -> Iterator[tuple]:
+    def read(self, partition: Batch | Batches) -> Iterator[tuple]:
+        for batch in partition.batches if isinstance(partition, Batches) else [partition]:
+            yield from self._read_batch(batch)
+
+    def _read_batch(self, partition: Batch) -> Iterator[tuple]:
         store, _ = open_fs(self.path)
         for first, file in partition.files:
+            skip, end = max(0, partition.first - first), partition.end - first
             with store.open_input_stream(file) as source:
-                for at, line in enumerate(source.read().decode().splitlines(), first):
-                    if partition.first <= at < partition.end:
-                        record = json.loads(line)
-                        yield partition.shard, at, record["record_id"], record["data"]
+                lines = source.read().split(b"\n", end)[:end]
+            for at, line in enumerate(lines[skip:], first + skip):
+                if line:
+                    record = json.loads(line)
+                    yield partition.shard, at, record["record_id"], record["data"]
 
 
 class ShardSource(DataSource):
@@ -177,11 +205,12 @@ class ShardSource(DataSource):
 
 
 def read_shard_stream(spark: SparkSession, path: str, progress: str, start: str = "latest",
-                      records_per_batch: int = RECORDS_PER_BATCH, batches_per_shard: int = BATCHES_PER_SHARD) -> DataFrame:
+                      records_per_batch: int = RECORDS_PER_BATCH, batches_per_shard: int = BATCHES_PER_SHARD,
+                      batches_per_task: int = 1) -> DataFrame:
     """The log as a stream of (shard, sequence, record_id, data). ``progress``: a folder beside the query's checkpoint.
 
     Under ``availableNow`` a run takes one micro-batch; a query that is to drain the log uses a processing-time trigger."""
     ship(spark, __name__, "recoflow.sources.delivery")
     spark.dataSource.register(ShardSource)
     return (spark.readStream.format(FORMAT).option("path", path).option("progress", progress).option("start", start)
-            .option("records_per_batch", records_per_batch).option("batches_per_shard", batches_per_shard).load())
+            .option("records_per_batch", records_per_batch).option("batches_per_shard", batches_per_shard).option("batches_per_task", batches_per_task).load())

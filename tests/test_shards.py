@@ -121,3 +121,23 @@ def test_events_through_the_log(spark):
     want = stream.decode_stream_events(fx.stream_event_json(spark, SMALL))
     assert got.count() == n and got.exceptAll(want).count() == 0
     assert json.load(open(f"{base}/p/planned.json")) == {s: p[-1][1] for s, p in shards.segments(f"{base}/log").items()}
+
+
+def test_a_larger_log_takes_no_more_micro_batches():
+    turns = lambda n: -(-n // shards.shards_for(n)) / (shards.RECORDS_PER_BATCH * shards.BATCHES_PER_SHARD)
+    assert shards.shards_for(10) == 16
+    assert turns(6_000_000) <= turns(64_000) == 20
+
+
+def test_a_task_reads_many_batches(spark):
+    base = tempfile.mkdtemp(prefix="shards-tasks-")
+    for shard, n in (("a", 250), ("b", 40), ("c", 200)):
+        fill(f"{base}/log", shard, n)
+    r = ShardReader({"path": f"{base}/log", "progress": f"{base}/p", "start": "earliest", "batches_per_task": "3"})
+    start = r.initialOffset()
+    parts = r.partitions(start, r.latestOffset())
+    assert [[(b.shard, b.first, b.end) for b in p.batches] for p in parts] == [
+        [("a", 0, 100), ("a", 100, 200), ("b", 0, 40)], [("c", 0, 100), ("c", 100, 200)]]
+    q = Query(spark, base, start="earliest", batches_per_task=3)
+    q.drain()
+    check(q.rows(), {"a": (0, 250), "b": (0, 40), "c": (0, 200)}, 300, 1)
