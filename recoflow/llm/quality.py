@@ -7,8 +7,8 @@ under a fixed threshold are rejected. The threshold is read off the
 labelled documents' score histogram: the one that rejects most of those
 labelled 0 while ``min_keep`` of those labelled 1 stay.
 
-The model fits on a bounded sample of labelled rows (``sample_rows``, the
-smallest hashes of the id); the raw counts cover every document.
+Model and threshold are learned from every labelled row: texts and labels are joined
+by id for the counts, and only (id, score bin) rows for the threshold.
 
 Cases: an empty table gives no rows; null text has no words and fails the base rules. Labels with a null
 id or quality are ignored; of repeated labels the highest counts. Without
@@ -27,12 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, text_slices
+from .common import text_slices
 from .textscan import Words, byte_runs, mix, segment_sums
 
 BUCKETS = 1 << 16
 NGRAM = 3
-SAMPLE_ROWS = 200_000
 _SYMBOLS = np.zeros(256, np.int64)
 _SYMBOLS[list(b"#*$%&|<>")] = 1
 _BINS_PER_UNIT = 1000
@@ -99,29 +98,28 @@ def mean_log_ratio(words: Words, log_ratio: np.ndarray) -> np.ndarray:
     return segment_sums(whole[buckets], first, end) / _UNIT / np.maximum(1, end - first)
 
 
-def _ids(batch: pa.RecordBatch, index: int) -> np.ndarray:
-    return batch.column(index).cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
+def _labelled(rows: DataFrame, rated: DataFrame) -> DataFrame:
+    """``rows`` with q, the label of their id; rows without an id have none, and are not dealt to one task."""
+    keyed = rows.withColumn("_key", F.coalesce("id", F.xxhash64("text"))).withColumn("_lacks", F.col("id").isNull())
+    # merged whatever the size, so that the work a row does not change with it
+    return keyed.join(rated.select(F.col("id").alias("_key"), "q", F.lit(False).alias("_lacks")).hint("merge"), ["_key", "_lacks"], "left")
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        sample_rows: int = SAMPLE_ROWS, min_keep: float = 0.995) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_keep: float = 0.995) -> Model:
     """Count both multinomials and set the threshold."""
     spark = docs.sparkSession
     rated = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     rated = rated.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("quality").alias("q"))
-    sample = rated.orderBy(F.xxhash64("id"), "id").limit(sample_rows).toPandas()
-    good = np.sort(sample.id[sample.q == 1].to_numpy(np.int64))
-    bad = np.sort(sample.id[sample.q == 0].to_numpy(np.int64))
-    if not len(good) or not len(bad):
+    good, bad = rated.agg(F.count_if(F.col("q") == 1), F.count_if(F.col("q") == 0)).first()
+    if not good or not bad:
         return Model(np.zeros(BUCKETS), -np.inf)
-    shared = spark.sparkContext.broadcast((good, bad))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = np.zeros(BUCKETS, np.int64)
         target = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            trusted = np.isin(_ids(batch, 0), shared.value[0])
+            trusted = batch.column(0).fill_null(False).to_numpy(zero_copy_only=False)
             for at, part in text_slices(batch.column(1)):
                 words = Words(part)
                 buckets, first, end = ngram_buckets(words)
@@ -138,7 +136,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(raw[seen]), pa.array(target[seen])],
                                          names=["bucket", "raw", "target"])
 
-    counts = texts.mapInArrow(tally, "bucket int, raw long, target long").groupBy("bucket").agg(
+    counts = _labelled(texts, rated).select((F.col("q") == 1).alias("trusted"), "text").mapInArrow(
+        tally, "bucket int, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()  # BUCKETS rows at most
     raw, target = np.ones(BUCKETS), np.ones(BUCKETS)
     raw[counts.bucket] += counts.raw
@@ -148,19 +147,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = _ids(batch, 0)
-            label = np.where(np.isin(ids, shared.value[0]), 1, np.where(np.isin(ids, shared.value[1]), 0, -1))
-            keep = np.flatnonzero(label >= 0)
-            label = label[keep]
-            for at, part in text_slices(batch.column(1).take(pa.array(keep))):
+            for at, part in text_slices(batch.column(1)):
                 words = Words(part)
                 bins = np.floor(mean_log_ratio(words, model.value) * _BINS_PER_UNIT)
-                passed = ~base_failed(base_features(words))
+                passed = pa.array(~base_failed(base_features(words)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(label[at: at + len(part)][passed].astype(np.int32)), pa.array(bins[passed].astype(np.int64))], names=["q", "bin"])
+                    [batch.column(0).slice(at, len(part)).filter(passed), pa.array(bins.astype(np.int64)).filter(passed)], names=["id", "bin"])
 
-    bins = texts.mapInArrow(rate, "q int, bin long").groupBy("q", "bin").count().toPandas()
-    shared.unpersist()
+    rows = texts.where(F.col("id").isNotNull()).mapInArrow(rate, "id long, bin long").groupBy("id", "bin").count()
+    bins = rows.join(rated.where("q in (0, 1)").hint("merge"), "id").groupBy("q", "bin").agg(F.sum("count").alias("count")).toPandas()
     return Model(log_ratio, pick_threshold(bins, min_keep))
 
 

@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from recoflow.llm import (embedding_dedup, jaccard_join, line_dedup, lm_score, packing, quality, secret_scan,
                           sentencepiece_lattice, substring_dedup, url_filter)
@@ -140,6 +141,18 @@ def test_quality_accuracy_on_labelled_rows(spark):
     assert told[told.quality == 1].kept.mean() > 0.95 and told[told.quality == 0].kept.mean() < 0.1
 
 
+def test_quality_learns_from_every_label(spark):
+    """A label that a hash-ordered sample of 200,000 ids leaves out counts like any other."""
+    last = spark.range(250_000).orderBy(F.xxhash64("id").desc(), F.col("id").desc()).first().id
+    text = lambda word: " ".join(f"{word}{k}" for k in range(40))
+    docs = spark.createDataFrame([(last, text("alpha")), (None, text("beta")), (-5, text("beta"))], "doc_id long, text string")
+    labels = spark.range(250_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") == last, 1).otherwise(0).alias("quality")).unionByName(
+        spark.createDataFrame([(-5, 0), (None, 1)], "doc_id long, quality int"))
+    model = quality.fit(docs, labels)
+    assert model.threshold > -np.inf
+    assert {r.doc_id: r.kept for r in quality.judge_documents(docs, model).collect()} == {last: True, None: False, -5: False}
+
+
 def test_embedding_dedup(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 24))
