@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from recoflow.plans import monitoring
-from recoflow.registry import INGEST_EPOCH, active_settings
+from recoflow.registry import INGEST_EPOCH, active_settings, land
 from recoflow.sources import fixtures as fx
 from recoflow.sources import stream
 from recoflow.streaming import ingest
@@ -132,3 +132,13 @@ def test_optional_dedupe_drops_redelivered_events(spark):
     want = ingest.event_records(stream.decode_stream_events(recs), active_settings(spark, SMALL),
                                 F.lit(INGEST_EPOCH))
     assert got.count() == want.count()
+
+
+def test_landed_files_follow_the_records(spark):
+    """What a task writes into a landed file is bounded; small inputs have four files."""
+    base = tempfile.mkdtemp(prefix="land-")
+    records = spark.range(1000).selectExpr("CAST(id AS STRING) AS record_id", "'x' AS data")
+    for most, files in ((1000, 4), (100, 10), (64, 16)):
+        land(records, f"{base}/{most}", most)
+        sizes = [r["count"] for r in spark.read.json(f"{base}/{most}").groupBy(F.input_file_name()).count().collect()]
+        assert len(sizes) == files and sum(sizes) == 1000 and max(sizes) <= 1.5 * 1000 / files
