@@ -10,10 +10,13 @@ score sum is not what the model means; there the fold merges, step by
 step, the best-scored edge over two neighbouring symbols, on the same
 edges. Either gives the ids of the ``sentencepiece`` library.
 
-Documents get their ids from the units' table: the ``HEAD_UNITS`` most
-frequent units (a fixed bound) are broadcast, all others are joined by
-document. Units over ``LONGEST`` characters, too long for the fold's bit
-set, are encoded by the same rules in a function.
+Texts are read once: each becomes numbers of units in the list of its
+chunk, some hundred thousand distinct words of one task's documents. The
+ids come to the lists: the ``HEAD_UNITS`` units in most chunks (a fixed
+bound) are broadcast, all others are joined by unit and dealt by chunk.
+The numbered documents lie in buckets by chunk, so they are not shuffled.
+Units over ``LONGEST`` characters, too long for the fold's bit set, are
+encoded by the same rules in a function.
 
 Cases: an empty table gives no rows; null text has no ids (null); an empty one an empty list. Rows with
 the same id and text are one document, each gets its ids; null ids are an
@@ -25,25 +28,27 @@ from __future__ import annotations
 
 import heapq
 import re
-import uuid
-from collections import Counter
+from array import array
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, doc_key, materialize
+from .common import discard, materialize
 
 HEAD_UNITS = 200_000
+HELD_WORDS = 250_000
 LONGEST = 60
 SPACE = "▁"
 _UNITS = re.compile(" *[^ ]+| +")
 _BATCH_ROWS = 500
-_HELD_WORDS = 60_000
-_CACHE_WORDS = 150_000
+_CHUNK_WORDS = 4_000_000
 
 
 class Model(NamedTuple):
@@ -404,32 +409,78 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
     return told
 
 
-def count_units(texts: DataFrame, model: Model) -> DataFrame:
-    """(unit, count) of the distinct units of a column of texts; counted in the task first."""
-    shared = texts.sparkSession.sparkContext.broadcast(Splitter(model.inner))
+def number_units(docs: DataFrame, model: Model, held_words: int) -> DataFrame:
+    """Documents as numbers of their units, in chunks of documents with a list of units each; written in buckets by chunk.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter[str] = Counter()
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            units: Counter[str] = Counter()
-            for own, times in zip(shared.value.units(list(words)), words.values()):
-                for unit in own:
-                    units[unit] += times
+    Two kinds of rows: (chunk, _doc, numbers), numbers as ``_planes`` and
+    null for null text, and (chunk, at, units), the units numbered from
+    ``at`` on, frequent ones first. A chunk is full at ``held_words`` distinct
+    words or ``_CHUNK_WORDS`` words; no chunk reaches across tasks.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(Splitter(model.inner))
+    kind = docs.schema["_doc"].dataType.simpleString()
+    names = ["chunk", "_doc", "numbers", "at", "units"]
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        words: defaultdict[str, int] = defaultdict()
+        words.default_factory = words.__len__  # a new word gets the next number
+        ids: list[object] = []
+        texts: list[np.ndarray | None] = []
+
+        def emit(id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+            units: defaultdict[str, int] = defaultdict()
+            units.default_factory = units.__len__
+            flat, edges = array("I"), [0]
+            for own in shared.value.units(list(words)):
+                flat.extend(map(units.__getitem__, own))
+                edges.append(len(flat))
+            # frequent units get small numbers: the planes compress
+            times = np.zeros(len(words), np.int64)
+            for at in range(0, len(texts), _BATCH_ROWS):
+                times += np.bincount(np.concatenate([np.zeros(0, np.uint32)] + [t for t in texts[at: at + _BATCH_ROWS] if t is not None]), minlength=len(words))
+            codes = np.frombuffer(flat, np.uint32)
+            order = np.argsort(-np.bincount(codes, np.repeat(times, np.diff(edges)), len(units)), kind="stable")
+            rank = np.empty(len(units), np.uint32)
+            rank[order] = np.arange(len(units))
+            spelt = pa.LargeListArray.from_arrays(pa.array(edges, pa.int64()), pa.array(rank[codes]))
+            for at in range(0, len(ids), _BATCH_ROWS):
+                some = texts[at: at + _BATCH_ROWS]
+                told = spelt.take(pa.array(np.concatenate([t for t in some if t is not None] or [np.zeros(0, np.uint32)])))
+                raw = memoryview(told.flatten().to_numpy(zero_copy_only=False)).cast("B")
+                ends = (np.concatenate([[0], np.cumsum(pc.list_value_length(told).to_numpy(zero_copy_only=False))]) * 4)[
+                    np.cumsum([0] + [0 if t is None else len(t) for t in some])].tolist()
+                numbers = [None if t is None else _planes(raw[a:b]) for t, a, b in zip(some, ends, ends[1:])]
+                n = len(some)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * n, pa.int64()), pa.array(ids[at: at + n], id_type), pa.array(numbers, pa.binary()),
+                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.string()))], names=names)
+            names_of = list(units)
+            listed = [names_of[k] for k in order.tolist()]
+            for at in range(0, len(listed), 65536):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk], pa.int64()), pa.nulls(1, id_type), pa.nulls(1, pa.binary()),
+                     pa.array([at], pa.int32()), pa.array([listed[at: at + 65536]], pa.list_(pa.string()))], names=names)
             words.clear()
-            keys = list(units)
-            for at in range(0, len(keys), 65536):
-                own = keys[at: at + 65536]
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([units[u] for u in own], pa.int64())], names=["unit", "count"])
+            ids.clear()
+            texts.clear()
 
+        held, id_type = 0, None
         for batch in batches:
-            for text in batch.column(0):
-                words.update(words_of(text.as_py() or ""))
-                if len(words) > _HELD_WORDS:
-                    yield from emit()
-        yield from emit()
-
-    return texts.mapInArrow(count, "unit string, count long").groupBy("unit").agg(F.sum("count").alias("count"))
+            id_type = batch.column(0).type
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = words_of(text.as_py() or "")
+                ids.append(doc)
+                texts.append(np.fromiter(map(words.__getitem__, own), np.uint32, len(own)) if text.is_valid else None)
+                held += len(own)
+                if len(words) > held_words or held > _CHUNK_WORDS:
+                    yield from emit(id_type)
+                    chunk, held = chunk + 1, 0
+        if ids:
+            yield from emit(id_type)
+
+    numbered = docs.mapInArrow(number, f"chunk long, _doc {kind}, numbers binary, at int, units array<string>")
+    return materialize(numbered, "numbered", _BATCH_ROWS, bucket_by="chunk")
 
 
 def ids_of(codes: Sequence[int], model: Model) -> bytes:
@@ -447,93 +498,59 @@ def ids_of(codes: Sequence[int], model: Model) -> bytes:
     return np.array(out, "<u4").tobytes()
 
 
-class _Assembler:
-    """Ids of words from the broadcast head and, beyond it, a document's own table."""
+def _planes(numbers: bytes | memoryview) -> bytes:
+    """Unsigned 32-bit numbers as all their first bytes, then all second ones, and so on."""
+    return np.frombuffer(numbers, np.uint8).reshape(-1, 4).T.tobytes()
+
 
-    def __init__(self, model: Model, head: dict[str, bytes]):
-        self.model, self.head, self.split = model, head, Splitter(model.inner)
+def _numbers(planes: bytes) -> bytes:
+    """What ``_planes`` was made from."""
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.tobytes()
 
-    def joined(self, units: list[str], own: dict[str, bytes]) -> bytes:
-        return b"".join([self.head[u] if u in self.head else own[u] for u in units])
 
+def _gather(values: pa.LargeBinaryArray, rows: list[bytes | None]) -> list[bytes | None]:
+    """For each row, an array of unsigned 32-bit numbers: the values of these numbers, one behind the other."""
+    told = values.take(pa.array(np.frombuffer(b"".join([r for r in rows if r]), "<u4")))
+    places = np.concatenate([[0], np.cumsum(pc.binary_length(told).to_numpy(zero_copy_only=False))])
+    ends = places[np.cumsum([0] + [len(r or b"") // 4 for r in rows])].tolist()
+    raw = memoryview(told.buffers()[2] or b"")
+    return [None if r is None else bytes(raw[a:b]) for r, a, b in zip(rows, ends, ends[1:])]
 
-def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", head_units: int = HEAD_UNITS) -> DataFrame:
+
+def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", head_units: int = HEAD_UNITS,
+           held_words: int = HELD_WORDS) -> DataFrame:
     """(id, ids) of every row: ids as bytes, unsigned 32-bit, little-endian."""
     spark = docs.sparkSession
-    base = docs.select(*doc_key(id_col, text_col), F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-    table = encode_units(count_units(base.select("_text"), model), model)
+    numbered = number_units(docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")), model, held_words)
+    listed = numbered.where(F.col("units").isNotNull()).select("chunk", "at", F.posexplode("units").alias("pos", "unit"))
+    listed = listed.select("chunk", (F.col("at") + F.col("pos")).alias("number"), "unit")
+    table = encode_units(listed.groupBy("unit").agg(F.count("*").alias("count")), model)
     # at most head_units rows of at most LONGEST characters
     top = table.where(F.length("unit") <= LONGEST).orderBy(F.desc("count"), "unit").limit(head_units).select("unit", "ids").toArrow()
-    shared = spark.sparkContext.broadcast((model, dict(zip(top.column("unit").to_pylist(), top.column("ids").to_pylist()))))
-    name = uuid.uuid4().hex
-
-    def assembler() -> _Assembler:
-        return _assembler(name, shared)
-
-    def lacking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        build = assembler()
-        known: dict[str, tuple[str, ...]] = {}
-        whole: set[str] = set()  # words that lack nothing
-        for batch in batches:
-            at, units = [], []
-            for k, text in enumerate(batch.column(2)):
-                own: set[str] = set()
-                words = set(words_of(text.as_py() or "")).difference(whole)
-                new = [w for w in words if w not in known]
-                for word, units_in in zip(new, build.split.units(new)):
-                    missing = tuple(u for u in units_in if u not in build.head)
-                    if len(known) + len(whole) < _CACHE_WORDS:
-                        if missing:
-                            known[word] = missing
-                        else:
-                            whole.add(word)
-                    own.update(missing)
-                for word in words.difference(new):
-                    own.update(known[word])
-                at += [k] * len(own)
-                units += own
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), batch.column(1).take(pa.array(at, pa.int64())), pa.array(units, pa.string())],
-                                             names=["_id", "_th", "unit"])
-
-    missing = base.select("_id", "_th", "_text").mapInArrow(lacking, "_id long, _th long, unit string")
-    found = materialize(missing.join(table.select("unit", "ids"), "unit").groupBy("_id", "_th").agg(
-        F.collect_list("unit").alias("units"), F.collect_list("ids").alias("ids")), "rare", _BATCH_ROWS)
+    shared = spark.sparkContext.broadcast(dict(zip(top.column("unit").to_pylist(), top.column("ids").to_pylist())))
+    rest = listed.join(F.broadcast(spark.createDataFrame(top.select(["unit"]), "unit string")), "unit", "left_anti")
+    found = materialize(rest.join(table.select("unit", "ids"), "unit").select("chunk", "number", "ids"), "rare")
     discard(table)
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        build = assembler()
-        known: dict[str, bytes] = {}
-        for batch in batches:
-            out = []
-            for text, units, ids in zip(*(batch.column(k) for k in (1, 2, 3))):
-                if not text.is_valid:
-                    out.append(None)
-                    continue
-                own = dict(zip(units.as_py() or (), ids.as_py() or ()))
-                words = words_of(text.as_py())
-                parts = list(map(known.get, words))
-                new = list({w for w, part in zip(words, parts) if part is None})
-                if new:
-                    fresh = {word: build.joined(units_in, own) for word, units_in in zip(new, build.split.units(new))}
-                    if len(known) < _CACHE_WORDS:
-                        known.update(fresh)
-                    parts = [fresh[w] if part is None else part for w, part in zip(words, parts)]
-                out.append(b"".join(parts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=[id_col, "ids"])
+    def write(rows: pa.Table, rare: pa.Table) -> pa.Table:
+        """The documents of one chunk."""
+        is_list = pc.is_valid(rows.column("at"))
+        lists = rows.filter(is_list).sort_by("at").column("units")
+        parts = [shared.value.get(u) for some in lists for u in some.values.to_pylist()]
+        for number, ids in zip(rare.column("number").to_pylist(), rare.column("ids").to_pylist()):
+            parts[number] = ids
+        if None in parts:
+            raise ValueError("a unit without ids")
+        values = pa.array(parts, pa.large_binary())
+        texts = rows.filter(pc.invert(is_list))
+        out = []
+        for at in range(0, len(texts), _BATCH_ROWS):
+            numbers = [None if n is None else _numbers(n) for n in texts.column("numbers").slice(at, _BATCH_ROWS).to_pylist()]
+            out.append(pa.array(_gather(values, numbers), pa.binary()))
+        return pa.Table.from_arrays([texts.column("_doc"), pa.chunked_array(out, pa.binary())], names=[id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return base.join(found, ["_id", "_th"], "left").select("_doc", "_text", "units", "ids").mapInArrow(write, f"`{id_col}` {kind}, ids binary")
-
-
-_ASSEMBLERS: dict[str, _Assembler] = {}
-
-
-def _assembler(name: str, shared) -> _Assembler:
-    """One head table a Python worker, however many tasks it runs."""
-    if name not in _ASSEMBLERS:
-        _ASSEMBLERS.clear()
-        _ASSEMBLERS[name] = _Assembler(*shared.value)
-    return _ASSEMBLERS[name]
+    return numbered.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(write, f"`{id_col}` {kind}, ids binary")
 
 
 def decode(encoded: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
@@ -541,16 +558,12 @@ def decode(encoded: DataFrame, model: Model, id_col: str = "doc_id") -> DataFram
     shared = encoded.sparkSession.sparkContext.broadcast(model.texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = shared.value
-        for batch in batches:
-            out = []
-            for ids in batch.column(1):
-                if not ids.is_valid:
-                    out.append(None)
-                    continue
-                raw = b"".join(map(texts.__getitem__, np.frombuffer(ids.as_py(), "<u4").tolist()))
-                out.append(raw.removeprefix(b" ").decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=[id_col, "ids", "text"])
+        texts = pa.array(shared.value, pa.large_binary())
+        for whole in batches:
+            for at in range(0, whole.num_rows, _BATCH_ROWS):
+                batch = whole.slice(at, _BATCH_ROWS)
+                out = [None if raw is None else raw.removeprefix(b" ").decode("utf-8", "replace") for raw in _gather(texts, batch.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=[id_col, "ids", "text"])
 
     kind = encoded.schema[id_col].dataType.simpleString()
     return encoded.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {kind}, ids binary, text string")

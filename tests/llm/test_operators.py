@@ -52,6 +52,21 @@ def test_sentencepiece_equals_the_library(spark, docs, rows, nothing, tmp_path,
     assert sentencepiece_lattice.encode(nothing, model).count() == 0
 
 
+def test_sentencepiece_in_many_chunks_shuffles_no_texts(spark, docs, rows):
+    import sentencepiece
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model, library = sentencepiece_lattice.read_model(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    few = docs.where("doc_id IS NULL OR doc_id <> 63")
+    plan = sentencepiece_lattice.encode(few, model)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # of the rare units alone; the documents lie in buckets
+    assert not any(t.name.startswith("recoflow_") for t in spark.catalog.listTables())
+    coded = sentencepiece_lattice.encode(few, model, head_units=5, held_words=30)
+    found = sorted(((r.doc_id, r.ids and bytes(r.ids)) for r in coded.collect()), key=repr)
+    told = [(i, None if t is None else np.array(library.encode(t), "<u4").tobytes()) for i, t in rows if i != 63]
+    assert [(i, ids or None) for i, ids in found] == sorted(((i, ids or None) for i, ids in told), key=repr)
+    assert sum(ids is None for _, ids in found) == sum(t is None for _, t in rows)
+
+
 def test_long_units_are_encoded_like_the_library():
     import sentencepiece
     path = public_tokenizers.path("piece_bpe_32k.model")
